@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mentionlake.session import materialise
+
 # Least similarity of an approximate match, and stand-in names.
 BRAND_CUTOFF = 0.7
 MODEL_CUTOFF = 0.6
@@ -214,11 +216,13 @@ def resolve_pairs(
 ) -> DataFrame:
     """Each distinct (raw_brand, raw_model) of the mentions with its resolved names.
 
-    Names are matched once per distinct pair, never per mention.
+    Names are matched once per distinct pair, never per mention. The distinct pairs
+    and the resolved brands are written, as later steps read them several times.
     """
     pairs = mentions.select(_raw("brand_name").alias("raw_brand"), _raw("product_name").alias("raw_model")).distinct()
+    pairs = materialise(pairs, "pairs")
     brands = resolve_brands(pairs.select("raw_brand").distinct(), reference, brand_cutoff, matcher)
-    branded = pairs.join(brands, "raw_brand")
+    branded = pairs.join(materialise(brands, "brands"), "raw_brand")
     models = resolve_models(branded.select("brand_name", "raw_model").distinct(), reference, model_cutoff, matcher)
     return branded.join(models, ["brand_name", "raw_model"]).select(
         "raw_brand", "raw_model", "brand_name", "product_name"

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from mentionlake.functions.paths import path_part, sort_type_of, unescaped
-from mentionlake.schemas import LANDING
+from mentionlake.schemas import AUDIT, LANDING
 
 CORRUPT = "_corrupt_record"
 
@@ -35,16 +36,21 @@ def read_landing(
 ) -> DataFrame:
     """Landing rows of one kind with audit columns and the raw text of bad lines.
 
-    Unknown fields are ignored; a field of the wrong type is null.
+    Unknown fields are ignored; a field of the wrong type is null. Where nothing has
+    landed there are no rows.
     """
-    raw = (
+    reader = (
         spark.read.schema(landing_schema(kind))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", file_glob or default_glob(kind))
         .option("recursiveFileLookup", "true")
-        .json(landing_glob(root, process_date))
     )
-    return with_audit(raw)
+    try:
+        return with_audit(reader.json(landing_glob(root, process_date)))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], StructType([*landing_schema(kind).fields, *AUDIT.fields]))
 
 
 def with_audit(raw: DataFrame) -> DataFrame:
@@ -67,17 +73,19 @@ def with_audit(raw: DataFrame) -> DataFrame:
 
 
 def split_corrupt(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows to keep, and rows without an id with the reason they are set aside.
+    """Rows to keep, and lines set aside with the reason.
 
-    A line with a wrongly typed field still has its id and is kept.
+    A line that is no complete JSON is set aside even if its first fields could be
+    read. So is a record without an id. A complete record with a field of the wrong
+    type is kept.
     """
-    good = landed.filter(F.col("id").isNotNull()).drop(CORRUPT)
-    bad = landed.filter(F.col("id").isNull()).select(
-        F.when(F.col(CORRUPT).isNotNull(), "malformed").otherwise("no_id").alias("reason"),
-        F.col(CORRUPT).alias("line"),
-        "source_file",
-        "partition_date",
-        "ingestion_timestamp",
+    line = F.col(CORRUPT)
+    malformed = line.isNotNull() & F.get_json_object(line, "$").isNull()
+    reason = F.when(malformed, "malformed").when(F.col("id").isNull(), "no_id")
+    marked = landed.withColumn("reason", reason)
+    good = marked.filter("reason IS NULL").drop("reason", CORRUPT)
+    bad = marked.filter("reason IS NOT NULL").select(
+        "reason", line.alias("line"), "source_file", "ingestion_timestamp", "partition_date"
     )
     return good, bad
 
