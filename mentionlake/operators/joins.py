@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mentionlake.operators.dedupe import row_digest
+
 
 def or_join(
     left: DataFrame,
@@ -15,41 +18,59 @@ def or_join(
     right: DataFrame,
     key: str,
     prefer_first: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """``left`` LEFT JOIN ``right`` ON first = key OR second = key, as equi-joins.
 
     A row whose two keys match different right rows gives one row per match; with
     ``prefer_first`` the second key counts only if the first matches nothing. A
-    row without a match is kept with nulls. Neither side needs unique keys.
+    row without a match is kept with nulls. A nested loop never occurs.
 
-    Most rows have one distinct key and take the plain left join. Only rows with
-    two different keys are looked up twice. A nested loop never occurs.
+    ``unique`` says that ``right`` holds no key twice, as a dimension does. Then
+    ``left`` is computed once; otherwise once per case.
     """
     payload = [c for c in right.columns if c != key]
-    lookup = right.withColumnRenamed(key, "_key")
-    keyed = left.withColumns({"_first": first, "_second": second})
-    two_keys = F.col("_first") != F.col("_second")
-    one = keyed.filter(~F.coalesce(two_keys, F.lit(False)))
-    two = keyed.filter(two_keys)
+    lookup = right.select(F.col(key).alias("_key"), *payload)
+    two_keys = F.coalesce(first != second, F.lit(False))
+    keyed = left.withColumns({"_first": F.coalesce(first, second), "_second": F.when(two_keys, second)})
+    joined = _by_lookups if unique else _by_cases
+    return joined(keyed, lookup, payload, prefer_first).select(*left.columns, *payload)
+
+
+def _by_lookups(keyed: DataFrame, lookup: DataFrame, payload: list[str], prefer_first: bool) -> DataFrame:
+    """Look up the first key, then the second where it differs."""
+    found = keyed
+    for n in ("_first", "_second"):
+        # Rows without this key would all meet in one partition; a digest spreads them.
+        spread = F.concat(F.lit("\0"), row_digest(keyed).cast("string"))
+        by = f"{n}_by"
+        side = lookup.select(F.col("_key").alias(f"{n}_key"), F.struct(*payload).alias(f"{n}_row"))
+        found = found.withColumn(by, F.coalesce(n, spread)).join(
+            side, (F.col(by) == F.col(f"{n}_key")) & F.col(n).isNotNull(), "left"
+        )
+    if prefer_first:
+        return found.withColumn("_row", F.coalesce("_first_row", "_second_row")).select("*", "_row.*")
+    rows = F.array_compact(F.array("_first_row", "_second_row"))
+    return found.withColumn("_row", F.explode_outer(rows)).select("*", "_row.*")
 
-    def left_lookup(rows: DataFrame, by: Column) -> DataFrame:
-        return rows.withColumn("_by", by).join(lookup, F.col("_by") == F.col("_key"), "left")
 
+def _by_cases(keyed: DataFrame, lookup: DataFrame, payload: list[str], prefer_first: bool) -> DataFrame:
+    """Rows with one distinct key take the plain left join; only the others are looked up twice."""
+    one, two = keyed.filter("_second IS NULL"), keyed.filter("_second IS NOT NULL")
     keys = lookup.select("_key")
-    unmatched_first = two.join(keys, F.col("_first") == F.col("_key"), "left_anti")
-    parts = [left_lookup(one, F.coalesce("_first", "_second"))]
+
+    def joined(rows: DataFrame, by: str, how: str) -> DataFrame:
+        return rows.join(keys if how == "left_anti" else lookup, F.col(by) == F.col("_key"), how)
+
+    cases = [joined(one, "_first", "left")]
+    unmatched_first = joined(two, "_first", "left_anti")
     if prefer_first:
-        parts.append(two.withColumn("_by", F.col("_first")).join(lookup, F.col("_by") == F.col("_key")))
-        parts.append(left_lookup(unmatched_first, F.col("_second")))
+        cases += [joined(two, "_first", "inner"), joined(unmatched_first, "_second", "left")]
     else:
         each = two.withColumn("_by", F.explode(F.array("_first", "_second")))
-        parts.append(each.join(lookup, F.col("_by") == F.col("_key")))
-        unmatched = unmatched_first.join(keys, F.col("_second") == F.col("_key"), "left_anti")
-        parts.append(left_lookup(unmatched, F.lit(None).cast("string")))
-    joined = parts[0]
-    for part in parts[1:]:
-        joined = joined.unionByName(part)
-    return joined.select(*left.columns, *payload)
+        unmatched = joined(unmatched_first, "_second", "left_anti")
+        cases += [joined(each, "_by", "inner"), unmatched]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cases)
 
 
 def merge_metrics(submissions: DataFrame, comments: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ def fact_mentions(
     commented = s.join(c, s.comment_id == c["_comment"], "left")
     keys = submissions.select("reddit_submission_id", "submission_key")
     linked = or_join(
-        commented, short_id("link_id"), F.col("submission_id"), keys, "reddit_submission_id", prefer_link
+        commented, short_id("link_id"), F.col("submission_id"), keys, "reddit_submission_id", prefer_link, unique=True
     )
     p = products.select(
         F.lower("brand_name").alias("_brand"), F.lower("model").alias("_model"), "product_key"

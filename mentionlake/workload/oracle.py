@@ -582,5 +582,9 @@ def _with_views(sql: str) -> str:
     return f"WITH {views} {sql.strip()}" if views else sql.strip()
 
 
+SQL["fact_or_join_unique"] = SQL["fact_or_join"]
+SQL["fact_priority_join_unique"] = SQL["fact_priority_join"]
+
+
 def oracle() -> dict[str, str]:
     return {name: _with_views(sql) for name, sql in SQL.items()}

@@ -336,20 +336,32 @@ def _with_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.join(c, m.comment_id == c["_id"], "left").drop("_id")
 
 
+def _or_join(spark: SparkSession, sf_dir: str, **options: bool) -> DataFrame:
+    posts = a.subs(spark, sf_dir).select(F.col("id").alias("post"), "subreddit", F.col("id").alias("matched"))
+    found = joins.or_join(
+        _with_link(spark, sf_dir), ids.short_id("link_id"), F.col("submission_id"), posts, "post", **options
+    )
+    return found.select("comment_id", "aspect", "matched", "subreddit")
+
+
 @query
 def fact_or_join(spark, sf_dir):
-    posts = a.subs(spark, sf_dir).select(F.col("id").alias("post"), "subreddit", F.col("id").alias("matched"))
-    return joins.or_join(
-        _with_link(spark, sf_dir), ids.short_id("link_id"), F.col("submission_id"), posts, "post"
-    ).select("comment_id", "aspect", "matched", "subreddit")
+    return _or_join(spark, sf_dir)
+
+
+@query
+def fact_or_join_unique(spark, sf_dir):
+    return _or_join(spark, sf_dir, unique=True)
 
 
 @query
 def fact_priority_join(spark, sf_dir):
-    posts = a.subs(spark, sf_dir).select(F.col("id").alias("post"), "subreddit", F.col("id").alias("matched"))
-    return joins.or_join(
-        _with_link(spark, sf_dir), ids.short_id("link_id"), F.col("submission_id"), posts, "post", prefer_first=True
-    ).select("comment_id", "aspect", "matched", "subreddit")
+    return _or_join(spark, sf_dir, prefer_first=True)
+
+
+@query
+def fact_priority_join_unique(spark, sf_dir):
+    return _or_join(spark, sf_dir, prefer_first=True, unique=True)
 
 
 def _merged_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
