@@ -68,7 +68,8 @@ def with_audit(raw: DataFrame) -> DataFrame:
     )
     if "subreddit" not in raw.columns:
         return audited
-    from_path = F.nullif(unescaped(path_part("source_file", "subreddit")), F.lit(""))
+    # The file path is itself percent-encoded, on top of the escapes of the folder name.
+    from_path = F.nullif(unescaped(unescaped(path_part("source_file", "subreddit"))), F.lit(""))
     return audited.withColumn("subreddit", F.coalesce("subreddit", from_path))
 
 

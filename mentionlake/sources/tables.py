@@ -101,11 +101,11 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
 def clear_partitions(spark: SparkSession, name: str, values: Sequence[str]) -> None:
     """Empty single partitions, files included, and drop them from the catalog."""
     (key,) = partition_columns(spark, name)
-    columns = [c for c in spark.table(name).columns if c != key]
-    nothing = ", ".join(f"`{c}`" for c in columns)
+    columns = [f for f in spark.table(name).schema.fields if f.name != key]
+    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in columns)
     for value in values:
         spec = f"PARTITION ({key} = '{value}')"
-        spark.sql(f"INSERT OVERWRITE TABLE {name} {spec} SELECT {nothing} FROM {name} WHERE false")
+        spark.sql(f"INSERT OVERWRITE TABLE {name} {spec} SELECT {nothing} FROM range(0)")
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
 
 
