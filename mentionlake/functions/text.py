@@ -25,6 +25,21 @@ def word_count(c: Column | str) -> Column:
     return F.when(text == "", 0).otherwise(F.size(F.split(text, r"\s+")))
 
 
+def words_up_to(c: Column | str, n: int) -> Column:
+    """The word count, or ``n`` if there are more.
+
+    Stops at ``n`` words. A long text need not even be decoded whole: if its start
+    already has ``n`` words, so has the text; if not, the whole text is split.
+    """
+    text = F.trim(F.coalesce(col(c), F.lit("")))
+    start = F.substring(text, 1, 32 * max(n, 1))
+
+    def split_size(part: Column) -> Column:
+        return F.size(F.split(part, r"\s+", max(n, 1)))
+
+    return F.when(text == "", 0).when(split_size(start) >= n, n).otherwise(split_size(text))
+
+
 def char_count(c: Column | str) -> Column:
     return F.length(F.trim(F.coalesce(col(c), F.lit(""))))
 
@@ -46,7 +61,7 @@ def submission_usable(
     min_words: int = SUBMISSION_MIN_WORDS,
 ) -> Column:
     long_enough = char_count(title) + char_count(selftext) >= min_chars
-    wordy_enough = word_count(title) + word_count(selftext) >= min_words
+    wordy_enough = words_up_to(title, min_words) + words_up_to(selftext, min_words) >= min_words
     return ~is_sentinel(selftext) & long_enough & wordy_enough
 
 
@@ -55,4 +70,5 @@ def comment_usable(
     min_chars: int = COMMENT_MIN_CHARS,
     min_words: int = COMMENT_MIN_WORDS,
 ) -> Column:
-    return ~is_sentinel(body) & (char_count(body) >= min_chars) & (word_count(body) >= min_words)
+    wordy_enough = words_up_to(body, min_words) >= min_words
+    return ~is_sentinel(body) & (char_count(body) >= min_chars) & wordy_enough

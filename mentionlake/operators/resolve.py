@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentionlake.session import materialise
+from mentionlake.session import Save, materialise
 
 # Least similarity of an approximate match, and stand-in names.
 BRAND_CUTOFF = 0.7
@@ -213,6 +213,7 @@ def resolve_pairs(
     brand_cutoff: float = BRAND_CUTOFF,
     model_cutoff: float = MODEL_CUTOFF,
     matcher: Matcher = difflib_best,
+    save: Save = materialise,
 ) -> DataFrame:
     """Each distinct (raw_brand, raw_model) of the mentions with its resolved names.
 
@@ -220,9 +221,9 @@ def resolve_pairs(
     and the resolved brands are written, as later steps read them several times.
     """
     pairs = mentions.select(_raw("brand_name").alias("raw_brand"), _raw("product_name").alias("raw_model")).distinct()
-    pairs = materialise(pairs, "pairs")
+    pairs = save(pairs, "pairs")
     brands = resolve_brands(pairs.select("raw_brand").distinct(), reference, brand_cutoff, matcher)
-    branded = pairs.join(materialise(brands, "brands"), "raw_brand")
+    branded = pairs.join(save(brands, "brands"), "raw_brand")
     models = resolve_models(branded.select("brand_name", "raw_model").distinct(), reference, model_cutoff, matcher)
     return branded.join(models, ["brand_name", "raw_model"]).select(
         "raw_brand", "raw_model", "brand_name", "product_name"

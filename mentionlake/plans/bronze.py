@@ -11,7 +11,7 @@ from mentionlake.operators.dedupe import latest_per_key
 from mentionlake.operators.joins import merge_metrics
 from mentionlake.operators.merge import merge_into_table
 from mentionlake.plans.layout import Lake
-from mentionlake.session import materialise
+from mentionlake.session import Save, staging
 from mentionlake.sources.landing import read_landing, split_corrupt
 from mentionlake.sources.tables import append
 
@@ -19,15 +19,16 @@ KINDS = ("submissions", "comments")
 TIEBREAK = ("source_sort_type", "source_file")
 
 
-def land_batch(spark: SparkSession, lake: Lake, kind: str, landed: DataFrame) -> tuple[DataFrame, list[str]]:
+def land_batch(
+    spark: SparkSession, lake: Lake, kind: str, landed: DataFrame, save: Save
+) -> tuple[DataFrame, list[str]]:
     """Bring landed rows of one kind into bronze.
 
     Returns the latest row per id of this batch and the dates rewritten in bronze.
     The parsed lines are written once, so the files are parsed once.
     """
-    rows = materialise(landed.drop("awards"), f"landed-{kind}")
-    good, bad = split_corrupt(rows)
-    batch = materialise(latest_per_key(good, "id", "updated_at", TIEBREAK), f"batch-{kind}")
+    good, bad = split_corrupt(save(landed.drop("awards"), f"landed-{kind}"))
+    batch = save(latest_per_key(good, "id", "updated_at", TIEBREAK), f"batch-{kind}")
     touched = merge_into_table(spark, lake.bronze_table(kind), batch, "id", "updated_at", one_per_key=True)
     if not bad.isEmpty():
         append(bad, lake.quarantine)
@@ -47,15 +48,15 @@ def run_bronze(
     Returns the dates rewritten in bronze: the silver job must redo exactly those.
     """
     batches, touched = {}, set()
-    for kind in KINDS:
-        landed = read_landing(spark, landing_root, kind, process_date, (file_globs or {}).get(kind))
-        batches[kind], dates = land_batch(spark, lake, kind, landed)
-        touched.update(dates)
-    merged = merge_metrics(
-        metrics.submission_metrics(batches["submissions"]), metrics.comment_metrics(batches["comments"])
-    )
-    rows = metrics.run_metric_rows(merged)
-    append(metrics.as_recorded(rows, lake.environment, "bronze", process_date, run_id or uuid.uuid4().hex), lake.metrics)
+    with staging(spark, "bronze") as save:
+        for kind in KINDS:
+            landed = read_landing(spark, landing_root, kind, process_date, (file_globs or {}).get(kind))
+            batches[kind], dates = land_batch(spark, lake, kind, landed, save)
+            touched.update(dates)
+        merged = merge_metrics(
+            metrics.submission_metrics(batches["submissions"]), metrics.comment_metrics(batches["comments"])
+        )
+        rows = metrics.run_metric_rows(merged)
+        run = run_id or uuid.uuid4().hex
+        append(metrics.as_recorded(rows, lake.environment, "bronze", process_date, run), lake.metrics)
     return sorted(touched)
-
-

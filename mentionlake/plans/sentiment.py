@@ -18,7 +18,7 @@ from mentionlake.operators.resolve import apply_pairs, resolve_pairs
 from mentionlake.plans.layout import Lake
 from mentionlake.plans.silver import of_dates
 from mentionlake.schemas import SENTIMENT
-from mentionlake.session import materialise
+from mentionlake.session import staging
 from mentionlake.sources.tables import append
 
 
@@ -61,33 +61,31 @@ def run_sentiment(
     done = spark.table(lake.analysed).select("comment_id").unionByName(
         spark.table(lake.sentiment).select("comment_id")
     )
-    fresh = materialise(only_new(context, done), "context")
-    if fresh.isEmpty():
-        return 0
-    if scorer_factory is not None:
-        raw = mentions_from_scorer(fresh, comments, reference, scorer_factory, partitions, strict)
-    else:
-        raw = lexicon_mentions(fresh, lexicon)
-    finished = finish_mentions(raw).select(
-        "submission_id", "comment_id", "brand_name", "product_name", "aspect",
-        "sentiment_score", "quote",
-        F.lit(model_version).alias("model_version"),
-        F.current_timestamp().alias("analyzed_at"),
-        F.col("partition_date").alias("date_partition"),
-    )
-    scored = materialise(finished, "scored")
-    names = materialise(resolve_pairs(scored, reference), "names")
-    mentions = with_analysis_id(apply_pairs(scored, names)).dropDuplicates(["analysis_id"])
-    append(mentions.select(*SENTIMENT.names), lake.sentiment)
-    append(fresh.select("comment_id", F.col("partition_date").alias("date_partition")), lake.analysed)
-    analysed = fresh.count()
+    with staging(spark, "sentiment") as save:
+        fresh = save(only_new(context, done), "context")
+        if fresh.isEmpty():
+            return 0
+        if scorer_factory is not None:
+            raw = mentions_from_scorer(fresh, comments, reference, scorer_factory, partitions, strict)
+        else:
+            raw = lexicon_mentions(fresh, lexicon)
+        finished = finish_mentions(raw).select(
+            "submission_id", "comment_id", "brand_name", "product_name", "aspect",
+            "sentiment_score", "quote",
+            F.lit(model_version).alias("model_version"),
+            F.current_timestamp().alias("analyzed_at"),
+            F.col("partition_date").alias("date_partition"),
+        )
+        scored = save(finished, "scored")
+        names = save(resolve_pairs(scored, reference, save=save), "names")
+        mentions = with_analysis_id(apply_pairs(scored, names)).dropDuplicates(["analysis_id"])
+        append(mentions.select(*SENTIMENT.names), lake.sentiment)
+        append(fresh.select("comment_id", F.col("partition_date").alias("date_partition")), lake.analysed)
+        analysed = fresh.count()
     counted = spark.createDataFrame(
         [("AGGREGATE", None, "CommentsAnalyzed", float(analysed), "Count")],
         "scope string, subreddit string, metric string, value double, unit string",
     )
-    label = ",".join(dates) if dates else None
-    append(
-        metrics.as_recorded(counted, lake.environment, "silver_sentiment", label, run_id or uuid.uuid4().hex),
-        lake.metrics,
-    )
+    label, run = ",".join(dates) if dates else None, run_id or uuid.uuid4().hex
+    append(metrics.as_recorded(counted, lake.environment, "silver_sentiment", label, run), lake.metrics)
     return analysed

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+Save = Callable[[DataFrame, str], DataFrame]
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -46,7 +50,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/mentionlake/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a result must not be computed twice (a paid scorer) or must not
@@ -54,6 +58,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     survives the loss of executors.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = f"{folder}/{label}" if folder else scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession, label: str) -> Iterator[Save]:
+    """``materialise`` into one folder, which is removed when the job is over."""
+    folder = scratch_path(spark, label)
+    try:
+        yield lambda df, name: materialise(df, name, folder)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mentionlake.plans.bronze import land_batch
 from mentionlake.plans.layout import Lake
+from mentionlake.session import staging
 from mentionlake.sources.landing import CORRUPT, default_glob, landing_glob, landing_schema, with_audit
 
 
@@ -53,7 +54,8 @@ def ingest_incremental(
     touched: set[str] = set()
 
     def each(batch: DataFrame, _: int) -> None:
-        touched.update(land_batch(batch.sparkSession, lake, kind, batch)[1])
+        with staging(batch.sparkSession, "incremental") as save:
+            touched.update(land_batch(batch.sparkSession, lake, kind, batch, save)[1])
 
     drain(landing_stream(spark, root, kind, file_glob, max_files), checkpoint, each)
     return sorted(touched)

@@ -15,6 +15,16 @@ def test_word_count(spark, body, words):
     assert one(spark, "t string", (body,), text.word_count("t")) == words
 
 
+@pytest.mark.parametrize("body", [
+    None, "", "  ", "one", "a b", "a\n\nb c", "\na b c d", "x" * 500, "x" * 500 + " y", "x" * 500 + "\t\n" * 90 + "y z",
+    "a " + "\n" * 300 + "b c d e f", "w " * 400, "é " * 70 + "ü",
+])
+@pytest.mark.parametrize("n", [0, 1, 2, 5])
+def test_words_up_to_is_exact(spark, body, n):
+    counted = one(spark, "t string", (body,), text.word_count("t"))
+    assert one(spark, "t string", (body,), text.words_up_to("t", n)) == min(counted, n)
+
+
 @pytest.mark.parametrize("body, usable", [
     (None, False), ("", False), ("[deleted]", False), ("[removed]", False), (" " * 40, False),
     ("[deleted] but this one has enough words", True),
