@@ -79,14 +79,21 @@ def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *columns) if columns else df
 
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def _insert(df: DataFrame, name: str, overwrite: bool) -> None:
+    """Insert by column name. An overwrite is always dynamic, whatever the session says:
+    ``insertInto`` heeds only the session, whose default would empty the whole table.
+    """
     spark = df.sparkSession
     keys = partition_columns(spark, name)
-    ordered = clustered(df.select(*spark.table(name).columns), keys)
-    writer = ordered.write
-    if overwrite:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(name, overwrite=overwrite)
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        clustered(df.select(*spark.table(name).columns), keys).write.insertInto(name, overwrite=overwrite)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def append(df: DataFrame, name: str) -> None:

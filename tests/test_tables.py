@@ -23,6 +23,17 @@ def test_append_overwrite_and_clear(spark, lake, rows):
     assert rows(spark.table(t)) == [("b", "02-01-2024")]
 
 
+def test_overwrite_does_not_depend_on_the_session(spark, lake, rows):
+    spark.conf.set(tables.OVERWRITE_MODE, "static")
+    try:
+        tables.append(ledger(spark, ("a", "01-01-2024"), ("b", "02-01-2024")), lake.analysed)
+        tables.overwrite_partitions(ledger(spark, ("c", "01-01-2024")), lake.analysed)
+        assert rows(spark.table(lake.analysed)) == [("b", "02-01-2024"), ("c", "01-01-2024")]
+        assert spark.conf.get(tables.OVERWRITE_MODE) == "static"
+    finally:
+        spark.conf.set(tables.OVERWRITE_MODE, "dynamic")
+
+
 def test_one_date_is_a_partition_filter(spark, lake):
     tables.append(ledger(spark, ("a", "01-01-2024"), ("b", "02-01-2024")), lake.analysed)
     df = tables.read_table(spark, lake.analysed, "01-01-2024", "date_partition")
@@ -71,6 +82,16 @@ def test_reference_is_seeded_once(spark, lake, tmp_path):
     assert dict(inferred.dtypes)["price"] == "double"
 
 
+def test_replace_leaves_nothing_behind(spark, lake, rows):
+    name = f"{lake.mart}.replaced"
+    for data in ([("a", "x"), ("b", "y")], [("c", "x")]):
+        df = spark.createDataFrame(data, "v string, part string")
+        tables.replace_table(df, name, lake.path(name), ["part"])
+    assert rows(spark.table(name)) == [("c", "x")]
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    assert rows(spark.table(name)) == [("c", "x")]
+
+
 def test_mart_views_show_silver_without_copy(spark, lake, tmp_path):
     reference.load_reference(spark, lake.reference, write_seed(tmp_path / "s", ["X"]), lake.path(lake.reference))
     consumer = f"{lake.mart}_views"
