@@ -32,9 +32,9 @@ def latest_per_key(
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-# Up to this many rows per group Spark limits groups before the shuffle by itself
-# (default of spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
+# Spark itself cuts each group to n rows per task before the shuffle. Above this n the
+# rows left of a large group are still many, so it is cut in slices first.
+SLICE_ABOVE = 100
 
 
 def top_n(
@@ -53,7 +53,7 @@ def top_n(
     """
     groups = [by] if isinstance(by, str) else list(by)
     rows = df if since is None else df.filter(since)
-    if n > GROUP_LIMIT:
+    if n > SLICE_ABOVE:
         rows = rows.withColumn("_slice", F.pmod(row_digest(rows), F.lit(spread)))
         in_slice = Window.partitionBy(*groups, "_slice").orderBy(*order)
         rows = rows.withColumn("_rank", F.row_number().over(in_slice))
@@ -62,6 +62,32 @@ def top_n(
     return rows.withColumn("rank", rank).filter(F.col("rank") <= n)
 
 
+# Kinds of listing and their time filters. The lengths are ours.
+SORT_TYPES = ("top", "controversial")
+DAY = 86_400
+TIME_FILTERS = {"all": None, "year": 365 * DAY, "month": 30 * DAY, "week": 7 * DAY, "day": DAY, "hour": 3_600}
+LISTING_LIMIT = 1000
+
+
+def listing(
+    df: DataFrame,
+    sort_type: str,
+    order: Sequence[Column],
+    now: int,
+    time_filter: str = "all",
+    limit: int = LISTING_LIMIT,
+) -> DataFrame:
+    """Up to ``limit`` submissions per subreddit of one listing.
+
+    The order is the caller's; the time filter counts back from ``now`` (epoch seconds).
+    """
+    if sort_type.lower() not in SORT_TYPES:
+        raise ValueError(f"unsupported sort type {sort_type}, must be one of {SORT_TYPES}")
+    seconds = TIME_FILTERS[time_filter.lower()]
+    since = None if seconds is None else F.col("created_utc") >= now - seconds
+    return top_n(df, "subreddit", order, limit, since).withColumn("sort_type", F.lit(sort_type.lower()))
+
+
 def surrogate_key(
     df: DataFrame, natural_key: str | Sequence[str], name: str, prefix: int = 3
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from mentionlake.functions.ids import analysis_id, analysis_id_murmur
 from mentionlake.functions.text import strip_space
-from mentionlake.operators.sizes import broadcast_if_small
+from mentionlake.operators.sizes import lookup
 from mentionlake.schemas import DOUBLE, STRING, struct
 
 Scorer = Callable[[pd.DataFrame], pd.Series]
@@ -123,7 +123,7 @@ def lexicon_mentions(context: DataFrame, lexicon: DataFrame) -> DataFrame:
     words = context.select(
         "comment_id", F.posexplode(F.split(F.lower("body"), WORD_BREAK)).alias("pos", "token")
     )
-    hits = words.join(broadcast_if_small(lexicon), "token")
+    hits = lookup(words, "token", lexicon.withColumnRenamed("token", "_word"), "_word")
 
     def value_of(kind: str) -> Column:
         return F.when(F.col("kind") == kind, F.col("value"))

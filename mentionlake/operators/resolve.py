@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mentionlake.operators.sizes import lookup
 from mentionlake.session import Save, materialise
 
 # Least similarity of an approximate match, and stand-in names.
@@ -128,11 +129,9 @@ def resolve_exact(mentions: DataFrame, reference: DataFrame) -> DataFrame:
     up over all brands.
     """
     brand, model = _raw("brand_name"), _raw("product_name")
-    joined = (
-        mentions.withColumns({"_brand": F.lower(brand), "_model": F.lower(model)})
-        .join(brand_index(reference), F.col("_brand") == F.col("brand_key"), "left")
-        .join(model_index(reference), F.col("_model") == F.col("model_key"), "left")
-    )
+    keyed = mentions.withColumns({"_brand": F.lower(brand), "_model": F.lower(model)})
+    branded = lookup(keyed, "_brand", brand_index(reference), "brand_key", "left")
+    joined = lookup(branded, "_model", model_index(reference), "model_key", "left")
     resolved = {
         "brand_name": _brand_or(brand, F.coalesce("canonical_brand", brand)),
         "product_name": _model_or(model, F.coalesce("canonical_model", model)),

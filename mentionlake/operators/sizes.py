@@ -1,17 +1,39 @@
-"""Broadcast behind a check of the size."""
+"""Broadcast behind a check of the size, and what to do beyond it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mentionlake.operators.dedupe import row_digest
+
 MAX_BROADCAST_ROWS = 200_000
+SALTS = 32
+
+
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; counts no further than that."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` (narrow) rows.
+def lookup(
+    left: DataFrame,
+    left_key: str,
+    right: DataFrame,
+    right_key: str,
+    how: str = "inner",
+    max_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Join ``left`` with a lookup table of narrow rows.
 
-    Counts no more than that many rows. A larger table is returned as it is, and
-    Spark joins it by shuffling both sides.
+    A small table is broadcast. A larger one is repeated under ``SALTS`` salts and
+    joined by shuffle, so that a key with most of the left rows is spread over that
+    many tasks; the result is the same.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    if is_small(right, max_rows):
+        return left.join(F.broadcast(right), F.col(left_key) == F.col(right_key), how)
+    salted = left.withColumn("_salt", F.pmod(row_digest(left), F.lit(SALTS)))
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    repeated = right.withColumn("_salt_of", F.explode(salts))
+    same = (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_salt_of"))
+    return salted.join(repeated, same, how).drop("_salt", "_salt_of")

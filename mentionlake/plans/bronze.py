@@ -5,8 +5,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mentionlake.operators import metrics
+from mentionlake.operators.checks import layer_counts
 from mentionlake.operators.dedupe import latest_per_key
 from mentionlake.operators.joins import merge_metrics
 from mentionlake.operators.merge import merge_into_table
@@ -56,7 +58,16 @@ def run_bronze(
         merged = merge_metrics(
             metrics.submission_metrics(batches["submissions"]), metrics.comment_metrics(batches["comments"])
         )
-        rows = metrics.run_metric_rows(merged)
+        rows = metrics.run_metric_rows(merged).unionByName(_rows_after(spark, lake))
         run = run_id or uuid.uuid4().hex
         append(metrics.as_recorded(rows, lake.environment, "bronze", process_date, run), lake.metrics)
     return sorted(touched)
+
+
+def _rows_after(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Rows of the bronze tables after the upsert, as metrics."""
+    counted = layer_counts({f"Bronze{kind.title()}Rows": spark.table(lake.bronze_table(kind)) for kind in KINDS})
+    return counted.select(
+        F.lit("AGGREGATE").alias("scope"), F.lit(None).cast("string").alias("subreddit"),
+        F.col("layer").alias("metric"), F.col("rows").cast("double").alias("value"), F.lit("Count").alias("unit"),
+    )

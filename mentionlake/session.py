@@ -23,6 +23,20 @@ SETTINGS = {
 }
 
 
+def cluster_settings(cores: int) -> dict[str, str]:
+    """Settings for many executors: shuffles start wide, adaptive execution merges.
+
+    With 128 MB as the aim of a shuffle partition the number is only an upper bound.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, 4 * cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": "256MB",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    }
+
+
 def get_spark(app_name: str = "mentionlake", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**SETTINGS, **settings}.items():

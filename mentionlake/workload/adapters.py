@@ -67,7 +67,7 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.length("text") % 200 - 50).alias("score"),
         _sort_type("conv_id").alias("sort_type"),
         F.concat(
-            F.lit("file:/lake/reddit/"), _sort_type("conv_id"), F.lit("/subreddit=src"), conv % 20,
+            F.lit("file:/lake/reddit/"), _sort_type("conv_id"), F.lit("/subreddit=src"), conv % 20 + 1,
             F.lit("/date="), date, F.lit("/comments.jsonl"),
         ).alias("source_file"),
         date.alias("partition_date"),
@@ -131,9 +131,11 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     submission = (
         F.when(conv % 13 == 0, "none").when(conv % 5 == 0, (conv + 1).cast("string")).otherwise(conv.cast("string"))
     )
-    rows = _with_part(spark, sf_dir).filter(conv % 7 != 3).select(
+    # Some mentions are of comments that are gone.
+    comment = F.when(conv % 7 == 3, F.concat("id", F.lit("-gone"))).otherwise(F.col("id"))
+    rows = _with_part(spark, sf_dir).select(
         submission.alias("submission_id"),
-        F.col("id").alias("comment_id"),
+        comment.alias("comment_id"),
         F.when(turn % 3 == 0, F.upper("p_brand")).when(turn % 7 == 5, "Nobrand").otherwise(F.col("p_brand")).alias("brand_name"),
         F.when(turn % 4 == 3, "general").when(turn % 4 == 1, F.upper(model)).otherwise(model).alias("product_name"),
         F.element_at(F.array(*map(F.lit, ["camera", "battery", "display", "price", "general"])), (turn % 5 + 1).cast("int")).alias("aspect"),

@@ -94,7 +94,7 @@ VIEWS: dict[str, str] = {
             CASE WHEN doc_id % 2 = 0 THEN 'top' ELSE 'controversial' END AS sort_type
           FROM documents)""",
     "comments": f"""
-        SELECT *, 'file:/lake/reddit/' || sort_type || '/subreddit=src' || (conv_id % 20) || '/date='
+        SELECT *, 'file:/lake/reddit/' || sort_type || '/subreddit=src' || (conv_id % 20 + 1) || '/date='
             || partition_date || '/comments.jsonl' AS source_file
         FROM (
           SELECT conv_id, turn, conv_id || '-' || turn AS id,
@@ -129,7 +129,7 @@ VIEWS: dict[str, str] = {
         SELECT *, sha256({_key('comment_id', 'brand_name', 'product_name', 'aspect', 'quote')}) AS analysis_id FROM (
           SELECT CASE WHEN conv_id % 13 = 0 THEN 'none' WHEN conv_id % 5 = 0 THEN CAST(conv_id + 1 AS VARCHAR)
                       ELSE CAST(conv_id AS VARCHAR) END AS submission_id,
-            id AS comment_id,
+            CASE WHEN conv_id % 7 = 3 THEN id || '-gone' ELSE id END AS comment_id,
             CASE WHEN turn % 3 = 0 THEN upper(p_brand) WHEN turn % 7 = 5 THEN 'Nobrand' ELSE p_brand END AS brand_name,
             CASE WHEN turn % 4 = 3 THEN 'general' WHEN turn % 4 = 1 THEN upper(p_name || ' ' || p_partkey)
                  ELSE p_name || ' ' || p_partkey END AS product_name,
@@ -138,7 +138,7 @@ VIEWS: dict[str, str] = {
             left(body, 200) AS quote,
             CASE WHEN conv_id % 37 <> 0 THEN make_timestamp(created_utc * 1000000) END AS analyzed_at,
             partition_date AS date_partition
-          FROM with_part WHERE conv_id % 7 <> 3)""",
+          FROM with_part)""",
     "raw_mentions": """
         SELECT id AS comment_id,
           CASE conv_id % 6 WHEN 1 THEN lower(p_brand) WHEN 2 THEN replace(p_brand, 'Brand', 'Brnd') WHEN 3 THEN ''
@@ -192,10 +192,9 @@ VIEWS: dict[str, str] = {
         SELECT subreddit, coalesce(s.n, 0) AS submissions_count, coalesce(c.n, 0) AS comments_count,
           s.lo AS earliest_submission_created_utc, s.hi AS latest_submission_created_utc,
           c.lo AS earliest_comment_created_utc, c.hi AS latest_comment_created_utc
-        FROM (SELECT subreddit, count(*) AS n, min(created_utc) AS lo, max(created_utc) AS hi FROM subs
-              WHERE subreddit <> 'src3' GROUP BY 1) s
-        FULL JOIN (SELECT 'src' || (conv_id % 20) AS subreddit, count(*) AS n, min(created_utc) AS lo,
-                     max(created_utc) AS hi FROM comments WHERE conv_id % 20 <> 4 GROUP BY 1) c USING (subreddit)""",
+        FROM (SELECT subreddit, count(*) AS n, min(created_utc) AS lo, max(created_utc) AS hi FROM subs GROUP BY 1) s
+        FULL JOIN (SELECT 'src' || (conv_id % 20 + 1) AS subreddit, count(*) AS n, min(created_utc) AS lo,
+                     max(created_utc) AS hi FROM comments GROUP BY 1) c USING (subreddit)""",
     "run_total": """
         SELECT CAST(sum(submissions_count) AS BIGINT) AS total_submissions,
           CAST(sum(comments_count) AS BIGINT) AS total_comments, count(*) AS subreddits_processed,
@@ -218,35 +217,35 @@ VIEWS: dict[str, str] = {
           c.lo AS earliest_comment_created_utc, c.hi AS latest_comment_created_utc
         FROM (SELECT subreddit, sort_type, count(*) AS n, min(created_utc) AS lo, max(created_utc) AS hi FROM subs
               GROUP BY 1, 2) s
-        FULL JOIN (SELECT 'src' || (conv_id % 20) AS subreddit, sort_type, count(*) AS n, min(created_utc) AS lo,
-                     max(created_utc) AS hi FROM comments WHERE conv_id % 20 <> 4 GROUP BY 1, 2) c
+        FULL JOIN (SELECT 'src' || (conv_id % 20 + 1) AS subreddit, sort_type, count(*) AS n, min(created_utc) AS lo,
+                     max(created_utc) AS hi FROM comments GROUP BY 1, 2) c
           USING (subreddit, sort_type)""",
     "by_product": """
         SELECT p.*, m.sentiment_score, m.aspect FROM mentions m JOIN products p
         ON lower(m.brand_name) = p.brand AND m.product_name = p.model""",
     "second_look": """
-        SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 2 = 0 THEN updated_at + 10 ELSE updated_at - 10 END AS updated_at,
-          score + 5000 AS score, '15' || substr(partition_date, 3) AS partition_date)
-        FROM subs WHERE CAST(id AS BIGINT) % 3 = 0""",
+        SELECT * REPLACE (updated_at + (CAST(id AS BIGINT) % 3 - 1) * 10 AS updated_at, score + 5000 AS score,
+          '15' || substr(partition_date, 3) AS partition_date) FROM subs""",
     "bronze_state": f"""
-        SELECT id, updated_at, score, subreddit, partition_date FROM second_look WHERE CAST(id AS BIGINT) % 2 = 0
+        SELECT id, updated_at, score, subreddit, partition_date FROM second_look WHERE CAST(id AS BIGINT) % 3 = 2
         UNION ALL
-        SELECT id, updated_at, score, subreddit, {_LANDING_DAY} FROM subs WHERE CAST(id AS BIGINT) % 6 <> 0""",
+        SELECT id, updated_at, score, subreddit, {_LANDING_DAY} FROM subs WHERE CAST(id AS BIGINT) % 3 <> 2""",
+    "latest_events": """
+        SELECT user_id, event_type, event_id, value, ts FROM (
+          SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS rn FROM events)
+        WHERE rn = 1""",
     "event_target": """
-        SELECT user_id, event_type, event_id, value, CASE WHEN user_id % 17 <> 0 THEN ts END AS ts FROM (
-          SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS rn
-          FROM events WHERE ts < TIMESTAMP '2024-01-16')
-        WHERE rn = 1 AND (user_id + length(event_type)) % 7 <> 0""",
+        SELECT * REPLACE (CASE WHEN user_id % 7 = 0 THEN -user_id ELSE user_id END AS user_id,
+          CASE WHEN user_id % 17 <> 0 THEN ts END AS ts) FROM latest_events""",
     "event_source": """
-        SELECT user_id, event_type, event_id, value, ts FROM (
-          SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS rn
-          FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND event_id % 3 = 0) WHERE rn = 1""",
+        SELECT * REPLACE (event_id + 1000000 AS event_id, ts + to_days(CAST(event_id % 3 - 1 AS INTEGER)) AS ts)
+        FROM latest_events""",
     "checkpoint_log": """
-        SELECT 'user' || (user_id % 20) AS subreddit,
+        SELECT 'user' || user_id AS subreddit,
           CASE WHEN user_id % 3 <> 0 THEN event_type END AS sort_type,
           CASE WHEN user_id % 3 <> 0 THEN 'all' END AS time_filter,
           event_id, CAST(floor(value) AS BIGINT) AS items_fetched,
-          CASE WHEN event_id % 2 = 0 THEN 1 WHEN user_id % 4 <> 0 THEN 2 END AS save
+          CASE WHEN event_id % 2 = 0 THEN 1 ELSE 2 END AS save
         FROM events""",
     "calendar": """
         SELECT DATE '2000-01-01' + CAST(i AS INTEGER) AS full_date FROM range(11500) t(i)""",
@@ -346,7 +345,7 @@ SQL: dict[str, str] = {
     "landing_quarantine": _STATE,
     "landing_partitions": f"SELECT DISTINCT sort_type, subreddit, {_LANDING_DAY} AS partition_date FROM subs",
     "partition_scan": "SELECT id, subreddit, score, partition_date FROM subs WHERE partition_date = '05-01-2024'",
-    "append_count": """SELECT partition_date, count(*) + count(*) FILTER (score >= 500) AS rows FROM subs GROUP BY 1""",
+    "append_count": """SELECT partition_date, 2 * count(*) AS rows FROM subs GROUP BY 1""",
     "overwrite_partitions": """
         SELECT partition_date, count(*) AS rows, CAST(sum(score) AS BIGINT) AS score FROM (
           SELECT partition_date, CASE WHEN starts_with(partition_date, '1') THEN score + 1000 ELSE score END AS score
@@ -354,7 +353,7 @@ SQL: dict[str, str] = {
                 FROM subs) WHERE NOT replaced OR score >= 200) GROUP BY 1""",
     "ref_csv_roundtrip": "SELECT brand_name, model, price, avg_rating, has_5g, screen_size, brand FROM products",
     "path_extract": """
-        SELECT id, 'src' || (conv_id % 20) AS subreddit, partition_date AS date, sort_type, '' AS absent FROM comments""",
+        SELECT id, 'src' || (conv_id % 20 + 1) AS subreddit, partition_date AS date, sort_type, '' AS absent FROM comments""",
     "word_count": f"SELECT doc_id, CAST({_words('text')} AS INTEGER) AS words, CAST({_chars('text')} AS INTEGER) AS chars FROM documents",
     "flag_submissions": "SELECT id, title, selftext, partition_date, is_usable_for_sentiment FROM subs_silver",
     "flag_comments": "SELECT id, body, is_usable_for_sentiment FROM comments_silver",
@@ -433,7 +432,7 @@ SQL: dict[str, str] = {
         SELECT subreddit, count(*) AS submissions_count, min(created_utc) AS earliest_submission_created_utc,
           max(created_utc) AS latest_submission_created_utc FROM subs GROUP BY 1""",
     "comment_metrics": """
-        SELECT 'src' || (conv_id % 20) AS subreddit, count(*) AS comments_count,
+        SELECT 'src' || (conv_id % 20 + 1) AS subreddit, count(*) AS comments_count,
           min(created_utc) AS earliest_comment_created_utc, max(created_utc) AS latest_comment_created_utc
         FROM comments GROUP BY 1""",
     "run_metrics": "SELECT * FROM run_total",
@@ -480,6 +479,10 @@ SQL: dict[str, str] = {
         SELECT subreddit, CAST(rn AS INTEGER) AS rank, id, score FROM (
           SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY score DESC, id) AS rn FROM subs
           WHERE created_utc >= {START + 86400}) WHERE rn <= 5""",
+    "listing_top": f"""
+        SELECT subreddit, 'top' AS sort_type, CAST(rn AS INTEGER) AS rank, id FROM (
+          SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY score DESC, id) AS rn FROM subs
+          WHERE created_utc >= {START - 86400}) WHERE rn <= 150""",
     "comments_per_submission": """
         SELECT link_id, CAST(rn AS INTEGER) AS rank, id FROM (
           SELECT *, row_number() OVER (PARTITION BY link_id ORDER BY score DESC, id) AS rn FROM comments) WHERE rn <= 2000""",
@@ -508,7 +511,7 @@ SQL: dict[str, str] = {
     "checkpoint_upsert": """
         SELECT subreddit, sort_type, time_filter, event_id AS last_timestamp, items_fetched FROM (
           SELECT *, row_number() OVER (PARTITION BY subreddit, sort_type, time_filter ORDER BY save DESC, event_id DESC) AS rn
-          FROM checkpoint_log WHERE save IS NOT NULL) WHERE rn = 1""",
+          FROM checkpoint_log) WHERE rn = 1""",
     "dim_date": """
         SELECT d.*, coalesce(o.n, 0) AS orders FROM dim_date d
         LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1) o ON d.full_date = o.day""",

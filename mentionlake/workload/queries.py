@@ -16,7 +16,7 @@ from mentionlake.functions.products import price_segment
 from mentionlake.operators import (
     analytics, canonical, checks, context, extract, joins, metrics, prompts, quality, resolve,
 )
-from mentionlake.operators.dedupe import latest_per_key, surrogate_key, top_n
+from mentionlake.operators.dedupe import latest_per_key, listing, surrogate_key, top_n
 from mentionlake.operators.merge import merge_latest
 from mentionlake.plans import gold
 from mentionlake.plans.bronze import run_bronze
@@ -145,7 +145,7 @@ def partition_scan(spark, sf_dir):
 @query
 def append_count(spark, sf_dir):
     name = _silver_table(spark, sf_dir)
-    tables.append(a.subs_silver(spark, sf_dir).filter("score >= 500"), name)
+    tables.append(a.subs_silver(spark, sf_dir), name)
     return spark.table(name).groupBy("partition_date").agg(F.count("*").alias("rows"))
 
 
@@ -365,10 +365,9 @@ def fact_priority_join_unique(spark, sf_dir):
 
 
 def _merged_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Submissions of some subreddits only, so that each side misses some."""
-    s = a.subs(spark, sf_dir).filter(F.col("subreddit") != "src3")
-    c = a.comments(spark, sf_dir).filter(~F.col("source_file").contains("=src4/"))
-    return joins.merge_metrics(metrics.submission_metrics(s), metrics.comment_metrics(c))
+    return joins.merge_metrics(
+        metrics.submission_metrics(a.subs(spark, sf_dir)), metrics.comment_metrics(a.comments(spark, sf_dir))
+    )
 
 
 @query
@@ -498,7 +497,7 @@ def usable_ratio(spark, sf_dir):
 
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = a.comments(spark, sf_dir).withColumn("subreddit", path_part("source_file", "subreddit"))
-    return metrics.listing_summary(a.subs(spark, sf_dir), c.filter("subreddit <> 'src4'"))
+    return metrics.listing_summary(a.subs(spark, sf_dir), c)
 
 
 @query
@@ -599,6 +598,13 @@ def top_n_per_group(spark, sf_dir):
     return top_n(a.subs(spark, sf_dir), "subreddit", order, 5, since).select("subreddit", "rank", "id", "score")
 
 
+@query
+def listing_top(spark, sf_dir):
+    order = [F.desc("score"), F.col("id")]
+    found = listing(a.subs(spark, sf_dir), "top", order, a.START + 364 * 86400, "year", 150)
+    return found.select("subreddit", "sort_type", "rank", "id")
+
+
 @query
 def comments_per_submission(spark, sf_dir):
     order = [F.desc("score"), F.col("id")]
@@ -618,34 +624,36 @@ def sample_rejects(spark, sf_dir):
 # --- Upsert, jobs, incremental ----------------------------------------------------
 
 
-def _event_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A target with some missing versions, and a source that overlaps it in time."""
+def _event_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The latest events as target, and as source with older, equal and newer versions.
+
+    Some users have another number on each side; some target versions are missing.
+    """
     e = a.table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts", "value")
     keys = ["user_id", "event_type"]
-    target = latest_per_key(e.filter("ts < timestamp_ntz '2024-01-16'"), keys, "ts", ["event_id"])
-    target = target.filter("(user_id + length(event_type)) % 7 <> 0")
-    target = target.withColumn("ts", F.when(F.col("user_id") % 17 != 0, F.col("ts")))
-    source = latest_per_key(
-        e.filter("ts >= timestamp_ntz '2024-01-10' AND event_id % 3 = 0"), keys, "ts", ["event_id"]
+    latest = latest_per_key(e, keys, "ts", ["event_id"])
+    user, event = F.col("user_id"), F.col("event_id")
+    target = latest.withColumns(
+        {"ts": F.when(user % 17 != 0, F.col("ts")), "user_id": F.when(user % 7 == 0, -user).otherwise(user)}
     )
+    shift = F.make_dt_interval((event % 3 - 1).cast("int"))
+    source = latest.withColumns({"ts": F.col("ts") + shift, "event_id": event + 1_000_000})
     return target, source
 
 
 @query
 def merge_latest_events(spark, sf_dir):
-    target, source = _event_halves(spark, sf_dir)
+    target, source = _event_sides(spark, sf_dir)
     return merge_latest(target, source, ["user_id", "event_type"], "ts").select(
         "user_id", "event_type", "event_id", "value"
     )
 
 
 def _second_observation(s: DataFrame) -> DataFrame:
-    """Every third post seen again on another day, half of them with a stale version."""
-    number = F.col("id").cast("bigint")
-    again = s.filter(number % 3 == 0)
-    return again.withColumns(
+    """Every post seen again on another day, with an older, the same or a newer version."""
+    return s.withColumns(
         {
-            "updated_at": F.when(number % 2 == 0, F.col("updated_at") + 10).otherwise(F.col("updated_at") - 10),
+            "updated_at": F.col("updated_at") + (F.col("id").cast("bigint") % 3 - 1) * 10,
             "score": F.col("score") + 5000,
             "date": F.concat(F.lit("15"), F.substring("date", 3, 8)),
         }
@@ -663,7 +671,7 @@ def _bronze_state(spark: SparkSession, lake: Lake) -> DataFrame:
 
 @query
 def bronze_job(spark, sf_dir):
-    """Two runs: the posts and comments, then a second look at a third of the posts."""
+    """Two runs: the posts and comments, then a second look at the posts."""
     lake = temp_lake(spark)
     s = landed_subs(spark, sf_dir)
     globs = {"submissions": "*.json", "comments": "*.json"}
@@ -733,7 +741,7 @@ def checkpoint_upsert(spark, sf_dir):
         e = a.table(spark, sf_dir, "events").filter(part)
         return e.select(
             F.lit("prod").alias("environment"),
-            F.concat(F.lit(" user"), F.col("user_id") % 20).alias("subreddit"),
+            F.concat(F.lit(" user"), F.col("user_id")).alias("subreddit"),
             F.lit("listing").alias("checkpoint_type"),
             F.when(F.col("user_id") % 3 != 0, F.col("event_type")).alias("sort_type"),
             F.lit("all").alias("time_filter"),
@@ -746,7 +754,7 @@ def checkpoint_upsert(spark, sf_dir):
     early = F.col("event_id") % 2 == 0
     nothing = spark.createDataFrame([], CHECKPOINTS)
     first = upsert_checkpoints(nothing, records(early))
-    later = upsert_checkpoints(first, records(~early & (F.col("user_id") % 4 != 0)))
+    later = upsert_checkpoints(first, records(~early))
     return later.select("subreddit", "sort_type", "time_filter", "last_timestamp", "items_fetched")
 
 

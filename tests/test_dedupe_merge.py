@@ -1,8 +1,9 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from mentionlake.operators.dedupe import latest_per_key, surrogate_key, top_n
+from mentionlake.operators.dedupe import latest_per_key, listing, surrogate_key, top_n
 from mentionlake.operators.merge import merge_into_table, merge_latest
 from mentionlake.schemas import bronze_schema
 from mentionlake.sources.tables import append
@@ -46,6 +47,17 @@ def test_top_n_same_on_both_routes(spark, rows):
     assert top_n(df, "g", order, 3, since=F.col("score") > 10006).count() == 0
 
 
+def test_listing(spark, rows):
+    now = 1704067200
+    data = [("phones", "a", now - 10, 1), ("phones", "b", now - 90000, 9), ("tabs", "c", now - 3700, 5), ("tabs", "d", now, 5)]
+    df = spark.createDataFrame(data, "subreddit string, id string, created_utc bigint, score int")
+    order = [F.desc("score"), F.col("id")]
+    assert rows(listing(df, "Top", order, now, "day"), "id", "rank", "sort_type") == [("a", 1, "top"), ("c", 1, "top"), ("d", 2, "top")]
+    assert rows(listing(df, "controversial", order, now, limit=1), "id") == [("b",), ("c",)]
+    with pytest.raises(ValueError):
+        listing(df, "new", order, now)
+
+
 def test_surrogate_keys_are_dense_and_stable(spark):
     df = spark.createDataFrame([(f"k{i}", i) for i in range(3000)], "k string, v int")
     first = {r.k: r.key for r in surrogate_key(df, "k", "key").collect()}

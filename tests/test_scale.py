@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mentionlake.operators import analytics, context, resolve
-from mentionlake.operators.sizes import broadcast_if_small
+from mentionlake.operators.sizes import lookup
 from mentionlake.plans import gold
 from mentionlake.sources.tables import clustered
 from mentionlake.workload import adapters, queries
@@ -95,10 +95,17 @@ def test_hot_product_is_summed_before_the_join(spark):
     assert aggregate > join  # the lowest aggregate lies below the join with the products
 
 
-def test_broadcast_only_below_the_limit(spark):
-    df = spark.range(100)
-    assert "broadcast" in broadcast_if_small(df, 100)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in broadcast_if_small(df, 99)._jdf.queryExecution().logical().toString().lower()
+def test_lookup_beyond_the_limit_is_salted(spark, rows):
+    left = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    right = spark.range(0, 3000, 2).select(F.col("id").cast("string").alias("key"), F.col("id").alias("v"))
+    right = right.unionByName(spark.createDataFrame([("hot", -1)], "key string, v bigint"))
+    for how in ("inner", "left"):
+        small, large = (lookup(left, "k", right, "key", how, max_rows=n) for n in (10_000, 10))
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "_salt" in large._jdf.queryExecution().executedPlan().toString()
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert small.columns == large.columns and rows(small) == rows(large)
 
 
 def test_hot_brand_is_matched_in_slices(spark):
