@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentionlake.operators.sizes import lookup
+from mentionlake.operators.sizes import is_small, lookup
 from mentionlake.session import Save, materialise
 
 # Least similarity of an approximate match, and stand-in names.
@@ -62,28 +62,45 @@ def best_match(
     matcher: Matcher = difflib_best,
     texts_per_task: int = 5_000,
     candidates_per_task: int = 20_000,
+    one_block: bool = False,
 ) -> DataFrame:
     """For each (block, text) the most similar candidate of its block, if any passes.
+    ``one_block`` says that all rows have the same block.
 
-    Both inputs are cut into slices, as many as their counts ask for, and every
-    slice of texts meets every slice of candidates of the same block in a task of
+    Both inputs are cut into slices, per block as many as its counts ask for, and
+    every slice of texts meets every slice of candidates of its block in a task of
     its own. So neither a block with most of the texts nor a long list of candidates
-    is ever held by one task, and nothing is broadcast. A task returns one row per
-    text at most.
+    is ever held by one task. A task returns one row per text at most.
     """
-    def slices(df: DataFrame, per_task: int) -> Column:
-        return df.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / per_task))).scalar()
-
-    def slice_of(c: str, n: Column) -> Column:
-        return F.pmod(F.xxhash64(c), n)
-
-    def every(n: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
-
-    text_slices = slices(texts, texts_per_task)
-    candidate_slices = slices(candidates, candidates_per_task)
-    t = texts.withColumn("ts", slice_of("text", text_slices)).withColumn("cs", every(candidate_slices))
-    c = candidates.withColumn("cs", slice_of("candidate", candidate_slices)).withColumn("ts", every(text_slices))
+    def slices(per_task: int) -> Column:
+        return F.greatest(F.lit(1), F.ceil(F.count("*") / per_task))
+
+    if one_block:
+        counts = {
+            "text_slices": texts.agg(slices(texts_per_task)).scalar(),
+            "candidate_slices": candidates.agg(slices(candidates_per_task)).scalar(),
+        }
+        counted = lambda df: df.withColumns(counts)
+    else:
+        # One row per block that has both texts and candidates.
+        sizes = texts.groupBy("block").agg(slices(texts_per_task).alias("text_slices")).join(
+            candidates.groupBy("block").agg(slices(candidates_per_task).alias("candidate_slices")), "block"
+        ).withColumnRenamed("block", "_block")
+        small = is_small(sizes)
+        counted = lambda df: lookup(df, "block", sizes, "_block", small=small)
+
+    def slice_of(c: str, n: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.col(n))
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
+    t = counted(texts).select(
+        "block", "text", slice_of("text", "text_slices").alias("ts"), every("candidate_slices").alias("cs")
+    )
+    c = counted(candidates).select(
+        "block", "candidate", slice_of("candidate", "candidate_slices").alias("cs"), every("text_slices").alias("ts")
+    )
     keys = ["block", "ts", "cs"]
 
     def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -152,7 +169,11 @@ def _model_or(raw: Column, value: Column) -> Column:
 
 
 def resolve_brands(
-    brands: DataFrame, reference: DataFrame, cutoff: float = BRAND_CUTOFF, matcher: Matcher = difflib_best
+    brands: DataFrame,
+    reference: DataFrame,
+    cutoff: float = BRAND_CUTOFF,
+    matcher: Matcher = difflib_best,
+    save: Save = materialise,
 ) -> DataFrame:
     """``brands`` (distinct ``raw_brand``) with ``brand_name``: exact, else closest, else as is."""
     index = brand_index(reference)
@@ -163,7 +184,8 @@ def resolve_brands(
         F.lit(ANY_BLOCK).alias("block"), F.col("_key").alias("text")
     ).distinct()
     candidates = index.select(F.lit(ANY_BLOCK).alias("block"), F.col("brand_key").alias("candidate"))
-    close = best_match(open_texts, candidates, cutoff, matcher).join(
+    open_texts = save(open_texts, "open-brands")
+    close = best_match(open_texts, candidates, cutoff, matcher, one_block=True).join(
         index.select(F.col("brand_key").alias("candidate"), F.col("canonical_brand").alias("_close")), "candidate"
     ).select(F.col("text").alias("_key"), "_close")
     named = F.coalesce("canonical_brand", "_close", "raw_brand")
@@ -173,7 +195,11 @@ def resolve_brands(
 
 
 def resolve_models(
-    pairs: DataFrame, reference: DataFrame, cutoff: float = MODEL_CUTOFF, matcher: Matcher = difflib_best
+    pairs: DataFrame,
+    reference: DataFrame,
+    cutoff: float = MODEL_CUTOFF,
+    matcher: Matcher = difflib_best,
+    save: Save = materialise,
 ) -> DataFrame:
     """``pairs`` (distinct ``brand_name``, ``raw_model``) with ``product_name``.
 
@@ -197,6 +223,7 @@ def resolve_models(
     candidates = per_brand.select(
         F.concat(F.lit("brand:"), F.col("brand")).alias("block"), F.col("model").alias("candidate")
     ).unionByName(models.select(F.lit(ANY_BLOCK).alias("block"), F.col("model_key").alias("candidate")))
+    open_texts = save(open_texts, "open-models")
     close = best_match(open_texts, candidates, cutoff, matcher).join(
         models.select(F.col("model_key").alias("candidate"), F.col("canonical_model").alias("_close")), "candidate"
     ).select("block", F.col("text").alias("_key"), "_close")
@@ -221,9 +248,9 @@ def resolve_pairs(
     """
     pairs = mentions.select(_raw("brand_name").alias("raw_brand"), _raw("product_name").alias("raw_model")).distinct()
     pairs = save(pairs, "pairs")
-    brands = resolve_brands(pairs.select("raw_brand").distinct(), reference, brand_cutoff, matcher)
+    brands = resolve_brands(pairs.select("raw_brand").distinct(), reference, brand_cutoff, matcher, save)
     branded = pairs.join(save(brands, "brands"), "raw_brand")
-    models = resolve_models(branded.select("brand_name", "raw_model").distinct(), reference, model_cutoff, matcher)
+    models = resolve_models(branded.select("brand_name", "raw_model").distinct(), reference, model_cutoff, matcher, save)
     return branded.join(models, ["brand_name", "raw_model"]).select(
         "raw_brand", "raw_model", "brand_name", "product_name"
     )

@@ -23,14 +23,15 @@ def lookup(
     right_key: str,
     how: str = "inner",
     max_rows: int = MAX_BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join ``left`` with a lookup table of narrow rows.
 
     A small table is broadcast. A larger one is repeated under ``SALTS`` salts and
     joined by shuffle, so that a key with most of the left rows is spread over that
-    many tasks; the result is the same.
+    many tasks; the result is the same. ``small`` states the size if it is known.
     """
-    if is_small(right, max_rows):
+    if is_small(right, max_rows) if small is None else small:
         return left.join(F.broadcast(right), F.col(left_key) == F.col(right_key), how)
     salted = left.withColumn("_salt", F.pmod(row_digest(left), F.lit(SALTS)))
     salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))

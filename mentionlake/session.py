@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,12 +55,15 @@ def scratch_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="mentionlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        return root
+        return _local_root()
     raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="mentionlake-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/mentionlake/{label}-{uuid.uuid4().hex}"
 

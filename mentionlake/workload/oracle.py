@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from mentionlake.operators.prompts import INSTRUCTIONS
+
 START = 1704067200
 TWO_YEARS = 2 * 365 * 86400
 
@@ -407,6 +409,12 @@ SQL: dict[str, str] = {
             CASE WHEN c.body NOT IN {SENTINEL} THEN 'Parent Comment: ' || c.body END)
           || chr(10) || chr(10) || 'Target Comment to Analyze:' || chr(10) || '"' || x.body || '"' AS prompt
         FROM context x LEFT JOIN comments c ON x.parent_id = 't1_' || c.id""",
+    "prompt_brands": f"""
+        SELECT '{INSTRUCTIONS}' || string_agg(brand, ', ' ORDER BY brand) AS system_text
+        FROM (SELECT DISTINCT brand FROM products ORDER BY brand LIMIT 50)""",
+    "score_stub": """
+        SELECT comment_id, 'Brand#1' AS brand_name, '' AS product_name, 'camera' AS aspect,
+          round(CAST(length(body) % 11 AS DOUBLE) / 10, 6) AS sentiment_score FROM context""",
     "parse_responses": "SELECT comment_id, brand_name, product_name, aspect, sentiment_score, quote FROM items",
     "parse_responses_strict": """
         SELECT comment_id, brand_name, product_name, aspect, sentiment_score, quote FROM items
