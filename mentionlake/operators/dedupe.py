@@ -89,14 +89,19 @@ def listing(
 
 
 def surrogate_key(
-    df: DataFrame, natural_key: str | Sequence[str], name: str, prefix: int = 3
+    df: DataFrame,
+    natural_key: str | Sequence[str],
+    name: str,
+    prefix: int = 3,
+    tiebreak: Column | None = None,
 ) -> DataFrame:
     """Number rows 1..N without gaps, in the order of the MD5 of their natural key.
 
     The leading ``prefix`` hexadecimal digits spread the rows evenly over buckets
     (4096 by default). Each bucket is ranked by itself and shifted by the rows in
     the buckets before it, so no task ever sorts the whole table. The numbering
-    depends on the data alone. The natural key must identify a row.
+    depends on the data alone. The natural key should identify a row; where it may
+    not, ``tiebreak`` orders the rows that share one.
     """
     keys = [natural_key] if isinstance(natural_key, str) else list(natural_key)
     digest = F.md5(canonical_text(*keys))
@@ -105,7 +110,8 @@ def surrogate_key(
     sizes = hashed.groupBy("_bucket").agg(F.count("*").alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_bucket")) - F.col("_size")
     offsets = sizes.select("_bucket", before.alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_digest"))
+    order = ["_digest"] if tiebreak is None else ["_digest", tiebreak]
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
     numbered = (
         hashed.withColumn("_rank", rank)
         .join(F.broadcast(offsets), "_bucket")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mentionlake.functions.dates import date_key, epoch_date, epoch_ts
 from mentionlake.functions.ids import short_id
 from mentionlake.functions.products import USD_FACTOR, as_flag
-from mentionlake.operators.dedupe import surrogate_key
+from mentionlake.operators.dedupe import row_digest, surrogate_key
 from mentionlake.operators.joins import or_join
 from mentionlake.plans.layout import Lake
 from mentionlake.sources.tables import replace_table
@@ -64,7 +64,7 @@ def dim_product(reference: DataFrame) -> DataFrame:
         as_flag("`5G_or_not`").alias("is_5g"),
         *figures,
     )
-    return surrogate_key(rows, ["brand_name", "model"], "product_key")
+    return surrogate_key(rows, ["brand_name", "model"], "product_key", tiebreak=row_digest(rows))
 
 
 def dim_submission(submissions: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from mentionlake.operators.dedupe import latest_per_key, listing, surrogate_key, top_n
+from mentionlake.operators.dedupe import latest_per_key, listing, row_digest, surrogate_key, top_n
 from mentionlake.operators.merge import merge_into_table, merge_latest
 from mentionlake.schemas import bronze_schema
 from mentionlake.sources.tables import append
@@ -66,6 +66,13 @@ def test_surrogate_keys_are_dense_and_stable(spark):
     assert first == again
 
 
+def test_rows_sharing_a_natural_key_keep_their_numbers(spark):
+    df = spark.createDataFrame([("k", i) for i in range(40)], "k string, v int")
+    found = {tuple(sorted((r.v, r.key) for r in surrogate_key(d, "k", "key", tiebreak=row_digest(d)).collect()))
+             for d in (df, df.repartition(5), df.orderBy(F.desc("v")))}
+    assert len(found) == 1
+
+
 def upsert(target, source):
     """The rule row by row: higher versions replace, new keys are added."""
     state = {i: (i, v, p) for i, v, p in target if i is not None}
