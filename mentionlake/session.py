@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import cache
@@ -45,6 +47,27 @@ def get_spark(app_name: str = "mentionlake", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once per application.
+
+    Functions that run in workers are pickled by reference, so an executor must be
+    able to import the package, wherever the driver was started.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_mentionlake_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="mentionlake-ship-"), "mentionlake.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as bundle:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    bundle.write(file, os.path.relpath(file, os.path.dirname(root)))
+    context.addPyFile(path)
+    context._mentionlake_shipped = True
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
