@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from mentionlake.llm import mixing, sharding
+from mentionlake.llm import decontamination, mixing, sharding
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 def _bid(shard: int) -> str:
@@ -99,4 +101,31 @@ def _mixing() -> str:
     FROM copies"""
 
 
-SQL = {"op4_rendezvous_sharding": _sharding(), "op10_curriculum_mixing": _mixing()}
+def _decontamination() -> str:
+    words = f"regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    m = decontamination.WINDOW
+    return f"""
+    WITH items AS (SELECT item_id::VARCHAR AS item, {words} AS w FROM benchmark WHERE item_id IS NOT NULL),
+    windows AS (
+        SELECT DISTINCT item, least({m}, len(w)) AS m, array_to_string(w[i:i + least({m}, len(w)) - 1], ' ') AS s
+        FROM (SELECT item, w, unnest(range(1, len(w) - least({m}, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)
+    ),
+    docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+    places AS (
+        SELECT r, i, m, array_to_string(w[i:i + m - 1], ' ') AS s
+        FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM docs, (SELECT DISTINCT m FROM windows))
+    ),
+    found AS (SELECT r, i, m, item FROM places JOIN windows USING (m, s)),
+    hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS p FROM found) GROUP BY r),
+    named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)"""
+
+
+SQL = {
+    "op4_rendezvous_sharding": _sharding(),
+    "op5_wu_manber_decontamination": _decontamination(),
+    "op10_curriculum_mixing": _mixing(),
+}

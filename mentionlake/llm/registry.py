@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import mixing, oracle, sharding
+from mentionlake.llm import decontamination, mixing, oracle, sharding
 from mentionlake.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,14 @@ def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op5_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "doc_id", "n_words", decontamination.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontamination.contaminated().alias("contaminated"))
+
+
 def op10_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents, in the order of their first training position."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -34,6 +42,7 @@ def op10_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
+    "op5_wu_manber_decontamination": op5_wu_manber_decontamination,
     "op10_curriculum_mixing": op10_curriculum_mixing,
 }
 ORACLES: dict[str, str] = {name: sql for name, sql in oracle.SQL.items() if name in QUERIES}
