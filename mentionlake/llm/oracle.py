@@ -124,7 +124,22 @@ def _decontamination() -> str:
     FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)"""
 
 
+def _warc() -> str:
+    # Five hex digits are four digits of base 32.
+    groups = " || ".join(
+        f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, {5 * g + 1}, 5))::INT >> {s}) & 31) + 1), 1)" for g in range(8) for s in (15, 10, 5, 0)
+    )
+    return f"""
+    WITH hashed AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+    largest AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS first FROM hashed)
+    SELECT page_id, payload_bytes, {groups} AS payload_digest,
+           CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+    FROM largest"""
+
+
 SQL = {
+    "op3_warc_zstd": _warc(),
     "op4_rendezvous_sharding": _sharding(),
     "op5_wu_manber_decontamination": _decontamination(),
     "op10_curriculum_mixing": _mixing(),

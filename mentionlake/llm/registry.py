@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontamination, mixing, oracle, sharding
+from mentionlake.llm import decontamination, mixing, oracle, sharding, warc
 from mentionlake.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all pages to archives in the shared folder and reads these back."""
+    records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 15 by law ``key``; a text's bytes are none where it is null."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -41,6 +47,7 @@ def op10_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_warc_zstd": op3_warc_zstd,
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op5_wu_manber_decontamination": op5_wu_manber_decontamination,
     "op10_curriculum_mixing": op10_curriculum_mixing,
