@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontamination, mixing, oracle, sharding, warc
+from mentionlake.llm import decontamination, mixing, oracle, sharding, simhash, warc
 from mentionlake.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op3_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all pages to archives in the shared folder and reads these back."""
     records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")))
@@ -47,6 +52,7 @@ def op10_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_golay_simhash": op2_golay_simhash,
     "op3_warc_zstd": op3_warc_zstd,
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op5_wu_manber_decontamination": op5_wu_manber_decontamination,
