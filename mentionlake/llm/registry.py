@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontamination, mixing, oracle, sharding, simhash, warc
+from mentionlake.llm import decontamination, mixing, oracle, quality, sharding, simhash, toxicity, warc
 from mentionlake.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_nnpu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"), keep=["doc_id"])
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -41,6 +47,12 @@ def op5_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontamination.contaminated().alias("contaminated"))
 
 
+def op9_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), keep=["doc_id"])
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents, in the order of their first training position."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -52,10 +64,12 @@ def op10_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_nnpu_quality": op1_nnpu_quality,
     "op2_golay_simhash": op2_golay_simhash,
     "op3_warc_zstd": op3_warc_zstd,
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op5_wu_manber_decontamination": op5_wu_manber_decontamination,
+    "op9_counterfactual_toxicity": op9_counterfactual_toxicity,
     "op10_curriculum_mixing": op10_curriculum_mixing,
 }
 ORACLES: dict[str, str] = {name: sql for name, sql in oracle.SQL.items() if name in QUERIES}
