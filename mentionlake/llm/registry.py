@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontamination, mixing, oracle, quality, sharding, simhash, toxicity, warc
+from mentionlake.llm import decontamination, mixing, multiset, oracle, quality, sharding, simhash, toxicity, warc
 from mentionlake.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,16 @@ def op5_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontamination.contaminated().alias("contaminated"))
 
 
+def op6_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = multiset.edited_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = rows.withColumn("edited_fp", multiset.fingerprint(F.col("edited")))
+    fp, edited, following = F.col("fp"), F.col("edited_fp"), F.col("next_fp")
+    return rows.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        multiset.to_hex(fp).alias("fingerprint"), multiset.to_hex(edited).alias("edited_fingerprint"),
+        multiset.likeness(fp, edited).alias("near_edited"), multiset.likeness(fp, following).alias("near_next"))
+
+
 def op9_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = toxicity.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), keep=["doc_id"])
@@ -69,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op3_warc_zstd": op3_warc_zstd,
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op5_wu_manber_decontamination": op5_wu_manber_decontamination,
+    "op6_multiset_hash": op6_multiset_hash,
     "op9_counterfactual_toxicity": op9_counterfactual_toxicity,
     "op10_curriculum_mixing": op10_curriculum_mixing,
 }
