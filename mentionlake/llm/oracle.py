@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mentionlake.llm import decontamination, mixing, sharding
+from mentionlake.llm import decontamination, mixing, sharding, urls
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -138,9 +138,68 @@ def _warc() -> str:
     FROM largest"""
 
 
+def _urls() -> str:
+    rules = sorted(urls.RULES, key=lambda r: -len(r.name))
+    fits = [f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN" for r in rules]
+    name = " ".join(f"{f} '{r.name}'" for f, r in zip(fits, rules, strict=True))
+    allow = " ".join(f"{f} {str(r.allow).lower()}" for f, r in zip(fits, rules, strict=True))
+    levels = ""
+    for i in range(urls.LEVELS):
+        apart = " OR ".join(
+            f"(abs({c} / n::DOUBLE - p{c} / pn::DOUBLE) > 0 AND abs({c} / n::DOUBLE - p{c} / pn::DOUBLE) > "
+            f"sqrt(p{c} / pn::DOUBLE * (1 - p{c} / pn::DOUBLE) / n) * {urls.DEVIATIONS}::DOUBLE)" for c in ("allowed", "blocked", "ends"))
+        levels += f"""
+    wide{i} AS (
+        SELECT *, CASE WHEN regexp_matches(segments[{i + 1}], '{urls.ID_LIKE}') THEN '*' ELSE segments[{i + 1}] END AS segment FROM state{i}
+    ),
+    branch{i} AS (
+        SELECT host, template, segment, sum(n)::BIGINT AS n, sum(allowed)::BIGINT AS allowed, sum(blocked)::BIGINT AS blocked,
+               sum(CASE WHEN len(segments) = {i + 1} THEN n ELSE 0 END)::BIGINT AS ends
+        FROM wide{i} WHERE segment IS NOT NULL GROUP BY ALL
+    ),
+    usual{i} AS (
+        SELECT * FROM (SELECT *, sum(n) OVER (PARTITION BY host, template) AS everything FROM branch{i})
+        WHERE segment <> '*' AND n >= {urls.LEAST_URLS} AND n >= everything * {urls.LEAST_SHARE}::DOUBLE
+    ),
+    kept{i} AS (
+        SELECT host, template, segment, true AS kept
+        FROM (SELECT *, {", ".join(f"sum({c}) OVER (PARTITION BY host, template) AS p{c}" for c in ("n", "allowed", "blocked", "ends"))} FROM usual{i})
+        WHERE {apart}
+    ),
+    state{i + 1} AS (
+        SELECT host, path, n, allowed, blocked, segments,
+               template || coalesce('/' || CASE WHEN kept THEN segment WHEN segment IS NOT NULL THEN '*' END, '') AS template
+        FROM wide{i} LEFT JOIN kept{i} USING (host, template, segment)
+    ),"""
+    return f"""
+    WITH parsed AS (
+        SELECT page_id, {LOWER.replace("text", "regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1)")} AS host,
+               coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+        FROM pages
+    ),
+    ruled AS MATERIALIZED (SELECT *, CASE {name} END AS rule, CASE {allow} END AS allow FROM parsed),
+    state0 AS (
+        SELECT host, path, count(*) AS n, count(*) FILTER (allow) AS allowed, count(*) FILTER (NOT allow) AS blocked,
+               list_filter(string_split(path, '/'), lambda s: s <> '') AS segments, '' AS template
+        FROM ruled GROUP BY host, path
+    ),{levels}
+    placed AS (
+        SELECT host, path, n, allowed, blocked, template || CASE WHEN len(segments) > {urls.LEVELS} THEN '/**' ELSE '' END AS template FROM state{urls.LEVELS}
+    ),
+    prior AS (SELECT coalesce(sum(allowed)::DOUBLE / nullif(sum(allowed) + sum(blocked), 0)::DOUBLE, 1.0::DOUBLE) AS prior FROM placed),
+    purity AS (
+        SELECT host, template, (sum(allowed) + (sum(n) - sum(allowed) - sum(blocked) + {urls.PRIOR_PAGES}::DOUBLE) * any_value(prior)) / (sum(n) + {urls.PRIOR_PAGES}::DOUBLE) AS purity
+        FROM placed, prior GROUP BY host, template
+    )
+    SELECT page_id, host, path, rule, CASE WHEN allow THEN 'allow' WHEN NOT allow THEN 'block' WHEN purity < {urls.REJECT_BELOW}::DOUBLE THEN 'block' ELSE 'allow' END AS verdict,
+           template, purity
+    FROM ruled JOIN placed USING (host, path) JOIN purity USING (host, template)"""
+
+
 SQL = {
     "op3_warc_zstd": _warc(),
     "op4_rendezvous_sharding": _sharding(),
     "op5_wu_manber_decontamination": _decontamination(),
+    "op8_path_templates": _urls(),
     "op10_curriculum_mixing": _mixing(),
 }

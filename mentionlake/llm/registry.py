@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontamination, mixing, multiset, oracle, quality, sharding, simhash, toxicity, warc
+from mentionlake.llm import decontamination, mixing, multiset, oracle, quality, sharding, simhash, toxicity, urls, warc
 from mentionlake.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op6_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
         multiset.likeness(fp, edited).alias("near_edited"), multiset.likeness(fp, following).alias("near_next"))
 
 
+def op8_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
 def op9_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = toxicity.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), keep=["doc_id"])
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op5_wu_manber_decontamination": op5_wu_manber_decontamination,
     "op6_multiset_hash": op6_multiset_hash,
+    "op8_path_templates": op8_path_templates,
     "op9_counterfactual_toxicity": op9_counterfactual_toxicity,
     "op10_curriculum_mixing": op10_curriculum_mixing,
 }
