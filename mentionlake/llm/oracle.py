@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mentionlake.llm import decontamination, mixing, sharding, urls
+from mentionlake.llm import decontamination, lines, mixing, sharding, urls
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -138,6 +138,41 @@ def _warc() -> str:
     FROM largest"""
 
 
+def _lines() -> str:
+    def edits(n: str) -> str:
+        return f"least({lines.DISTANCE}, {n} // {lines.CHARS_PER_EDIT})"
+
+    return f"""
+    WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+    placed AS MATERIALIZED (
+        SELECT r, doc_id, unnest(range(len(parts))) AS place, unnest(parts) AS line FROM docs
+    ),
+    filled AS MATERIALIZED (SELECT * FROM placed WHERE trim(line, ' ') <> ''),
+    texts AS MATERIALIZED (
+        SELECT line, count(*) AS n, min({{'d': doc_id, 'p': place}}) AS head, length(line) AS chars FROM filled GROUP BY line
+    ),
+    edge AS MATERIALIZED (
+        SELECT a.line AS a, b.line AS b FROM texts a JOIN texts b
+        ON b.chars BETWEEN a.chars AND a.chars + {lines.DISTANCE} AND (a.chars < b.chars OR a.line < b.line)
+        WHERE a.chars >= {lines.CHARS_PER_EDIT} AND b.chars - a.chars <= {edits("a.chars")} AND levenshtein(a.line, b.line) <= {edits("a.chars")}
+    ),
+    both_ways AS MATERIALIZED (SELECT a, b FROM edge UNION ALL SELECT b, a FROM edge),
+    reach(a, b) AS (SELECT DISTINCT a, a FROM both_ways UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON reach.b = both_ways.a),
+    heads AS (SELECT a AS line, min(head) AS head FROM reach JOIN texts ON reach.b = texts.line GROUP BY a),
+    degrees AS (SELECT a AS line, count(*) AS links FROM both_ways GROUP BY a),
+    marked AS (
+        SELECT r, place, coalesce(heads.head, texts.head) <> {{'d': filled.doc_id, 'p': place}} AS gone, coalesce(links, 0) AS links
+        FROM filled JOIN texts USING (line) LEFT JOIN heads USING (line) LEFT JOIN degrees USING (line)
+    ),
+    summed AS (
+        SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+               coalesce(string_agg(place::VARCHAR, ',' ORDER BY place) FILTER (gone), '') AS removed, sum(links)::BIGINT AS n_links
+        FROM marked GROUP BY r
+    )
+    SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed, coalesce(n_links, 0) AS n_links
+    FROM docs LEFT JOIN summed USING (r)"""
+
+
 def _urls() -> str:
     rules = sorted(urls.RULES, key=lambda r: -len(r.name))
     fits = [f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN" for r in rules]
@@ -200,6 +235,7 @@ SQL = {
     "op3_warc_zstd": _warc(),
     "op4_rendezvous_sharding": _sharding(),
     "op5_wu_manber_decontamination": _decontamination(),
+    "op7_line_edit_join": _lines(),
     "op8_path_templates": _urls(),
     "op10_curriculum_mixing": _mixing(),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontamination, mixing, multiset, oracle, quality, sharding, simhash, toxicity, urls, warc
+from mentionlake.llm import decontamination, lines, mixing, multiset, oracle, quality, sharding, simhash, toxicity, urls, warc
 from mentionlake.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,12 @@ def op6_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
         multiset.likeness(fp, edited).alias("near_edited"), multiset.likeness(fp, following).alias("near_next"))
 
 
+def op7_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, those that dedup removes (places from 0), and the links of its lines to other lines."""
+    found = lines.duplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"), "n_links")
+
+
 def op8_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
@@ -85,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op5_wu_manber_decontamination": op5_wu_manber_decontamination,
     "op6_multiset_hash": op6_multiset_hash,
+    "op7_line_edit_join": op7_line_edit_join,
     "op8_path_templates": op8_path_templates,
     "op9_counterfactual_toxicity": op9_counterfactual_toxicity,
     "op10_curriculum_mixing": op10_curriculum_mixing,
