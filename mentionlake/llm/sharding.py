@@ -59,9 +59,10 @@ def place(docs: DataFrame, key: str = "doc_id", weights: Sequence[float] = (1.0,
     offsets = counts.select("shard", "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     within = Window.partitionBy("shard", "__bucket").orderBy(F.md5(stable.cast("binary")), F.col(key), *tie)
     moved = rendezvous(stable, [*weights, extra])
+    columns = docs.columns
     return (
         located(docs).withColumn("grown_shard", moved).withColumn("__row", F.row_number().over(within))
         .join(offsets, ["shard", "__bucket"])
         .withColumn("slot", (F.col("__before") + F.col("__row") - 1).cast("long"))
-        .drop("__bucket", "__row", "__before")
+        .select(*columns, "shard", "slot", "grown_shard")
     )
