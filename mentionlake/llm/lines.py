@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import cache
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -12,9 +13,12 @@ from mentionlake.session import materialise
 
 #: Two lines are near if at most so many edits apart, and one edit per so many characters of the shorter line.
 DISTANCE, CHARS_PER_EDIT = 2, 10
-#: A segment that more lines share is too common to compare all of these; they are looked up by finer pieces.
-BUCKET = 16
+#: Lines that have a segment in common with more others meet by longer keys. Up to so many, a count, the least and the
+#: greatest tell them all.
+BUCKET = 2
 PIECES = 6
+#: Strings longer than this are compared by their beginnings first.
+HEAD = 32
 
 
 def edits(length: Column) -> Column:
@@ -42,25 +46,32 @@ def index_keys() -> Column:
     return out
 
 
+def _probes(shorter: int, t: int) -> list[Column]:
+    """Keys of the places where a segment of a line ``shorter`` characters shorter, which allows ``t`` edits, can lie."""
+    n, keys = F.col("n_chars") - shorter, []
+    for i in range(t + 1):
+        start, size = _piece(n, t + 1, i)
+        for move in range(max(-i, shorter - (t - i)), min(i, shorter + (t - i)) + 1):
+            keys.append(F.xxhash64(n, F.lit(i), _cut(start + move, size)))
+    return keys
+
+
 def probe_keys() -> Column:
     """Hashes of the substrings where a segment of a line as long, or up to ``DISTANCE`` shorter, can lie.
 
     If segment i is the first that fits, each one before has an edit, so it has moved by i at most; the rest
-    are left for those after it, so it ends where they allow. Few starts meet both.
+    are left for those after it, so it ends where they allow. Few starts meet both. No segment is so short that
+    such a start lies outside the line.
     """
-    arrays = []
+    parts = []
     for shorter in range(DISTANCE + 1):
-        n = F.col("n_chars") - shorter
-        out = F.array().cast("array<long>")
-        for t in range(max(1, shorter), DISTANCE + 1):
-            keys = []
-            for i in range(t + 1):
-                start, size = _piece(n, t + 1, i)
-                for move in range(max(-i, shorter - (t - i)), min(i, shorter + (t - i)) + 1):
-                    keys.append(F.when((start + move >= 0) & (start + move + size <= F.col("n_chars")), F.xxhash64(n, F.lit(i), _cut(start + move, size))))
-            out = F.when(edits(n) == t, F.array_compact(F.array(*keys))).otherwise(out)
-        arrays.append(out)
-    return F.array_distinct(F.concat(*arrays))
+        t = edits(F.col("n_chars") - shorter)
+        some = F.array().cast("array<long>")
+        for k in range(max(1, shorter), DISTANCE + 1):
+            some = F.when(t == k, F.array(*_probes(shorter, k))).otherwise(some)
+        parts.append(some)
+    most = F.array(*[key for shorter in range(DISTANCE + 1) for key in _probes(shorter, DISTANCE)])
+    return F.when(F.col("n_chars") >= DISTANCE * (CHARS_PER_EDIT + 1), most).otherwise(F.concat(*parts))
 
 
 def fine_keys(lines: DataFrame, probe: bool) -> DataFrame:
@@ -95,64 +106,90 @@ def common_prefix(a: Column, b: Column) -> Column:
     return F.when(longest == 0, 0).otherwise(F.aggregate(steps, F.lit(0), step))
 
 
-def edit_distance(a: Column, b: Column, limit: int) -> Column:
-    """The edit distance of two strings if it is at most ``limit``; their lengths must not differ by more.
+@cache
+def band(limit: int) -> str:
+    """All steps of the bit-parallel recurrence in a band, as JSON for one literal.
 
-    Bit-parallel in a band: of each column of the matrix only the rows within ``limit`` of the diagonal are kept, as bits
-    that tell where the next row is one more or one less. One column follows from the one before by a few operations on
-    whole numbers. The score is followed down the lower edge of the band, then along the last row.
+    Of a column of the edit matrix only the rows within ``limit`` of the diagonal are kept, as two bit vectors: where the
+    next row is one more (``vp``), and where it is one less (``vn``). With the bits where the column's character equals the
+    rows' (``eq``) they give the vectors of the next column, whose rows lie one further down, and whether the value at the
+    lower edge of the band rises. For each ``vp``, ``vn`` and ``eq`` the entry holds the next two, and the rise above them.
     """
     width = 2 * limit + 1
-    mask, top = (1 << width) - 1, 2 * limit
-    rows = F.char_length(a)
-    padded = F.concat(F.array_repeat(F.lit(""), limit), F.split(a, ""), F.array_repeat(F.lit(""), limit + 1))
-    columns = F.split(b, "")
+    mask, steps = (1 << width) - 1, []
+    for vp in range(mask + 1):
+        for vn in range(mask + 1):
+            for eq in range(mask + 1):
+                diagonal = (((eq & vp) + vp) ^ vp | eq | vn) & mask
+                more, less = vn | ~(diagonal | vp) & mask, diagonal & vp
+                moved = diagonal >> 1
+                rise = 1 - (diagonal >> width - 1)
+                steps.append((less | ~(moved | more) & mask) << width | moved & more | rise << 2 * width)
+    return str(steps)
+
+
+def _column_states(a: Column, b: Column, limit: int) -> Column:
+    """The band after the last character of ``b``: its bit vectors, and above them the value at its lower edge."""
+    width, n = 2 * limit + 1, F.char_length(b)
+    blank = F.lit("")
+    padded = F.concat(F.array_repeat(blank, limit), F.split(a, ""), F.array_repeat(blank, n + limit - F.char_length(a)))
+    steps = F.from_json(F.lit(band(limit)), "array<int>")
 
     def equal(c: Column, j: Column) -> Column:
-        bits = [F.when(F.get(padded, j + k) == c, 1 << k).otherwise(0) for k in range(width)]
+        bits = [F.when(F.get(padded, j + k if k else j) == c, 1 << k).otherwise(0) for k in range(width)]
         total = bits[0]
         for bit in bits[1:]:
             total = total + bit
-        return F.struct(total.alias("eq"), j.alias("j"))
+        return total
 
-    def flip(x: Column) -> Column:
-        return x.bitwiseXOR(F.lit(mask))
+    def advance(state: Column, eq: Column) -> Column:
+        vectors = state.bitwiseAND(F.lit((1 << 2 * width) - 1))
+        return F.get(steps, F.shiftleft(vectors, width) + eq) + (state - vectors)
 
-    def bit(x: Column, at: Column) -> Column:
-        return F.call_function("shiftright", x, at).bitwiseAND(F.lit(1))
+    ones = sum(1 << k for k in range(limit, width))
+    start = F.lit(ones << width | limit << 2 * width)
+    return F.aggregate(F.transform(F.split(b, ""), equal), start, advance)
 
-    def advance(state: Column, e: Column) -> Column:
-        vp, vn, eq = state["vp"], state["vn"], e["eq"]
-        zero = (eq.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(eq).bitwiseOR(vn).bitwiseAND(F.lit(mask))
 
-        def follow(d: Column) -> Column:
-            more = vn.bitwiseOR(flip(d.bitwiseOR(vp)))
-            less = d.bitwiseAND(vp)
-            moved = F.shiftright(d, 1)
-            at = rows - e["j"] - 1 + limit
-            edge = F.lit(1) - bit(d, F.lit(top))
-            last = bit(more, at) - bit(less, at)
-            score = state["score"] + F.when(e["j"] < rows - limit, edge).otherwise(last)
-            return F.struct(less.bitwiseOR(flip(moved.bitwiseOR(more))).alias("vp"), moved.bitwiseAND(more).alias("vn"), score.alias("score"))
+def _rows_up(state: Column, limit: int) -> list[Column]:
+    """Values of the last column: at the lower edge of the band, one row higher, and so on."""
+    width = 2 * limit + 1
+    values = [F.shiftright(state, 2 * width)]
+    for k in range(width - 2, -1, -1):
+        values.append(values[-1] - F.shiftright(state, width + k).bitwiseAND(F.lit(1)) + F.shiftright(state, k).bitwiseAND(F.lit(1)))
+    return values
 
-        return _let(zero, follow)
 
-    ones = sum(1 << k for k in range(limit, width))
-    start = F.struct(F.lit(ones).alias("vp"), F.lit(0).alias("vn"), F.least(F.lit(limit), rows).alias("score"))
-    score = F.aggregate(F.transform(columns, equal), start, advance, lambda s: s["score"])
-    return F.when(F.char_length(b) == 0, rows).when(rows == 0, F.char_length(b)).otherwise(score)
+def edit_distance(a: Column, b: Column, limit: int) -> Column:
+    """The edit distance of two strings if it is at most ``limit``, else some greater number.
+
+    The lengths must not differ by more than ``limit``.
+    """
+    m, n = F.char_length(a), F.char_length(b)
+    distance = _let(_column_states(a, b, limit), lambda s: F.get(F.array(*_rows_up(s, limit)), n + limit - m))
+    return F.when(n == 0, m).when(m == 0, n).otherwise(distance)
+
+
+def _starts_apart(a: Column, b: Column, limit: int) -> Column:
+    """Whether the beginnings alone need more than ``limit`` edits: all of the band is above it after ``HEAD`` characters."""
+    head, more = F.substring(b, 1, HEAD), F.substring(a, 1, HEAD + limit)
+    return _let(_column_states(more, head, limit), lambda s: F.least(*_rows_up(s, limit)) > limit)
 
 
 def distance(a: Column, b: Column, limit: int = DISTANCE) -> Column:
-    """``edit_distance`` without the beginning and the end that both strings share."""
+    """``edit_distance`` without the beginning and the end that both strings share; long ones are given up early."""
     def middle(p: Column) -> Column:
         x, y = F.substring(a, p + 1, F.char_length(a)), F.substring(b, p + 1, F.char_length(b))
         return F.struct(x.alias("x"), y.alias("y"), common_prefix(F.reverse(x), F.reverse(y)).alias("s"))
 
+    def cut(m: Column) -> Column:
+        return F.struct(*[F.substring(m[c], F.lit(1), F.char_length(m[c]) - m["s"]).alias(c) for c in "xy"])
+
     def measured(m: Column) -> Column:
-        return edit_distance(F.substring(m["x"], F.lit(1), F.char_length(m["x"]) - m["s"]), F.substring(m["y"], F.lit(1), F.char_length(m["y"]) - m["s"]), limit)
+        long = F.least(F.char_length(m["x"]), F.char_length(m["y"])) > HEAD + limit
+        return F.when(long & _starts_apart(m["x"], m["y"], limit), limit + 1).otherwise(edit_distance(m["x"], m["y"], limit))
 
-    return _let(_let(common_prefix(a, b), middle), measured)
+    return _let(_let(_let(common_prefix(a, b), middle), cut), measured)
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -161,25 +198,26 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("digest"), F.posexplode(F.split(text, "\n")).alias("place", "line"))
 
 
-def _matched(index: DataFrame, probe: DataFrame) -> DataFrame:
-    pairs = index.select("key", F.col("id").alias("x")).join(probe.select("key", F.col("id").alias("y")), "key").where("x <> y")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
 def candidates(lines: DataFrame) -> DataFrame:
     """(a, b): ids of all lines that can be near. Nothing is left out.
 
-    Lines meet by a segment of the shorter one. Where more than ``BUCKET`` lines have a segment (say, a
-    common beginning), all lines with it meet by longer keys instead: everything but two of six pieces.
+    Each line looks up the segments of the shorter ones. A segment is known by how many lines have it and by the least
+    and the greatest of them, so a lookup finds one row at most however common the segment is. Lines that meet where more
+    than ``BUCKET`` lines have a segment (say, a common beginning) meet by longer keys instead: everything but two of six pieces.
+    A line finds its own segments too, so each line of such a segment is among them.
     """
     index = lines.select("id", F.explode(index_keys()).alias("key"))
+    heads = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
+    heads = materialise(heads, "line-segments")
     probe = lines.select("id", F.explode(probe_keys()).alias("key"))
-    crowded = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET).select("key")
-    crowded = materialise(crowded, "line-crowded")
-    usual = _matched(index.join(crowded, "key", "left_anti"), probe.join(crowded, "key", "left_anti"))
-    those = index.join(crowded, "key", "left_semi").select("id").union(probe.join(crowded, "key", "left_semi").select("id")).distinct()
-    those = materialise(lines.join(materialise(those, "line-common"), "id", "left_semi"), "line-common-texts")
-    return usual.union(_matched(fine_keys(those, probe=False), fine_keys(those, probe=True))).distinct()
+    hits = materialise(probe.join(heads, "key").where("n > 1 OR low <> id").select("id", "n", "low", "high"), "line-hits")
+    few = hits.where(F.col("n") <= BUCKET).select(F.col("id").alias("x"), F.explode(F.array("low", "high")).alias("y"))
+    those = materialise(hits.where(F.col("n") > BUCKET).select("id").distinct(), "line-common")
+    those = materialise(lines.join(those, "id", "left_semi"), "line-common-texts")
+    index, probe = fine_keys(those, probe=False), fine_keys(those, probe=True)
+    many = index.select("key", F.col("id").alias("x")).join(probe.select("key", F.col("id").alias("y")), "key").select("x", "y")
+    pairs = few.unionByName(many).where("x <> y")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def links(lines: DataFrame) -> DataFrame:

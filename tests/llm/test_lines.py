@@ -54,7 +54,7 @@ def edited(r, line):
     return "".join(chars)
 
 
-@pytest.mark.parametrize("bucket", [0, 2, 16])
+@pytest.mark.parametrize("bucket", [1, 2])
 def test_against_brute_force(spark, monkeypatch, bucket):
     monkeypatch.setattr(lines, "BUCKET", bucket)
     r = random.Random(bucket)
