@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mentionlake.operators.dedupe import latest_per_key, row_digest
-from mentionlake.sources.tables import clear_partitions, overwrite_partitions
+from mentionlake.session import delete_folder, path_exists
+from mentionlake.sources.tables import clear_partitions, location_of, overwrite_partitions
 
 
 def merge_latest(
@@ -74,11 +75,12 @@ def merge_into_table(
 
     An update may move a row to another date, so the old date is rewritten too, or
     cleared if nothing is left of it. Only touched partitions are read in full.
-    All partitions are replaced in one commit, after the new files are complete;
-    running the same upsert again repairs whatever an interrupted run left. Rows
-    without a key are left out. ``source`` is read several times and should be a
+    The new content of these dates is first written whole beside the table. An upsert that finds such content,
+    left by a run that was stopped while it replaced partitions, completes that run before its own, so no row is
+    lost wherever a run stops. Rows without a key are left out. ``source`` is read several times and should be a
     file scan; ``one_per_key`` says that it holds no key twice.
     """
+    finish_interrupted(spark, table, partition)
     keys = [key] if isinstance(key, str) else list(key)
     batch = source.dropna(subset=keys).select(*spark.table(table).columns)
     if not one_per_key:
@@ -91,15 +93,35 @@ def merge_into_table(
     if len(touched) < len(found):
         in_touched = in_touched | F.col(partition).isNull()
     current = spark.table(table).filter(in_touched)
-    seen = Observation()
-    merged = merge_latest(current, batch, keys, version, tiebreak).observe(
-        seen, F.collect_set(partition).alias("dates")
-    )
-    overwrite_partitions(merged, table)
-    clear_partitions(spark, table, sorted(set(touched) - set(seen.get["dates"])))
+    prepare(spark, table, merge_latest(current, batch, keys, version, tiebreak), touched)
+    finish_interrupted(spark, table, partition)
     return touched
 
 
+def pending_folder(spark: SparkSession, table: str) -> str:
+    return f"{location_of(spark, table).rstrip('/')}/_pending"
+
+
+def prepare(spark: SparkSession, table: str, merged: DataFrame, touched: Sequence[str]) -> None:
+    """Write the new content of the touched dates beside the table. It counts once its rows are complete."""
+    folder = pending_folder(spark, table)
+    delete_folder(spark, folder)
+    spark.createDataFrame([(date,) for date in touched], "date string").coalesce(1).write.parquet(f"{folder}/dates")
+    merged.write.option("compression", "zstd").parquet(f"{folder}/rows")
+
+
+def finish_interrupted(spark: SparkSession, table: str, partition: str = "partition_date") -> None:
+    """Put prepared content into the table, any number of times with the same result; drop it if it is not complete."""
+    folder = pending_folder(spark, table)
+    if path_exists(spark, f"{folder}/rows/_SUCCESS"):
+        rows = spark.read.schema(spark.table(table).schema).parquet(f"{folder}/rows")
+        overwrite_partitions(rows, table)
+        left = {row[0] for row in rows.select(partition).distinct().collect()}
+        touched = {row[0] for row in spark.read.parquet(f"{folder}/dates").collect()}
+        clear_partitions(spark, table, sorted(touched - left))
+    delete_folder(spark, folder)
+
+
 def replace_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert where the source always wins; missing key parts equal each other."""
     same = F.lit(True)

@@ -9,9 +9,9 @@ from mentionlake.operators.dedupe import latest_per_key
 from mentionlake.operators.merge import replace_by_key
 from mentionlake.plans.layout import Lake
 from mentionlake.schemas import CHECKPOINTS
-from mentionlake.session import staging
 from mentionlake.sources.tables import replace_table, table_exists
 
+# What identifies a record.
 KEYS = ["environment", "subreddit", "checkpoint_type", "sort_type", "time_filter"]
 
 
@@ -35,8 +35,7 @@ def save_checkpoint(spark: SparkSession, lake: Lake, records: DataFrame) -> None
         current = spark.table(name)
     else:
         current = spark.createDataFrame([], CHECKPOINTS)
-    with staging(spark, "checkpoints") as save:
-        replace_table(save(upsert_checkpoints(current, records), "after"), name, lake.path(name))
+    replace_table(upsert_checkpoints(current, records), name, lake.path(name))
 
 
 def load_checkpoint(

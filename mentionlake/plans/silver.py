@@ -12,7 +12,7 @@ from mentionlake.operators import metrics
 from mentionlake.operators.context import silver_comments
 from mentionlake.operators.quality import silver_submissions, usable_ratio
 from mentionlake.plans.layout import Lake
-from mentionlake.sources.tables import append, clear_partitions, overwrite_partitions
+from mentionlake.sources.tables import append, clear_partitions, overwrite_partitions, partition_values
 
 
 def of_dates(df: DataFrame, dates: Sequence[str] | None, column: str = "partition_date") -> DataFrame:
@@ -59,8 +59,5 @@ def run_silver_core(
 
 def _clear_emptied(spark: SparkSession, lake: Lake, kind: str, dates: Sequence[str] | None) -> None:
     """Clear dates that silver holds and bronze does not. Reads partition names only."""
-    def names(table: str) -> set[str]:
-        return {row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-
-    gone = names(lake.silver_table(kind)) - names(lake.bronze_table(kind))
+    gone = partition_values(spark, lake.silver_table(kind)) - partition_values(spark, lake.bronze_table(kind))
     clear_partitions(spark, lake.silver_table(kind), sorted(gone & set(dates) if dates is not None else gone))

@@ -44,7 +44,9 @@ def get_spark(app_name: str = "mentionlake", **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -111,5 +113,28 @@ def staging(spark: SparkSession, label: str) -> Iterator[Save]:
     try:
         yield lambda df, name: materialise(df, name, folder)
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, folder)
+
+
+def path_exists(spark: SparkSession, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def delete_folder(spark: SparkSession, folder: str, keep_if_contains: str | None = None) -> None:
+    """Remove a folder of this package, or only the files right in it if it holds another that must stay."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return
+    inside = keep_if_contains is not None and _plain(keep_if_contains).startswith(_plain(folder) + "/")
+    if not inside:
+        files.delete(path, True)
+        return
+    for found in files.listStatus(path):
+        if not _plain(keep_if_contains).startswith(_plain(found.getPath().toString())):
+            files.delete(found.getPath(), True)
+
+
+def _plain(path: str) -> str:
+    return path.removeprefix("file:").replace("///", "/").replace("//", "/").rstrip("/")

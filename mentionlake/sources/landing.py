@@ -7,15 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from mentionlake.functions.paths import path_part, sort_type_of, unescaped
+from mentionlake.functions.paths import path_part, sort_type_of, subreddit_of, unescaped
 from mentionlake.schemas import AUDIT, LANDING
 
 CORRUPT = "_corrupt_record"
 
 
 def default_glob(kind: str) -> str:
-    """Matches rotated parts (``submissions.part1.jsonl``), not the other kind."""
-    return f"{kind}*.jsonl"
+    """Matches rotated and written parts (``submissions.part1.jsonl``, ``submissions-00000-x.json``), not the other kind."""
+    return f"{kind}*.json*"
 
 
 def landing_schema(kind: str) -> StructType:
@@ -68,9 +68,7 @@ def with_audit(raw: DataFrame) -> DataFrame:
     )
     if "subreddit" not in raw.columns:
         return audited
-    # The file path is itself percent-encoded, on top of the escapes of the folder name.
-    from_path = F.nullif(unescaped(unescaped(path_part("source_file", "subreddit"))), F.lit(""))
-    return audited.withColumn("subreddit", F.coalesce("subreddit", from_path))
+    return audited.withColumn("subreddit", F.coalesce("subreddit", subreddit_of("source_file")))
 
 
 def split_corrupt(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,10 +89,10 @@ def split_corrupt(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def write_landing(df: DataFrame, root: str, max_lines: int = 100_000, mode: str = "append") -> None:
-    """Write rows holding ``sort_type``, ``subreddit`` and ``date`` as landing files.
+def write_landing(df: DataFrame, root: str, kind: str, max_lines: int = 100_000, mode: str = "append") -> None:
+    """Write rows holding ``sort_type``, ``subreddit`` and ``date`` as landing files of one kind.
 
-    A file ends after ``max_lines`` lines. The rebalance hint gathers each folder
+    File names begin with the kind, so both kinds can lie under one root. A file ends after ``max_lines`` lines. The rebalance hint gathers each folder
     into few files and splits a folder that is far larger than the others.
     """
     keys = ["sort_type", "subreddit", "date"]
@@ -103,6 +101,7 @@ def write_landing(df: DataFrame, root: str, max_lines: int = 100_000, mode: str
         .write.mode(mode)
         .partitionBy(*keys)
         .option("maxRecordsPerFile", max_lines)
+        .option("mapreduce.output.basename", kind)
         .json(root)
     )
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from mentionlake.session import delete_folder
+
 
 def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     place = f" LOCATION '{location}'" if location else ""
@@ -107,29 +111,73 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
 
 def clear_partitions(spark: SparkSession, name: str, values: Sequence[str]) -> None:
     """Empty single partitions, files included, and drop them from the catalog."""
+    if not values:
+        return
     (key,) = partition_columns(spark, name)
     columns = [f for f in spark.table(name).schema.fields if f.name != key]
     nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in columns)
-    for value in values:
-        spec = f"PARTITION ({key} = '{value}')"
+    specs = [f"PARTITION (`{key}` = {quoted(value)})" for value in values]
+    for spec in specs:
         spark.sql(f"INSERT OVERWRITE TABLE {name} {spec} SELECT {nothing} FROM range(0)")
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(specs)}")
+
+
+def quoted(value: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def partition_values(spark: SparkSession, name: str) -> set[str]:
+    """Values of a table's one partition column, without the escapes of folder names; null is left out."""
+    raw = (row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {name}").collect())
+    return {unquote(value) for value in raw if value not in ("null", "__HIVE_DEFAULT_PARTITION__")}
 
 
 def replace_table(
     df: DataFrame, name: str, location: str | None = None, partition_by: Sequence[str] = ()
 ) -> None:
-    """Create or replace a whole table; ``df`` must not read that table."""
-    writer = clustered(df, partition_by).write.mode("overwrite").format("parquet")
-    writer = writer.option("compression", "zstd").option("partitionOverwriteMode", "static")
+    """Create or replace a whole table; ``df`` may read that table.
+
+    The rows are written to a folder of their own under ``location``. Only when they are complete does the catalog turn
+    to it, in one step, and the folder before is removed. A job that stops earlier leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    base = (location or default_location(spark, name)).rstrip("/")
+    fresh = f"{base}/run-{uuid.uuid4().hex}"
+    writer = clustered(df, partition_by).write.format("parquet").option("compression", "zstd")
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(fresh)
+    before = location_of(spark, name)
+    # Partitions keep places of their own, so a partitioned table is made anew; its old files stay until then.
+    if before is None or partition_by or spark.table(name).schema != spark.read.parquet(fresh).schema:
+        order = [f for f in df.schema.fields if f.name not in partition_by] + [f for f in df.schema.fields if f.name in partition_by]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in order)
+        parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (compression 'zstd'){parts} LOCATION {quoted(fresh)}")
+    else:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {quoted(fresh)}")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(name)
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+    if before and before.rstrip("/") != fresh:
+        delete_folder(spark, before, keep_if_contains=fresh)
+
+
+def default_location(spark: SparkSession, name: str) -> str:
+    """Where a table lies that is given no place: beside the others of its schema."""
+    schema, _, table = name.rpartition(".")
+    return f"{spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{table}-runs"
+
+
+def location_of(spark: SparkSession, name: str) -> str | None:
+    if not table_exists(spark, name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0].data_type if rows else None
 
 
 def stage(df: DataFrame, name: str) -> str:
+    """Give rows a name that SQL of this session can use."""
     df.createOrReplaceTempView(name)
     return name
 

@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from mentionlake.schemas import SUBMISSIONS
 from mentionlake.sources import landing
 
@@ -57,8 +59,10 @@ def test_writer_rotates_and_reads_back(spark, tmp_path, rows):
     data = [(str(i), "top", "a b:c", "05-01-2024", i) for i in range(25)]
     df = spark.createDataFrame(data, "id string, sort_type string, subreddit string, date string, score int")
     root = str(tmp_path / "out")
-    landing.write_landing(df.coalesce(1), root, max_lines=10)
-    back = landing.read_landing(spark, root, "submissions", file_glob="*.json")
+    landing.write_landing(df.coalesce(1), root, "submissions", max_lines=10)
+    landing.write_landing(df.withColumn("id", F.concat(F.lit("c"), "id")), root, "comments")
+    back = landing.read_landing(spark, root, "submissions")
+    assert landing.read_landing(spark, root, "comments").filter("id LIKE 'c%'").count() == 25
     assert rows(back, "id", "source_sort_type", "subreddit", "partition_date", "score") == sorted(data)
     per_file = back.groupBy("source_file").count().collect()
     assert len(per_file) >= 3 and max(r["count"] for r in per_file) <= 10

@@ -1,3 +1,5 @@
+import pytest
+
 from mentionlake.operators.checks import check_unique
 from mentionlake.plans.layout import Lake
 from mentionlake.schemas import PRODUCT_REFERENCE
@@ -92,6 +94,36 @@ def test_replace_leaves_nothing_behind(spark, lake, rows):
     assert rows(spark.table(name)) == [("c", "x")]
 
 
+def test_a_table_is_whole_until_its_replacement_is(spark, lake, rows, monkeypatch):
+    name = f"{lake.mart}.safe"
+    tables.replace_table(spark.createDataFrame([("a", 1)], "v string, n int"), name, lake.path(name))
+    broken = spark.table(name).selectExpr("v", "assert_true(n > 5) IS NULL AS ok", "n").select("v", "n", "ok")
+    with pytest.raises(Exception, match="assert_true|USER_RAISED"):
+        tables.replace_table(broken, name, lake.path(name))
+    assert rows(spark.table(name)) == [("a", 1)]
+
+    def stop(*_, **__):
+        raise RuntimeError("stopped before the switch")
+
+    monkeypatch.setattr(tables, "location_of", stop)
+    with pytest.raises(RuntimeError):
+        tables.replace_table(spark.table(name).selectExpr("v", "n + 1 AS n"), name, lake.path(name))
+    monkeypatch.undo()
+    assert rows(spark.table(name)) == [("a", 1)]
+    tables.replace_table(spark.table(name).selectExpr("v", "n + 1 AS n"), name, lake.path(name))
+    assert rows(spark.table(name)) == [("a", 2)]
+
+
+def test_partition_values_are_quoted_and_unescaped(spark, lake, rows):
+    name = f"{lake.mart}.odd"
+    odd = ["plain", "it's", "50%", "a/b", "back\\slash", "x=y"]
+    tables.ensure_table(spark, name, spark.createDataFrame([], "v int, part string").schema, lake.path(name), ["part"])
+    tables.append(spark.createDataFrame(list(enumerate(odd)), "v int, part string"), name)
+    assert tables.partition_values(spark, name) == set(odd)
+    tables.clear_partitions(spark, name, odd[1:])
+    assert rows(spark.table(name)) == [(0, "plain")] and tables.partition_values(spark, name) == {"plain"}
+
+
 def test_mart_views_show_silver_without_copy(spark, lake, tmp_path):
     reference.load_reference(spark, lake.reference, write_seed(tmp_path / "s", ["X"]), lake.path(lake.reference))
     consumer = f"{lake.mart}_views"
