@@ -41,8 +41,8 @@ def canonical_text(*columns: Column | str) -> Column:
     return F.concat_ws("|", *parts)
 
 
-def analysis_id(comment_id, brand, product, aspect, quote) -> Column:
-    return F.sha2(canonical_text(comment_id, brand, product, aspect, quote), 256)
+def analysis_id(*columns: Column | str) -> Column:
+    return F.sha2(canonical_text(*columns), 256)
 
 
 def analysis_id_murmur(comment_id, brand, product, aspect) -> Column:

@@ -32,41 +32,36 @@ def latest_per_key(
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-# Spark itself cuts each group to n rows per task before the shuffle. Above this n the
-# rows left of a large group are still many, so it is cut in slices first.
-SLICE_ABOVE = 100
-
-
 def top_n(
     df: DataFrame,
     by: str | Sequence[str],
     order: Sequence[Column],
-    n: int,
+    n: int | None,
     since: Column | None = None,
     spread: int = 64,
 ) -> DataFrame:
-    """The first ``n`` rows of each group in the given order, with their ``rank``.
+    """The first ``n`` rows of each group in the given order, or all, with their ``rank``.
 
-    ``since`` restricts the rows first, e.g. to a time range. For a large ``n`` the
-    group is first cut to ``n`` rows in each of ``spread`` slices, so that a group
-    with most of the rows is not sorted by one task.
+    ``since`` restricts the rows first, e.g. to a time range. The group is first cut to ``n`` rows in
+    each of ``spread`` slices, so that a group with most of the rows is not sorted by one task. To rank all
+    rows of a group takes one task for it.
     """
     groups = [by] if isinstance(by, str) else list(by)
     rows = df if since is None else df.filter(since)
-    if n > SLICE_ABOVE:
+    if n is not None:
         rows = rows.withColumn("_slice", F.pmod(row_digest(rows), F.lit(spread)))
         in_slice = Window.partitionBy(*groups, "_slice").orderBy(*order)
         rows = rows.withColumn("_rank", F.row_number().over(in_slice))
         rows = rows.filter(F.col("_rank") <= n).drop("_rank", "_slice")
     rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
-    return rows.withColumn("rank", rank).filter(F.col("rank") <= n)
+    ranked = rows.withColumn("rank", rank)
+    return ranked if n is None else ranked.filter(F.col("rank") <= n)
 
 
 # Kinds of listing and their time filters. The lengths are ours.
 SORT_TYPES = ("top", "controversial")
 DAY = 86_400
 TIME_FILTERS = {"all": None, "year": 365 * DAY, "month": 30 * DAY, "week": 7 * DAY, "day": DAY, "hour": 3_600}
-LISTING_LIMIT = 1000
 
 
 def listing(
@@ -75,9 +70,9 @@ def listing(
     order: Sequence[Column],
     now: int,
     time_filter: str = "all",
-    limit: int = LISTING_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Up to ``limit`` submissions per subreddit of one listing.
+    """The submissions per subreddit of one listing, all or the first ``limit``.
 
     The order is the caller's; the time filter counts back from ``now`` (epoch seconds).
     """
@@ -92,13 +87,13 @@ def surrogate_key(
     df: DataFrame,
     natural_key: str | Sequence[str],
     name: str,
-    prefix: int = 3,
+    prefix: int = 4,
     tiebreak: Column | None = None,
 ) -> DataFrame:
     """Number rows 1..N without gaps, in the order of the MD5 of their natural key.
 
     The leading ``prefix`` hexadecimal digits spread the rows evenly over buckets
-    (4096 by default). Each bucket is ranked by itself and shifted by the rows in
+    (65 536 by default, each with a few hundred thousand keys where there are 10^10). Each bucket is ranked by itself and shifted by the rows in
     the buckets before it, so no task ever sorts the whole table. The numbering
     depends on the data alone. The natural key should identify a row; where it may
     not, ``tiebreak`` orders the rows that share one.

@@ -14,10 +14,11 @@ from mentionlake.functions.ids import analysis_id, analysis_id_murmur
 from mentionlake.functions.text import strip_space
 from mentionlake.operators.sizes import lookup
 from mentionlake.schemas import DOUBLE, STRING, struct
+from mentionlake.session import ship_package
 
 Scorer = Callable[[pd.DataFrame], pd.Series]
 
-# Defaults and lengths of a mention.
+# Defaults of a mention, and the lengths of its quote.
 DEFAULT_ASPECT = "general"
 DEFAULT_SCORE = 0.5
 QUOTE_FROM_BODY = 150
@@ -35,6 +36,7 @@ def score(
     given more tasks with ``partitions``; rows are spread by comment, so a large
     submission or subreddit does not end up in one task.
     """
+    ship_package(context.sparkSession)
     rows = context if partitions is None else context.repartition(partitions, "comment_id")
     schema = StructType([*rows.schema.fields, StructField("response", STRING)])
 
@@ -47,18 +49,25 @@ def score(
 
 
 def response_array(c: Column | str) -> Column:
-    """JSON array text out of a response: fences and space removed, else null."""
+    """JSON array text out of a response: fences and space removed, else null.
+
+    The reader stops after the first value, so the text is read as the content of a list, which must
+    have one element, an array, and as a field of an object: text after the array, or a second array, voids the response.
+    """
     text = strip_space(c)
     for fence in (r"^```json", r"^```", r"```\z"):
         text = F.regexp_replace(text, fence, "")
     text = strip_space(text)
-    return F.when(text.startswith("["), text)
+    content = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
+    field = F.from_json(F.concat(F.lit('{"a":'), text, F.lit("}")), "a array<string>")["a"]
+    whole = text.startswith("[") & (F.size(content) == 1) & F.get(content, F.lit(0)).startswith("[") & field.isNotNull()
+    return F.when(whole, text)
 
 
 def parse_responses(df: DataFrame, strict: bool = False) -> DataFrame:
     """One row per object in the ``response`` array, with the five mention fields as text.
 
-    A response that is no JSON array gives no row, nor do its elements that are no
+    ``item_no`` is the object's place in the array. Of a key that is given twice the last value counts. A response that is no JSON array gives no row, nor do its elements that are no
     objects. With ``strict`` one faulty element (no object, a null aspect, a score
     that is no number) voids all elements of its response.
     """
@@ -66,25 +75,33 @@ def parse_responses(df: DataFrame, strict: bool = False) -> DataFrame:
     parsed = F.transform(elements, lambda e: F.when(e.startswith("{"), F.from_json(e, "map<string,string>")))
     if strict:
         parsed = F.when(~F.exists(parsed, _faulty), parsed)
-    exploded = df.withColumn("_item", F.explode(parsed)).filter("_item IS NOT NULL")
-    fields = {name: F.try_element_at("_item", F.lit(name)) for name in FIELDS}
+    exploded = df.select("*", F.posexplode(parsed).alias("item_no", "_item")).filter("_item IS NOT NULL")
+    fields = {name: _last_of(F.col("_item"), name) for name in FIELDS}
     return exploded.withColumns(fields).drop("_item", "response")
 
 
+def _last_of(item: Column, name: str) -> Column:
+    entries = F.filter(F.map_entries(item), lambda e: e["key"] == name)
+    return F.try_element_at(entries, F.lit(-1))["value"]
+
+
 def _faulty(item: Column) -> Column:
     def null_or(name: str, test: Callable[[Column], Column]) -> Column:
-        value = F.try_element_at(item, F.lit(name))
+        value = _last_of(item, name)
         return F.map_contains_key(item, name) & (value.isNull() | test(value))
 
     no_number = null_or("sentiment_score", lambda v: v.try_cast("double").isNull())
     return item.isNull() | null_or("aspect", lambda v: F.lit(False)) | no_number
 
 
-def finish_mentions(df: DataFrame) -> DataFrame:
-    """Fill in what the scorer left out; ``df`` still holds the comment's ``body``."""
+def finish_mentions(df: DataFrame, quote_from_body: int = QUOTE_FROM_BODY, quote_chars: int = QUOTE_CHARS) -> DataFrame:
+    """Fill in what the scorer left out; ``df`` still holds the comment's ``body``.
+
+    A quote has at most ``quote_chars`` characters; without one it is the first ``quote_from_body`` of the comment.
+    """
     body_start = F.when(
-        F.length("body") > QUOTE_FROM_BODY,
-        F.concat(F.substring("body", 1, QUOTE_FROM_BODY), F.lit("...")),
+        F.length("body") > quote_from_body,
+        F.concat(F.substring("body", 1, quote_from_body), F.lit("...")),
     ).otherwise(F.col("body"))
     quote = F.when(F.length("quote") > 0, F.col("quote")).otherwise(body_start)
     return df.withColumns(
@@ -93,15 +110,19 @@ def finish_mentions(df: DataFrame) -> DataFrame:
             "product_name": F.coalesce("product_name", F.lit("")),
             "aspect": F.lower(F.coalesce("aspect", F.lit(DEFAULT_ASPECT))),
             "sentiment_score": F.coalesce(F.col("sentiment_score").try_cast("double"), F.lit(DEFAULT_SCORE)),
-            "quote": F.substring(quote, 1, QUOTE_CHARS),
+            "quote": F.substring(quote, 1, quote_chars),
         }
     )
 
 
 def with_analysis_id(mentions: DataFrame, short: bool = False) -> DataFrame:
-    """Add the id of a mention; ``short`` gives the 32-bit form."""
+    """Add the id of a mention; ``short`` gives the 32-bit form.
+
+    Where the mentions have an ``item_no``, the id covers it: names that become equal leave several mentions.
+    """
     keys = ("comment_id", "brand_name", "product_name", "aspect")
-    value = analysis_id_murmur(*keys) if short else analysis_id(*keys, "quote")
+    more = ("quote", "item_no") if "item_no" in mentions.columns else ("quote",)
+    value = analysis_id_murmur(*keys) if short else analysis_id(*keys, *more)
     return mentions.withColumn("analysis_id", value)
 
 
@@ -149,4 +170,5 @@ def lexicon_mentions(context: DataFrame, lexicon: DataFrame) -> DataFrame:
     found = placed.groupBy("comment_id", "brand_name", "product_name", "aspect").agg(
         F.coalesce(F.avg(weight), F.lit(DEFAULT_SCORE)).cast("string").alias("sentiment_score")
     )
-    return context.join(found, "comment_id").withColumn("quote", F.lit(None).cast("string"))
+    number = F.row_number().over(Window.partitionBy("comment_id").orderBy("brand_name", "product_name", "aspect")) - 1
+    return context.join(found.withColumn("item_no", number), "comment_id").withColumn("quote", F.lit(None).cast("string"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentionlake.functions.paths import path_part
+from mentionlake.functions.paths import subreddit_of
 
 RANGES = (
     "earliest_submission_created_utc", "latest_submission_created_utc",
@@ -27,7 +27,7 @@ def submission_metrics(df: DataFrame) -> DataFrame:
 
 def comment_metrics(df: DataFrame) -> DataFrame:
     """Comments do not state their subreddit; it is taken from the file path."""
-    return df.groupBy(path_part("source_file", "subreddit").alias("subreddit")).agg(*_measures("comment"))
+    return df.groupBy(subreddit_of("source_file").alias("subreddit")).agg(*_measures("comment"))
 
 
 def run_metrics(merged: DataFrame) -> DataFrame:

@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from mentionlake.functions.text import SENTINELS
 
-# Limits of what goes into a prompt.
-MAX_BRANDS = 50
-SELFTEXT_CHARS = 200
-
+# The aspects of a mention.
 ASPECTS = (
     "camera", "battery", "display", "performance", "price", "software",
     "build_quality", "design", "other",
@@ -20,13 +17,16 @@ INSTRUCTIONS = (
     "Find every opinion on a phone in the comment. Answer with a JSON array of objects "
     "with the fields brand_name, product_name (or general), aspect, sentiment_score "
     "(0.0 very negative to 1.0 very positive) and quote (verbatim, at most 200 characters). "
-    f"Aspects: {', '.join(ASPECTS)}. Known brands: "
+    f"Aspects: {', '.join(ASPECTS)}. Judge the target comment alone; the post and the parent comment only tell "
+    "what its words refer to. Known brands: "
 )
 
 
-def system_text(reference: DataFrame) -> DataFrame:
-    """One row with the instructions and the first 50 brands by name."""
-    brands = reference.select("brand").dropna().distinct().orderBy("brand").limit(MAX_BRANDS)
+def system_text(reference: DataFrame, limit: int | None = None) -> DataFrame:
+    """One row with the instructions and all brands, or the ``limit`` brands with the most products."""
+    brands = reference.select("brand").dropna().groupBy("brand").agg(F.count("*").alias("_products"))
+    if limit is not None:
+        brands = brands.orderBy(F.desc("_products"), "brand").limit(limit)
     names = F.array_join(F.array_sort(F.collect_list("brand")), ", ")
     return brands.agg(F.concat(F.lit(INSTRUCTIONS), names).alias("system_text"))
 
@@ -36,14 +36,13 @@ def _told(c: str, value: Column) -> Column:
     return F.when(F.col(c).isNotNull() & ~F.col(c).isin(*SENTINELS), value)
 
 
-def with_prompt(context: DataFrame) -> DataFrame:
-    """Add ``prompt``: title, start of the post, parent comment, then the comment itself.
+def with_prompt(context: DataFrame, post_chars: int | None = None) -> DataFrame:
+    """Add ``prompt``: title, post, parent comment, then the comment itself.
 
-    The context must hold ``parent_body``. Only the start of the post is used, the
-    comment is used whole.
+    The context must hold ``parent_body``. The post is used whole, or its first ``post_chars`` characters.
     """
     # Labels of the context lines.
-    start = F.substring("submission_selftext", 1, SELFTEXT_CHARS)
+    start = F.col("submission_selftext") if post_chars is None else F.substring("submission_selftext", 1, post_chars)
     lines = F.concat_ws(
         "\n",
         F.concat(F.lit("Submission Title: "), F.coalesce("submission_title", F.lit(""))),

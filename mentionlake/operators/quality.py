@@ -9,6 +9,7 @@ from mentionlake.functions import text
 
 FLAG = "is_usable_for_sentiment"
 
+# Columns of the silver tables.
 SUBMISSION_COLUMNS = (
     "id", "fullname_id", "subreddit", "title", "selftext", "created_utc", "score",
     "upvote_ratio", "num_comments", "partition_date",

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import difflib
-from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentionlake.operators.sizes import is_small, lookup
-from mentionlake.session import Save, materialise
+from mentionlake.operators.sizes import lookup
+from mentionlake.session import ship_package
 
 # Least similarity of an approximate match, and stand-in names.
 BRAND_CUTOFF = 0.7
@@ -20,104 +19,59 @@ GENERAL_MODEL = "general"
 
 ANY_BLOCK = "*"
 
-# (text, candidates, cutoff) -> (similarity, candidate) or None
-Matcher = Callable[[str, Sequence[str], float], tuple[float, str] | None]
-
-
-def difflib_best(text: str, candidates: Sequence[str], cutoff: float) -> tuple[float, str] | None:
-    """Best candidate by the matching-blocks ratio; ties go to the largest text."""
-    found = difflib.get_close_matches(text, candidates, n=1, cutoff=cutoff)
-    if not found:
-        return None
-    return difflib.SequenceMatcher(None, found[0], text).ratio(), found[0]
-
-
-def levenshtein(a: str, b: str) -> int:
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        diagonal, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            diagonal, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diagonal + (x != y))
-    return row[-1]
-
-
-def levenshtein_best(text: str, candidates: Sequence[str], cutoff: float) -> tuple[float, str] | None:
-    """Best candidate by 1 - edits / longer length; ties go to the largest text."""
-    best = None
-    for candidate in candidates:
-        longer = max(len(text), len(candidate), 1)
-        # The lengths alone already demand this many edits.
-        if 1 - abs(len(text) - len(candidate)) / longer < cutoff:
-            continue
-        pair = (1 - levenshtein(text, candidate) / longer, candidate)
-        if pair[0] >= cutoff and (best is None or pair > best):
-            best = pair
-    return best
-
-
-def best_match(
-    texts: DataFrame,
-    candidates: DataFrame,
-    cutoff: float,
-    matcher: Matcher = difflib_best,
-    texts_per_task: int = 5_000,
-    candidates_per_task: int = 20_000,
-    one_block: bool = False,
-) -> DataFrame:
-    """For each (block, text) the most similar candidate of its block, if any passes.
-    ``one_block`` says that all rows have the same block.
+#: Measures of similarity: matching blocks over both lengths, or edits over the longer length.
+BLOCKS, EDITS = "blocks", "edits"
+
 
-    Both inputs are cut into slices, per block as many as its counts ask for, and
-    every slice of texts meets every slice of candidates of its block in a task of
-    its own. So neither a block with most of the texts nor a long list of candidates
-    is ever held by one task. A task returns one row per text at most.
+def admissible_lengths(n: Column, cutoff: float, matcher: str) -> tuple[Column, Column]:
+    """Least and greatest length of a candidate that can be so similar to a text of ``n`` characters.
+
+    Matching blocks cover the shorter text at most, so 2 * shorter / (n + m) bounds the ratio; edits make up the
+    difference of the lengths at least, so shorter / longer bounds it.
     """
-    def slices(per_task: int) -> Column:
-        return F.greatest(F.lit(1), F.ceil(F.count("*") / per_task))
-
-    if one_block:
-        counts = {
-            "text_slices": texts.agg(slices(texts_per_task)).scalar(),
-            "candidate_slices": candidates.agg(slices(candidates_per_task)).scalar(),
-        }
-        counted = lambda df: df.withColumns(counts)
-    else:
-        # One row per block that has both texts and candidates.
-        sizes = texts.groupBy("block").agg(slices(texts_per_task).alias("text_slices")).join(
-            candidates.groupBy("block").agg(slices(candidates_per_task).alias("candidate_slices")), "block"
-        ).withColumnRenamed("block", "_block")
-        small = is_small(sizes)
-        counted = lambda df: lookup(df, "block", sizes, "_block", small=small)
-
-    def slice_of(c: str, n: str) -> Column:
-        return F.pmod(F.xxhash64(c), F.col(n))
-
-    def every(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-
-    t = counted(texts).select(
-        "block", "text", slice_of("text", "text_slices").alias("ts"), every("candidate_slices").alias("cs")
-    )
-    c = counted(candidates).select(
-        "block", "candidate", slice_of("candidate", "candidate_slices").alias("cs"), every("text_slices").alias("ts")
-    )
-    keys = ["block", "ts", "cs"]
-
-    def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        options = right["candidate"].tolist()
-        rows = []
-        for block, text in zip(left["block"], left["text"]):
-            found = matcher(text, options, cutoff) if options else None
-            if found:
-                rows.append((block, text, *found))
-        return pd.DataFrame(rows, columns=["block", "text", "ratio", "candidate"])
-
-    matched = (
-        t.groupBy(*keys).cogroup(c.groupBy(*keys))
-        .applyInPandas(match, "block string, text string, ratio double, candidate string")
-    )
+    least = cutoff / (2 - cutoff) if matcher == BLOCKS else cutoff
+    return F.ceil(n * least - 1e-9), F.floor(n / least + 1e-9)
+
+
+def _blocks_ratio(cutoff: float):
+    @F.pandas_udf("double")
+    def ratio(candidates: pd.Series, texts: pd.Series) -> pd.Series:
+        measure, last, out = difflib.SequenceMatcher(), None, []
+        for candidate, text in zip(candidates, texts, strict=True):
+            if text != last:
+                measure.set_seq2(text)
+                last = text
+            measure.set_seq1(candidate)
+            near = measure.real_quick_ratio() >= cutoff and measure.quick_ratio() >= cutoff
+            out.append(measure.ratio() if near else None)
+        return pd.Series(out, dtype="float64")
+
+    return ratio
+
+
+def similarity(candidate: str, text: str, cutoff: float, matcher: str) -> Column:
+    if matcher == BLOCKS:
+        return _blocks_ratio(cutoff)(candidate, text)
+    longer = F.greatest(F.length(candidate), F.length(text), F.lit(1))
+    return F.lit(1.0) - F.levenshtein(candidate, text) / longer
+
+
+def best_match(texts: DataFrame, candidates: DataFrame, cutoff: float, matcher: str = BLOCKS) -> DataFrame:
+    """For each (block, text) the most similar candidate of its block, if any passes; ties go to the largest.
+
+    A text meets the candidates of its block whose length can reach the cutoff: an equi-join on block and
+    length, with both sides plain, so that a block with most of the texts can be split. Only the best pair of a
+    text is kept by each task.
+    """
+    if matcher not in (BLOCKS, EDITS):
+        raise ValueError(f"unknown matcher {matcher}")
+    ship_package(texts.sparkSession)
+    low, high = admissible_lengths(F.length("text"), cutoff, matcher)
+    t = texts.select("block", "text", F.explode(F.sequence(low, high)).alias("_length"))
+    c = candidates.select("block", "candidate", F.length("candidate").cast("bigint").alias("_length"))
+    pairs = t.join(c, ["block", "_length"]).withColumn("ratio", similarity("candidate", "text", cutoff, matcher))
     best = F.max(F.struct("ratio", "candidate")).alias("best")
-    return matched.groupBy("block", "text").agg(best).select("block", "text", "best.*")
+    return pairs.filter(F.col("ratio") >= cutoff).groupBy("block", "text").agg(best).select("block", "text", "best.*")
 
 
 def brand_index(reference: DataFrame) -> DataFrame:
@@ -172,8 +126,7 @@ def resolve_brands(
     brands: DataFrame,
     reference: DataFrame,
     cutoff: float = BRAND_CUTOFF,
-    matcher: Matcher = difflib_best,
-    save: Save = materialise,
+    matcher: str = BLOCKS,
 ) -> DataFrame:
     """``brands`` (distinct ``raw_brand``) with ``brand_name``: exact, else closest, else as is."""
     index = brand_index(reference)
@@ -184,8 +137,7 @@ def resolve_brands(
         F.lit(ANY_BLOCK).alias("block"), F.col("_key").alias("text")
     ).distinct()
     candidates = index.select(F.lit(ANY_BLOCK).alias("block"), F.col("brand_key").alias("candidate"))
-    open_texts = save(open_texts, "open-brands")
-    close = best_match(open_texts, candidates, cutoff, matcher, one_block=True).join(
+    close = best_match(open_texts, candidates, cutoff, matcher).join(
         index.select(F.col("brand_key").alias("candidate"), F.col("canonical_brand").alias("_close")), "candidate"
     ).select(F.col("text").alias("_key"), "_close")
     named = F.coalesce("canonical_brand", "_close", "raw_brand")
@@ -198,8 +150,7 @@ def resolve_models(
     pairs: DataFrame,
     reference: DataFrame,
     cutoff: float = MODEL_CUTOFF,
-    matcher: Matcher = difflib_best,
-    save: Save = materialise,
+    matcher: str = BLOCKS,
 ) -> DataFrame:
     """``pairs`` (distinct ``brand_name``, ``raw_model``) with ``product_name``.
 
@@ -223,7 +174,6 @@ def resolve_models(
     candidates = per_brand.select(
         F.concat(F.lit("brand:"), F.col("brand")).alias("block"), F.col("model").alias("candidate")
     ).unionByName(models.select(F.lit(ANY_BLOCK).alias("block"), F.col("model_key").alias("candidate")))
-    open_texts = save(open_texts, "open-models")
     close = best_match(open_texts, candidates, cutoff, matcher).join(
         models.select(F.col("model_key").alias("candidate"), F.col("canonical_model").alias("_close")), "candidate"
     ).select("block", F.col("text").alias("_key"), "_close")
@@ -238,19 +188,16 @@ def resolve_pairs(
     reference: DataFrame,
     brand_cutoff: float = BRAND_CUTOFF,
     model_cutoff: float = MODEL_CUTOFF,
-    matcher: Matcher = difflib_best,
-    save: Save = materialise,
+    matcher: str = BLOCKS,
 ) -> DataFrame:
     """Each distinct (raw_brand, raw_model) of the mentions with its resolved names.
 
-    Names are matched once per distinct pair, never per mention. The distinct pairs
-    and the resolved brands are written, as later steps read them several times.
+    Names are matched once per distinct pair, never per mention.
     """
     pairs = mentions.select(_raw("brand_name").alias("raw_brand"), _raw("product_name").alias("raw_model")).distinct()
-    pairs = save(pairs, "pairs")
-    brands = resolve_brands(pairs.select("raw_brand").distinct(), reference, brand_cutoff, matcher, save)
-    branded = pairs.join(save(brands, "brands"), "raw_brand")
-    models = resolve_models(branded.select("brand_name", "raw_model").distinct(), reference, model_cutoff, matcher, save)
+    brands = resolve_brands(pairs.select("raw_brand").distinct(), reference, brand_cutoff, matcher)
+    branded = pairs.join(brands, "raw_brand")
+    models = resolve_models(branded.select("brand_name", "raw_model").distinct(), reference, model_cutoff, matcher)
     return branded.join(models, ["brand_name", "raw_model"]).select(
         "raw_brand", "raw_model", "brand_name", "product_name"
     )

@@ -1,4 +1,4 @@
-"""Broadcast behind a check of the size, and what to do beyond it."""
+"""Joins with lookup tables whose size and keys are not known."""
 
 from __future__ import annotations
 
@@ -7,34 +7,18 @@ from pyspark.sql import functions as F
 
 from mentionlake.operators.dedupe import row_digest
 
-MAX_BROADCAST_ROWS = 200_000
 SALTS = 32
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; counts no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup(
-    left: DataFrame,
-    left_key: str,
-    right: DataFrame,
-    right_key: str,
-    how: str = "inner",
-    max_rows: int = MAX_BROADCAST_ROWS,
-    small: bool | None = None,
-) -> DataFrame:
+def lookup(left: DataFrame, left_key: str, right: DataFrame, right_key: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join ``left`` with a lookup table of narrow rows.
 
-    A small table is broadcast. A larger one is repeated under ``SALTS`` salts and
-    joined by shuffle, so that a key with most of the left rows is spread over that
-    many tasks; the result is the same. ``small`` states the size if it is known.
+    The table is repeated under ``salts`` salts, so a key with most of the left rows is spread over that many
+    tasks. There is no hint and no count: Spark broadcasts the table if its size in bytes, known when it has been computed,
+    is below the session's limit.
     """
-    if is_small(right, max_rows) if small is None else small:
-        return left.join(F.broadcast(right), F.col(left_key) == F.col(right_key), how)
-    salted = left.withColumn("_salt", F.pmod(row_digest(left), F.lit(SALTS)))
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    repeated = right.withColumn("_salt_of", F.explode(salts))
+    salted = left.withColumn("_salt", F.pmod(row_digest(left), F.lit(salts)))
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    repeated = right.withColumn("_salt_of", F.explode(every))
     same = (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_salt_of"))
     return salted.join(repeated, same, how).drop("_salt", "_salt_of")

@@ -43,6 +43,7 @@ def dim_date(spark: SparkSession, start: str = FIRST_DAY, n: int = DAYS) -> Data
     return date_series(spark, start, n).select(*[c.alias(name) for name, c in calendar_columns().items()])
 
 
+# Product columns of the mart.
 PRODUCT_FIGURES = (
     "processor_brand", "num_cores", "processor_speed", "battery_capacity",
     "fast_charging_available", "fast_charging", "ram_capacity", "internal_memory",
@@ -68,13 +69,28 @@ def dim_product(reference: DataFrame) -> DataFrame:
 
 
 def dim_submission(submissions: DataFrame) -> DataFrame:
+    """Posts with their number. Only ids are sorted for it; the texts join their number afterwards."""
     rows = submissions.select(
         F.col("id").alias("reddit_submission_id"),
         "subreddit", "title", "selftext",
         epoch_ts("created_utc").alias("created_at"),
         "num_comments", "upvote_ratio", "score",
     )
-    return surrogate_key(rows, "reddit_submission_id", "submission_key")
+    numbers = submission_keys(submissions)
+    return numbers.join(rows, "reddit_submission_id").select("submission_key", *rows.columns)
+
+
+def submission_keys(submissions: DataFrame) -> DataFrame:
+    """Ids (which are unique in silver) and their numbers."""
+    ids = submissions.select(F.col("id").alias("reddit_submission_id"))
+    return surrogate_key(ids, "reddit_submission_id", "submission_key")
+
+
+def with_product_key(mentions: DataFrame, products: DataFrame) -> DataFrame:
+    """Add ``product_key``: that of the product with the mention's names, but for case; null if there is none."""
+    p = products.select(F.lower("brand_name").alias("_brand"), F.lower("model").alias("_model"), "product_key")
+    same = (F.lower("brand_name") == F.col("_brand")) & (F.lower("product_name") == F.col("_model"))
+    return mentions.join(p, same, "left").drop("_brand", "_model")
 
 
 def fact_mentions(
@@ -103,13 +119,9 @@ def fact_mentions(
     linked = or_join(
         commented, short_id("link_id"), F.col("submission_id"), keys, "reddit_submission_id", prefer_link, unique=True
     )
-    p = products.select(
-        F.lower("brand_name").alias("_brand"), F.lower("model").alias("_model"), "product_key"
-    )
-    same_product = (F.lower("brand_name") == F.col("_brand")) & (F.lower("product_name") == F.col("_model"))
     d = F.broadcast(dates.select("date_key", "full_date"))
     return (
-        linked.join(p, same_product, "left")
+        with_product_key(linked, products)
         .join(d, epoch_date("created_utc") == F.col("full_date"), "left")
         .select(
             "product_key", "submission_key", "date_key", "comment_id", "brand_name",
@@ -118,8 +130,8 @@ def fact_mentions(
     )
 
 
-def build_gold(spark: SparkSession, lake: Lake, prefer_link: bool = False) -> None:
-    """Rebuild the marts, dimensions first."""
+def build_gold(spark: SparkSession, lake: Lake, prefer_link: bool = False, start: str = FIRST_DAY, days: int = DAYS) -> None:
+    """Rebuild the marts, dimensions first; the calendar has ``days`` days from ``start`` (see ``days_outside``)."""
     def save(df: DataFrame, name: str) -> DataFrame:
         table = f"{lake.mart}.{name}"
         replace_table(df, table, lake.path(table))
@@ -127,8 +139,15 @@ def build_gold(spark: SparkSession, lake: Lake, prefer_link: bool = False) -> No
 
     submissions = spark.table(lake.silver_table("submissions"))
     comments = spark.table(lake.silver_table("comments"))
-    dates = save(dim_date(spark), "dim_date")
+    dates = save(dim_date(spark, start, days), "dim_date")
     products = save(dim_product(spark.table(lake.reference)), "dim_product")
     posts = save(dim_submission(submissions), "dim_submission")
     mentions = spark.table(lake.sentiment)
     save(fact_mentions(mentions, comments, products, posts, dates, prefer_link), "fact_brand_mentions")
+
+
+def days_outside(comments: DataFrame, dates: DataFrame) -> DataFrame:
+    """Days of comments that the calendar does not hold: mentions of these get no date key."""
+    days = comments.select(epoch_date("created_utc").alias("full_date")).filter("full_date IS NOT NULL")
+    counted = days.groupBy("full_date").agg(F.count("*").alias("comments"))
+    return counted.join(dates.select("full_date"), "full_date", "left_anti")

@@ -25,11 +25,11 @@ from mentionlake.sources.tables import append
 def mentions_from_scorer(
     context: DataFrame, comments: DataFrame, reference: DataFrame,
     scorer_factory: Callable[[str], Callable[[], Scorer]],
-    partitions: int | None = None, strict: bool = False,
+    partitions: int | None = None, strict: bool = False, brands: int | None = None, post_chars: int | None = None,
 ) -> DataFrame:
     """Unresolved mentions from a scorer, which is given the instructions once."""
-    instructions = system_text(reference).first()[0]
-    prompted = with_prompt(with_parent_body(context, comments))
+    instructions = system_text(reference, brands).first()[0]
+    prompted = with_prompt(with_parent_body(context, comments), post_chars)
     return parse_responses(score(prompted, scorer_factory(instructions), partitions), strict)
 
 
@@ -45,12 +45,16 @@ def run_sentiment(
     partitions: int | None = None,
     strict: bool = False,
     run_id: str | None = None,
+    matcher: str = "blocks",
+    prompt_brands: int | None = None,
+    post_chars: int | None = None,
 ) -> int:
     """Analyse usable comments that were not analysed before; returns how many.
 
     Works with a scorer or, by default, a lexicon. All subreddits go through one
     distributed pass. The scorer's answers are written before anything is derived
-    from them, so no comment is scored twice.
+    from them, so no comment is scored twice. Every element of an answer is stored, also where names
+    become equal. ``prompt_brands`` and ``post_chars`` shorten the prompt; by default nothing is left out.
     """
     if (scorer_factory is None) == (lexicon is None):
         raise ValueError("give either a scorer_factory or a lexicon")
@@ -66,19 +70,19 @@ def run_sentiment(
         if fresh.isEmpty():
             return 0
         if scorer_factory is not None:
-            raw = mentions_from_scorer(fresh, comments, reference, scorer_factory, partitions, strict)
+            raw = mentions_from_scorer(fresh, comments, reference, scorer_factory, partitions, strict, prompt_brands, post_chars)
         else:
             raw = lexicon_mentions(fresh, lexicon)
         finished = finish_mentions(raw).select(
             "submission_id", "comment_id", "brand_name", "product_name", "aspect",
-            "sentiment_score", "quote",
+            "sentiment_score", "quote", "item_no",
             F.lit(model_version).alias("model_version"),
             F.current_timestamp().alias("analyzed_at"),
             F.col("partition_date").alias("date_partition"),
         )
         scored = save(finished, "scored")
-        names = save(resolve_pairs(scored, reference, save=save), "names")
-        mentions = with_analysis_id(apply_pairs(scored, names)).dropDuplicates(["analysis_id"])
+        names = save(resolve_pairs(scored, reference, matcher=matcher), "names")
+        mentions = with_analysis_id(apply_pairs(scored, names))
         append(mentions.select(*SENTIMENT.names), lake.sentiment)
         append(fresh.select("comment_id", F.col("partition_date").alias("date_partition")), lake.analysed)
         analysed = fresh.count()

@@ -185,22 +185,31 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(turn == 4, F.concat(F.lit(" \t"), lb, rb))
         .when(turn == 5, F.concat(lb, item("0.9", quote=F.col("p_name")), F.lit(", 7, "), item('"high"'), rb))
         .when(turn == 6, F.concat(F.lit("```"), lb, item("null"), rb, F.lit("```")))
+        .when(turn == 7, F.concat(lb, item("0.5"), rb, F.lit(" I hope this helps")))
+        .when(turn == 8, F.concat(lb, item("0.5"), rb, lb, item("0.5"), rb))
+        .when(turn == 9, F.concat(lb, item("0.5"), F.lit(","), rb))
+        .when(turn == 10, F.concat(lb, F.replace(item("0.1"), F.lit('"quote"'), F.lit('"aspect": "Battery", "quote"')), rb))
     )
     return _with_part(spark, sf_dir).select(F.col("id").alias("comment_id"), "body", text.alias("response"))
 
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of the benchmark texts; their length decides what they stand for."""
+    """All words of the benchmark texts; their length decides what they stand for.
+
+    Some brands and products are misspelt, so that different names of a comment become one.
+    """
     words = table(spark, sf_dir, "benchmark").select(
         F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("token")
-    ).filter(F.length("token") >= 4).distinct()
+    ).filter("token <> ''").distinct()
     size = F.length("token")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name")
     aspect = F.when(size % 8 == 6, "camera").otherwise("battery")
     value = (
-        F.when(size % 4 == 0, F.col("p_brand")).when(size % 4 == 1, F.col("p_name")).when(size % 4 == 2, aspect)
+        F.when(size % 8 == 0, F.replace("p_brand", F.lit("Brand"), F.lit("Brnd"))).when(size % 4 == 0, F.col("p_brand"))
+        .when(size % 8 == 1, F.concat("p_name", F.lit("x"))).when(size % 4 == 1, F.col("p_name")).when(size % 4 == 2, aspect)
     )
     kind = F.when(size % 4 == 0, "brand").when(size % 4 == 1, "product").when(size % 4 == 2, "aspect").otherwise("polarity")
-    return words.join(part, F.col("p_partkey") == size).select(
+    # Words of eight letters more name the same part.
+    return words.join(part, F.col("p_partkey") == (size - 1) % 4 + 1, "left").select(
         "token", kind.alias("kind"), value.alias("value"), (size % 11 / 10).alias("weight")
     )

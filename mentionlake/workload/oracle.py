@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import re
-
-from mentionlake.operators.prompts import INSTRUCTIONS
-
 START = 1704067200
 TWO_YEARS = 2 * 365 * 86400
 
@@ -156,7 +153,11 @@ VIEWS: dict[str, str] = {
             WHEN 3 THEN '[' || {_item('0.5')} || ', {{"brand_name": '
             WHEN 4 THEN ' ' || chr(9) || '[]'
             WHEN 5 THEN '[' || {_item('0.9', quote='p_name')} || ', 7, ' || {_item('"high"')} || ']'
-            WHEN 6 THEN '```[' || {_item('null')} || ']```' END AS response
+            WHEN 6 THEN '```[' || {_item('null')} || ']```'
+            WHEN 7 THEN '[' || {_item('0.5')} || '] I hope this helps'
+            WHEN 8 THEN '[' || {_item('0.5')} || '][' || {_item('0.5')} || ']'
+            WHEN 9 THEN '[' || {_item('0.5')} || ',]'
+            WHEN 10 THEN '[' || replace({_item('0.1')}, '"quote"', '"aspect": "Battery", "quote"') || ']' END AS response
         FROM with_part""",
     "parsed": """
         SELECT comment_id, body, [e FOR e IN elements IF json_type(e) = 'OBJECT'] AS objects, elements FROM (
@@ -167,7 +168,9 @@ VIEWS: dict[str, str] = {
                   '^\\s+|\\s+$', '', 'g') AS cleaned FROM responses))""",
     "items": """
         SELECT comment_id, body, json_extract_string(item, '$.brand_name') AS brand_name,
-          json_extract_string(item, '$.product_name') AS product_name, json_extract_string(item, '$.aspect') AS aspect,
+          json_extract_string(item, '$.product_name') AS product_name, CASE WHEN len(regexp_extract_all(CAST(item AS VARCHAR), '"aspect":')) > 1
+            THEN list_last(regexp_extract_all(CAST(item AS VARCHAR), '"aspect": ?"([^"]*)"', 1))
+            ELSE json_extract_string(item, '$.aspect') END AS aspect,
           json_extract_string(item, '$.sentiment_score') AS sentiment_score, json_extract_string(item, '$.quote') AS quote
         FROM (SELECT comment_id, body, unnest(objects) AS item FROM parsed)""",
     "context": """
@@ -177,11 +180,11 @@ VIEWS: dict[str, str] = {
     "lexicon": """
         SELECT token, CASE length(token) % 4 WHEN 0 THEN 'brand' WHEN 1 THEN 'product' WHEN 2 THEN 'aspect'
             ELSE 'polarity' END AS kind,
-          CASE length(token) % 4 WHEN 0 THEN p_brand WHEN 1 THEN p_name
-            WHEN 2 THEN CASE WHEN length(token) % 8 = 6 THEN 'camera' ELSE 'battery' END END AS value,
+          CASE WHEN length(token) % 8 = 0 THEN replace(p_brand, 'Brand', 'Brnd') WHEN length(token) % 4 = 0 THEN p_brand
+            WHEN length(token) % 8 = 1 THEN p_name || 'x' WHEN length(token) % 4 = 1 THEN p_name WHEN length(token) % 4 = 2 THEN CASE WHEN length(token) % 8 = 6 THEN 'camera' ELSE 'battery' END END AS value,
           CAST(length(token) % 11 AS DOUBLE) / 10 AS weight
         FROM (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^\\pL\\pN]+')) AS token FROM benchmark)
-        JOIN part ON p_partkey = length(token) WHERE length(token) >= 4""",
+        LEFT JOIN part ON p_partkey = (length(token) - 1) % 4 + 1 WHERE token <> ''""",
     "bodies": "SELECT id AS comment_id, body FROM comments",
     "hits": _hits("bodies"),
     "lexicon_found": _found("hits"),
@@ -278,8 +281,8 @@ VIEWS: dict[str, str] = {
 }
 
 _LANDED = f"""
-    SELECT id, subreddit, sort_type AS source_sort_type, {_LANDING_DAY} AS partition_date, title,
-      selftext, score, created_utc FROM subs"""
+    SELECT id, fullname_id, subreddit, title, selftext, created_utc, updated_at, score, upvote_ratio, num_comments,
+      sort_type AS source_sort_type, {_LANDING_DAY} AS partition_date, true AS others_missing FROM subs"""
 _SIMILAR = "1 - CAST(levenshtein({a}, {b}) AS DOUBLE) / greatest(length({a}), length({b}), 1)"
 _BY_SEGMENT = "CASE WHEN price < 20000 THEN 'Budget' WHEN price < 50000 THEN 'Midrange' ELSE 'Flagship' END AS price_segment"
 _AVERAGE = "round(avg(sentiment_score), 6) AS avg_sentiment, count(*) AS mentions"
@@ -325,24 +328,30 @@ _STATE = f"""
 
 # Names by edit distance: exact, else the closest above the cutoff, else as they are.
 _LEV = f"""
-    SELECT m.comment_id, r.brand AS brand_name, CASE
+    SELECT m.*, r.brand AS found_brand, CASE
         WHEN m.product_name = '' OR lower(m.product_name) = 'general' THEN 'general'
         ELSE coalesce(
           (SELECT max(struct_pack(b := c.brand, m := c.model)).m FROM catalogue c WHERE lower(c.model) = lower(m.product_name)),
           (SELECT max(struct_pack(r := {_SIMILAR.format(a='c.model', b='lower(m.product_name)')}, m := c.model)).m FROM catalogue c
            WHERE (c.brand = lower(r.brand) OR NOT r.known)
              AND {_SIMILAR.format(a='c.model', b='lower(m.product_name)')} >= 0.6),
-          m.product_name) END AS product_name
-    FROM raw_mentions m JOIN (
+          m.product_name) END AS found_product
+    FROM {{source}} m JOIN (
       SELECT raw, brand, brand IN (SELECT brand FROM catalogue) AS known FROM (
         SELECT raw, CASE WHEN raw = '' THEN 'Unknown' ELSE coalesce(
           (SELECT max(c.brand) FROM catalogue c WHERE c.brand = lower(raw)),
           (SELECT max(struct_pack(r := {_SIMILAR.format(a='c.brand', b='lower(raw)')}, b := c.brand)).b FROM catalogue c
            WHERE {_SIMILAR.format(a='c.brand', b='lower(raw)')} >= 0.7), raw) END AS brand
-        FROM (SELECT DISTINCT brand_name AS raw FROM raw_mentions))) r ON m.brand_name = r.raw"""
+        FROM (SELECT DISTINCT brand_name AS raw FROM {{source}}))) r ON m.brand_name = r.raw"""
+VIEWS["found_names"] = "SELECT DISTINCT brand_name, product_name FROM context_found"
+VIEWS["found_resolved"] = _LEV.format(source="found_names")
+VIEWS["raw_resolved"] = _LEV.format(source="raw_mentions")
 
 SQL: dict[str, str] = {
     "landing_roundtrip": _LANDED,
+    "landing_roundtrip_comments": f"""
+        SELECT id, link_id, parent_id, author, body, created_utc, updated_at, score, sort_type AS source_sort_type,
+          {_LANDING_DAY} AS partition_date FROM comments""",
     "landing_scan_date": f"SELECT * FROM ({_LANDED}) WHERE partition_date = '01-01-2024'",
     "landing_quarantine": _STATE,
     "landing_partitions": f"SELECT DISTINCT sort_type, subreddit, {_LANDING_DAY} AS partition_date FROM subs",
@@ -353,7 +362,7 @@ SQL: dict[str, str] = {
           SELECT partition_date, CASE WHEN starts_with(partition_date, '1') THEN score + 1000 ELSE score END AS score
           FROM (SELECT *, starts_with(partition_date, '1') AND max(score) OVER (PARTITION BY partition_date) >= 200 AS replaced
                 FROM subs) WHERE NOT replaced OR score >= 200) GROUP BY 1""",
-    "ref_csv_roundtrip": "SELECT brand_name, model, price, avg_rating, has_5g, screen_size, brand FROM products",
+    "ref_csv_roundtrip": "SELECT * FROM products",
     "path_extract": """
         SELECT id, 'src' || (conv_id % 20 + 1) AS subreddit, partition_date AS date, sort_type, '' AS absent FROM comments""",
     "word_count": f"SELECT doc_id, CAST({_words('text')} AS INTEGER) AS words, CAST({_chars('text')} AS INTEGER) AS chars FROM documents",
@@ -371,7 +380,7 @@ SQL: dict[str, str] = {
     "canonicalise": f"""
         SELECT CAST(doc_id AS VARCHAR) AS id, 't3_' || doc_id AS fullname_id, source AS subreddit,
           CASE WHEN doc_id % 5 <> 0 THEN lang END AS author,
-          CASE WHEN doc_id % 7 <> 0 THEN left(text, 30) ELSE '' END AS title, '' AS selftext,
+          CASE WHEN doc_id % 7 <> 0 THEN text ELSE '' END AS title, CASE WHEN doc_id % 11 <> 0 THEN text ELSE '' END AS selftext,
           {START} + doc_id AS created_utc, CAST({START} AS BIGINT) AS updated_at,
           CAST(CASE WHEN doc_id % 3 <> 0 THEN n_chars ELSE 0 END AS INTEGER) AS score,
           CAST(doc_id % 100 AS DOUBLE) / 100 AS upvote_ratio, 0 AS num_comments,
@@ -405,13 +414,17 @@ SQL: dict[str, str] = {
     "prompt_build": f"""
         SELECT x.comment_id, 'Context:' || chr(10) || concat_ws(chr(10), 'Submission Title: ' || submission_title,
             CASE WHEN submission_selftext NOT IN {SENTINEL}
-                 THEN 'Submission Context: ' || left(submission_selftext, 200) || '...' END,
+                 THEN 'Submission Context: ' || submission_selftext || '...' END,
             CASE WHEN c.body NOT IN {SENTINEL} THEN 'Parent Comment: ' || c.body END)
           || chr(10) || chr(10) || 'Target Comment to Analyze:' || chr(10) || '"' || x.body || '"' AS prompt
         FROM context x LEFT JOIN comments c ON x.parent_id = 't1_' || c.id""",
     "prompt_brands": f"""
-        SELECT '{INSTRUCTIONS}' || string_agg(brand, ', ' ORDER BY brand) AS system_text
-        FROM (SELECT DISTINCT brand FROM products ORDER BY brand LIMIT 50)""",
+        SELECT 'Find every opinion on a phone in the comment. Answer with a JSON array of objects with the fields brand_name, '
+          || 'product_name (or general), aspect, sentiment_score (0.0 very negative to 1.0 very positive) and quote '
+          || '(verbatim, at most 200 characters). Aspects: camera, battery, display, performance, price, software, '
+          || 'build_quality, design, other. Judge the target comment alone; the post and the parent comment only tell '
+          || 'what its words refer to. Known brands: ' || string_agg(brand, ', ' ORDER BY brand) AS system_text
+        FROM (SELECT DISTINCT brand FROM products)""",
     "score_stub": """
         SELECT comment_id, 'Brand#1' AS brand_name, '' AS product_name, 'camera' AS aspect,
           round(CAST(length(body) % 11 AS DOUBLE) / 10, 6) AS sentiment_score FROM context""",
@@ -434,7 +447,7 @@ SQL: dict[str, str] = {
                ELSE coalesce(p.model, m.product_name) END AS product_name
         FROM raw_mentions m LEFT JOIN (SELECT DISTINCT brand FROM catalogue) b ON lower(m.brand_name) = b.brand
         LEFT JOIN (SELECT DISTINCT model FROM catalogue) p ON lower(m.product_name) = lower(p.model)""",
-    "resolve_lev": _LEV,
+    "resolve_lev": "SELECT comment_id, found_brand AS brand_name, found_product AS product_name FROM raw_resolved",
     "brand_models": "SELECT DISTINCT brand, lower(model) AS model FROM catalogue",
     "submission_metrics": """
         SELECT subreddit, count(*) AS submissions_count, min(created_utc) AS earliest_submission_created_utc,
@@ -490,16 +503,20 @@ SQL: dict[str, str] = {
     "listing_top": f"""
         SELECT subreddit, 'top' AS sort_type, CAST(rn AS INTEGER) AS rank, id FROM (
           SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY score DESC, id) AS rn FROM subs
-          WHERE created_utc >= {START - 86400}) WHERE rn <= 150""",
+          WHERE created_utc >= {START + 86400}) WHERE rn <= 4""",
     "comments_per_submission": """
         SELECT link_id, CAST(rn AS INTEGER) AS rank, id FROM (
-          SELECT *, row_number() OVER (PARTITION BY link_id ORDER BY score DESC, id) AS rn FROM comments) WHERE rn <= 2000""",
+          SELECT *, row_number() OVER (PARTITION BY link_id ORDER BY score DESC, id) AS rn FROM comments) WHERE rn <= 3""",
+    "comments_ranked": """
+        SELECT link_id, CAST(row_number() OVER (PARTITION BY link_id ORDER BY score DESC, id) AS INTEGER) AS rank, id FROM comments""",
     "latest_dates": """
         SELECT partition_date FROM (SELECT DISTINCT partition_date FROM subs)
         ORDER BY strptime(partition_date, '%d-%m-%Y') DESC LIMIT 5""",
     "sample_rejects": """
         SELECT id, title, selftext, is_usable_for_sentiment FROM subs_silver WHERE NOT is_usable_for_sentiment
         ORDER BY id LIMIT 10""",
+    "sample_reject_comments": """
+        SELECT id, body, is_usable_for_sentiment FROM comments_silver WHERE NOT is_usable_for_sentiment ORDER BY id LIMIT 10""",
     "merge_latest_events": """
         SELECT coalesce(t.user_id, s.user_id) AS user_id, coalesce(t.event_type, s.event_type) AS event_type,
           CASE WHEN t.event_id IS NULL OR coalesce(s.ts > t.ts, false) THEN s.event_id ELSE t.event_id END AS event_id,
@@ -508,14 +525,38 @@ SQL: dict[str, str] = {
     "bronze_job": f"""
         SELECT id, updated_at, score, subreddit, partition_date FROM bronze_state UNION ALL
         SELECT id, updated_at, score, NULL, {_LANDING_DAY} FROM comments""",
+    "bronze_rows_after": """
+        SELECT 'BronzeSubmissionsRows' AS metric, CAST(count(*) AS DOUBLE) AS rows FROM subs UNION ALL
+        SELECT 'BronzeCommentsRows', CAST(count(*) AS DOUBLE) FROM comments""",
     "incremental_final_state": "SELECT * FROM bronze_state",
     "silver_job": "SELECT id, subreddit, partition_date, is_usable_for_sentiment FROM comments_silver",
+    "silver_posts_job": """
+        SELECT id, fullname_id, subreddit, title, selftext, created_utc, score, upvote_ratio, num_comments, partition_date,
+          is_usable_for_sentiment FROM subs_silver""",
+    "check_unique_analysis": "SELECT '' AS analysis_id, 0 AS copies WHERE false",
+    "check_unique_silver": "SELECT id, 2 AS copies FROM subs WHERE score % 7 = 0",
+    "mart_views": "SELECT subreddit, count(*) AS rows FROM subs GROUP BY 1",
+    "staged_view": "SELECT subreddit, count(*) AS rows, max(score) AS best FROM subs GROUP BY 1",
+    "replaced_table": "SELECT id, score + 1 AS score FROM subs WHERE score % 2 = 0",
+    "seeded_once": "SELECT brand_name, model, price, brand FROM products",
+    "table_columns": """
+        SELECT v.name, v.kind, CAST(n AS INTEGER) AS posts FROM (VALUES ('submissions_silver', 'table'), ('comments_silver', 'table'),
+          ('sentiment_analysis', 'table'), ('analysed_comments', 'table'), ('id', 'string'), ('fullname_id', 'string'),
+          ('subreddit', 'string'), ('title', 'string'), ('selftext', 'string'), ('created_utc', 'bigint'), ('score', 'int'),
+          ('upvote_ratio', 'double'), ('num_comments', 'int'), ('partition_date', 'string'),
+          ('is_usable_for_sentiment', 'boolean')) v(name, kind), (SELECT count(*) AS n FROM subs)""",
+    "checkpoint_lookup": """
+        SELECT subreddit, sort_type, time_filter, event_id AS last_timestamp, items_fetched FROM (
+          SELECT *, row_number() OVER (PARTITION BY subreddit, sort_type, time_filter ORDER BY save DESC, event_id DESC) AS rn
+          FROM checkpoint_log)
+        WHERE rn = 1 AND (subreddit = 'user3' AND sort_type IS NULL OR subreddit = 'user4' AND sort_type = 'click')""",
     "sentiment_job": """
-        SELECT x.submission_id, x.comment_id, lower(f.brand_name) AS brand_name, f.product_name, f.aspect,
+        SELECT x.submission_id, x.comment_id, r.found_brand AS brand_name, r.found_product AS product_name, f.aspect, 'lexicon' AS model_version,
           round(f.sentiment_score, 6) AS sentiment_score,
           CASE WHEN length(x.body) > 150 THEN left(x.body, 150) || '...' ELSE x.body END AS quote,
           x.partition_date AS date_partition
-        FROM context_found f JOIN context x ON f.comment_id = x.comment_id""",
+        FROM context_found f JOIN context x ON f.comment_id = x.comment_id
+        JOIN found_resolved r ON f.brand_name = r.brand_name AND f.product_name = r.product_name""",
     "checkpoint_upsert": """
         SELECT subreddit, sort_type, time_filter, event_id AS last_timestamp, items_fetched FROM (
           SELECT *, row_number() OVER (PARTITION BY subreddit, sort_type, time_filter ORDER BY save DESC, event_id DESC) AS rn
@@ -593,6 +634,7 @@ def _with_views(sql: str) -> str:
     return f"WITH {views} {sql.strip()}" if views else sql.strip()
 
 
+SQL["gold_job"] = SQL["fact_mentions"]
 SQL["fact_or_join_unique"] = SQL["fact_or_join"]
 SQL["fact_priority_join_unique"] = SQL["fact_priority_join"]
 

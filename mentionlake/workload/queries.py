@@ -20,11 +20,11 @@ from mentionlake.operators.dedupe import latest_per_key, listing, surrogate_key,
 from mentionlake.operators.merge import merge_latest
 from mentionlake.plans import gold
 from mentionlake.plans.bronze import run_bronze
-from mentionlake.plans.checkpoints import upsert_checkpoints
+from mentionlake.plans.checkpoints import load_checkpoint, save_checkpoint, upsert_checkpoints
 from mentionlake.plans.layout import Lake, create_tables
 from mentionlake.plans.sentiment import run_sentiment
 from mentionlake.plans.silver import run_silver_core
-from mentionlake.schemas import CHECKPOINTS, PRODUCT_REFERENCE, bronze_schema
+from mentionlake.schemas import CHECKPOINTS, LANDING, PRODUCT_REFERENCE, bronze_schema
 from mentionlake.session import scratch_path
 from mentionlake.sources import landing, reference, tables
 from mentionlake.streaming.incremental import ingest_incremental
@@ -70,28 +70,49 @@ def landed_subs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.subs(spark, sf_dir).withColumn("date", landing_day())
 
 
-def _land(df: DataFrame, root: str) -> None:
-    landing.write_landing(df.drop("partition_date"), root)
+def landed_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = a.comments(spark, sf_dir).withColumn("subreddit", path_part("source_file", "subreddit"))
+    return c.withColumn("date", landing_day()).drop("source_file", "conv_id", "turn")
+
+
+def _land(df: DataFrame, root: str, kind: str) -> None:
+    landing.write_landing(df.drop("partition_date"), root, kind)
+
+
+def _land_both(spark: SparkSession, sf_dir: str) -> str:
+    """Posts and comments under one root."""
+    root = scratch_path(spark, "landing")
+    _land(landed_subs(spark, sf_dir), root, "submissions")
+    _land(landed_comments(spark, sf_dir), root, "comments")
+    return root
 
 
 def _landed_columns(df: DataFrame) -> DataFrame:
-    return df.select(
-        "id", "subreddit", "source_sort_type", "partition_date", "title", "selftext", "score", "created_utc"
-    )
+    """All columns that the posts have, with the audit columns that do not depend on the run."""
+    unset = [f.name for f in LANDING["submissions"].fields if f.name not in LANDED]
+    missing = F.lit(True)
+    for c in unset:
+        missing = missing & F.col(c).isNull()
+    return df.select(*LANDED, "source_sort_type", "partition_date", missing.alias("others_missing"))
+
+
+LANDED = ("id", "fullname_id", "subreddit", "title", "selftext", "created_utc", "updated_at", "score", "upvote_ratio", "num_comments")
 
 
 @query
 def landing_roundtrip(spark, sf_dir):
-    root = scratch_path(spark, "landing")
-    _land(landed_subs(spark, sf_dir), root)
-    return _landed_columns(landing.read_landing(spark, root, "submissions", file_glob="*.json"))
+    return _landed_columns(landing.read_landing(spark, _land_both(spark, sf_dir), "submissions"))
+
+
+@query
+def landing_roundtrip_comments(spark, sf_dir):
+    read = landing.read_landing(spark, _land_both(spark, sf_dir), "comments")
+    return read.select("id", "link_id", "parent_id", "author", "body", "created_utc", "updated_at", "score", "source_sort_type", "partition_date")
 
 
 @query
 def landing_scan_date(spark, sf_dir):
-    root = scratch_path(spark, "landing")
-    _land(landed_subs(spark, sf_dir), root)
-    return _landed_columns(landing.read_landing(spark, root, "submissions", ONE_LANDING, file_glob="*.json"))
+    return _landed_columns(landing.read_landing(spark, _land_both(spark, sf_dir), "submissions", ONE_LANDING))
 
 
 @query
@@ -123,9 +144,7 @@ def landing_quarantine(spark, sf_dir):
 
 @query
 def landing_partitions(spark, sf_dir):
-    root = scratch_path(spark, "landing")
-    _land(landed_subs(spark, sf_dir), root)
-    found = landing.discover_landing(spark, root, "submissions", "*.json")
+    found = landing.discover_landing(spark, _land_both(spark, sf_dir), "submissions")
     return found.filter("files > 0 AND bytes > 0").select("sort_type", "subreddit", "partition_date")
 
 
@@ -163,9 +182,7 @@ def overwrite_partitions(spark, sf_dir):
 def ref_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "reference")
     a.products(spark, sf_dir).drop("brand").write.option("header", "true").csv(path)
-    return reference.read_reference_csv(spark, path, PRODUCT_REFERENCE).select(
-        "brand_name", "model", "price", "avg_rating", F.col("5G_or_not").alias("has_5g"), "screen_size", "brand"
-    )
+    return reference.read_reference_csv(spark, path, PRODUCT_REFERENCE).withColumnRenamed("5G_or_not", "has_5g")
 
 
 # --- Expressions ------------------------------------------------------------------
@@ -239,7 +256,8 @@ def _raw_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
             doc.cast("string").alias("id"),
             F.struct(F.col("source").alias("display_name")).alias("subreddit"),
             F.when(doc % 5 != 0, F.struct(F.col("lang").alias("name"))).alias("author"),
-            F.when(doc % 7 != 0, F.substring("text", 1, 30)).alias("title"),
+            F.when(doc % 7 != 0, F.col("text")).alias("title"),
+            F.when(doc % 11 != 0, F.col("text")).alias("selftext"),
             (F.lit(a.START) + doc + 0.75).alias("created_utc"),
             F.when(doc % 3 != 0, F.col("n_chars")).alias("score"),
             ((doc % 100) / 100).alias("upvote_ratio"),
@@ -458,7 +476,7 @@ def resolve_model_difflib(spark, sf_dir):
 @query
 def resolve_lev(spark, sf_dir):
     return resolve.resolve_mentions(
-        a.raw_mentions(spark, sf_dir), a.catalogue(spark, sf_dir), matcher=resolve.levenshtein_best
+        a.raw_mentions(spark, sf_dir), a.catalogue(spark, sf_dir), matcher=resolve.EDITS
     )
 
 
@@ -601,14 +619,21 @@ def top_n_per_group(spark, sf_dir):
 @query
 def listing_top(spark, sf_dir):
     order = [F.desc("score"), F.col("id")]
-    found = listing(a.subs(spark, sf_dir), "top", order, a.START + 364 * 86400, "year", 150)
+    found = listing(a.subs(spark, sf_dir), "top", order, a.START + 2 * 86400, "day", 4)
     return found.select("subreddit", "sort_type", "rank", "id")
 
 
 @query
 def comments_per_submission(spark, sf_dir):
     order = [F.desc("score"), F.col("id")]
-    return top_n(a.comments(spark, sf_dir), "link_id", order, 2000).select("link_id", "rank", "id")
+    return top_n(a.comments(spark, sf_dir), "link_id", order, 3).select("link_id", "rank", "id")
+
+
+@query
+def comments_ranked(spark, sf_dir):
+    """All comments of each submission in order: nothing is cut by default."""
+    order = [F.desc("score"), F.col("id")]
+    return top_n(a.comments(spark, sf_dir), "link_id", order, None).select("link_id", "rank", "id")
 
 
 @query
@@ -621,6 +646,11 @@ def sample_rejects(spark, sf_dir):
     return analytics.sample_rejects(a.subs_silver(spark, sf_dir), ["id", "title", "selftext", quality.FLAG])
 
 
+@query
+def sample_reject_comments(spark, sf_dir):
+    return analytics.sample_rejects(a.comments_silver(spark, sf_dir), ["id", "body", quality.FLAG])
+
+
 # --- Upsert, jobs, incremental ----------------------------------------------------
 
 
@@ -660,11 +690,6 @@ def _second_observation(s: DataFrame) -> DataFrame:
     )
 
 
-def _land_comments(spark: SparkSession, sf_dir: str, root: str) -> None:
-    c = a.comments(spark, sf_dir).withColumn("subreddit", path_part("source_file", "subreddit"))
-    _land(c.withColumn("date", landing_day()).drop("source_file", "conv_id", "turn"), root)
-
-
 def _bronze_state(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.table(lake.bronze_table("submissions")).select("id", "updated_at", "score", "subreddit", "partition_date")
 
@@ -672,17 +697,7 @@ def _bronze_state(spark: SparkSession, lake: Lake) -> DataFrame:
 @query
 def bronze_job(spark, sf_dir):
     """Two runs: the posts and comments, then a second look at the posts."""
-    lake = temp_lake(spark)
-    s = landed_subs(spark, sf_dir)
-    globs = {"submissions": "*.json", "comments": "*.json"}
-    first, second, none = (scratch_path(spark, n) for n in ("first", "second", "comments"))
-    _land(s, first)
-    _land_comments(spark, sf_dir, none)
-    # Both kinds lie in folders of their own here, so the job runs once per folder.
-    run_bronze(spark, lake, first, file_globs={**globs, "comments": "*.none"})
-    run_bronze(spark, lake, none, file_globs={**globs, "submissions": "*.none"})
-    _land(_second_observation(s), second)
-    run_bronze(spark, lake, second, file_globs={**globs, "comments": "*.none"})
+    lake = _bronze_lake(spark, sf_dir)
     posts = _bronze_state(spark, lake)
     replies = spark.table(lake.bronze_table("comments")).select(
         "id", "updated_at", "score", F.lit(None).cast("string").alias("subreddit"), "partition_date"
@@ -690,6 +705,21 @@ def bronze_job(spark, sf_dir):
     return posts.unionByName(replies)
 
 
+def _bronze_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    lake, second = temp_lake(spark), scratch_path(spark, "second")
+    run_bronze(spark, lake, _land_both(spark, sf_dir))
+    _land(_second_observation(landed_subs(spark, sf_dir)), second, "submissions")
+    run_bronze(spark, lake, second)
+    return lake
+
+
+@query
+def bronze_rows_after(spark, sf_dir):
+    """The row counts that the last run recorded after its upsert."""
+    recorded = spark.table(_bronze_lake(spark, sf_dir).metrics).filter("metric LIKE 'Bronze%Rows'")
+    return recorded.groupBy("metric").agg(F.max("value").alias("rows"))
+
+
 @query
 def incremental_final_state(spark, sf_dir):
     """Files arriving in two steps, streamed into bronze: the state of one batch run."""
@@ -697,8 +727,8 @@ def incremental_final_state(spark, sf_dir):
     s = landed_subs(spark, sf_dir)
     root, progress = scratch_path(spark, "landing"), scratch_path(spark, "progress")
     for part in (s, _second_observation(s)):
-        _land(part, root)
-        ingest_incremental(spark, lake, root, "submissions", progress, file_glob="*.json")
+        _land(part, root, "submissions")
+        ingest_incremental(spark, lake, root, "submissions", progress)
     return _bronze_state(spark, lake)
 
 
@@ -724,19 +754,100 @@ def silver_job(spark, sf_dir):
 
 
 @query
-def sentiment_job(spark, sf_dir):
-    """The mention job over the lexicon, run twice: the second run finds nothing new."""
+def silver_posts_job(spark, sf_dir):
+    lake = _silver_lake(spark, sf_dir)
+    return spark.table(lake.silver_table("submissions")).select(*quality.SUBMISSION_COLUMNS, quality.FLAG)
+
+
+def _sentiment_lake(spark: SparkSession, sf_dir: str) -> Lake:
     lake = _silver_lake(spark, sf_dir)
     for _ in range(2):
-        run_sentiment(spark, lake, a.catalogue(spark, sf_dir), lexicon=a.lexicon(spark, sf_dir))
-    return spark.table(lake.sentiment).select(
+        run_sentiment(spark, lake, a.catalogue(spark, sf_dir), lexicon=a.lexicon(spark, sf_dir), matcher=resolve.EDITS)
+    return lake
+
+
+@query
+def sentiment_job(spark, sf_dir):
+    """The mention job over the lexicon, run twice: the second run finds nothing new. Names that become equal
+    leave several mentions, each with an id of its own."""
+    return spark.table(_sentiment_lake(spark, sf_dir).sentiment).select(
         "submission_id", "comment_id", "brand_name", "product_name", "aspect",
-        rounded("sentiment_score").alias("sentiment_score"), "quote", "date_partition",
+        rounded("sentiment_score").alias("sentiment_score"), "quote", "date_partition", "model_version",
     )
 
 
 @query
-def checkpoint_upsert(spark, sf_dir):
+def check_unique_analysis(spark, sf_dir):
+    return checks.check_unique(spark.table(_sentiment_lake(spark, sf_dir).sentiment), "analysis_id")
+
+
+@query
+def check_unique_silver(spark, sf_dir):
+    silver = spark.table(_silver_lake(spark, sf_dir).silver_table("submissions"))
+    return checks.check_unique(silver, "id").unionByName(checks.check_unique(silver.unionByName(silver.filter("score % 7 = 0")), "id"))
+
+
+@query
+def gold_job(spark, sf_dir):
+    """The marts rebuilt twice from silver tables; the fact as the second run leaves it."""
+    lake = _silver_lake(spark, sf_dir)
+    tables.replace_table(a.products(spark, sf_dir), lake.reference, lake.path(lake.reference))
+    mentions = a.mentions(spark, sf_dir)
+    tables.append(mentions.select(*spark.table(lake.sentiment).columns), lake.sentiment)
+    for _ in range(2):
+        gold.build_gold(spark, lake)
+    return spark.table(f"{lake.mart}.fact_brand_mentions")
+
+
+@query
+def mart_views(spark, sf_dir):
+    """Silver posts under the name that consumers use."""
+    lake, consumer = _silver_lake(spark, sf_dir), f"consumer_{uuid.uuid4().hex[:12]}"
+    tables.replace_table(a.products(spark, sf_dir), lake.reference, lake.path(lake.reference))
+    tables.register_mart_views(spark, lake.silver, consumer)
+    return spark.table(f"{consumer}.reddit_submissions").groupBy("subreddit").agg(F.count("*").alias("rows"))
+
+
+@query
+def staged_view(spark, sf_dir):
+    name = tables.stage(a.subs(spark, sf_dir), f"staged_{uuid.uuid4().hex[:12]}")
+    return spark.sql(f"SELECT subreddit, count(*) AS rows, max(score) AS best FROM {name} GROUP BY subreddit")
+
+
+@query
+def replaced_table(spark, sf_dir):
+    """A table that is replaced by rows made from itself."""
+    lake = temp_lake(spark)
+    name, path = f"{lake.ops}.replaced", f"{lake.location}/replaced"
+    tables.replace_table(a.subs(spark, sf_dir).select("id", "score"), name, path)
+    tables.replace_table(spark.table(name).filter("score % 2 = 0").withColumn("score", F.col("score") + 1), name, path)
+    return spark.table(name)
+
+
+@query
+def seeded_once(spark, sf_dir):
+    """A reference that is seeded from CSV, and not again from a second file."""
+    lake = temp_lake(spark)
+    name = f"{lake.ops}.seeded"
+    p = a.products(spark, sf_dir).drop("brand")
+    for part in (p, p.limit(1)):
+        path = scratch_path(spark, "seed")
+        part.write.option("header", "true").csv(path)
+        reference.load_reference(spark, name, path, f"{lake.location}/seeded", PRODUCT_REFERENCE)
+    return spark.table(name).select("brand_name", "model", "price", "brand")
+
+
+@query
+def table_columns(spark, sf_dir):
+    """Housekeeping: the tables of a lake's silver schema with the columns of the posts."""
+    lake = _silver_lake(spark, sf_dir)
+    found = tables.list_tables(spark, lake.silver).filter("NOT isTemporary").select(F.col("tableName").alias("name"), F.lit("table").alias("kind"))
+    columns = tables.describe_table(spark, lake.silver_table("submissions")).filter("NOT startswith(col_name, '#')")
+    posts = spark.table(lake.silver_table("submissions")).count()
+    return found.unionByName(columns.select(F.col("col_name").alias("name"), F.col("data_type").alias("kind")).distinct()).withColumn("posts", F.lit(posts))
+
+
+def _checkpoints(spark: SparkSession, sf_dir: str, save: Callable[[DataFrame], None]) -> None:
     def records(part: Column) -> DataFrame:
         e = a.table(spark, sf_dir, "events").filter(part)
         return e.select(
@@ -752,10 +863,25 @@ def checkpoint_upsert(spark, sf_dir):
         )
 
     early = F.col("event_id") % 2 == 0
-    nothing = spark.createDataFrame([], CHECKPOINTS)
-    first = upsert_checkpoints(nothing, records(early))
-    later = upsert_checkpoints(first, records(~early))
-    return later.select("subreddit", "sort_type", "time_filter", "last_timestamp", "items_fetched")
+    save(records(early))
+    save(records(~early))
+
+
+@query
+def checkpoint_upsert(spark, sf_dir):
+    state = [spark.createDataFrame([], CHECKPOINTS)]
+    _checkpoints(spark, sf_dir, lambda records: state.append(upsert_checkpoints(state[-1], records)))
+    return state[-1].select("subreddit", "sort_type", "time_filter", "last_timestamp", "items_fetched")
+
+
+@query
+def checkpoint_lookup(spark, sf_dir):
+    """One record out of the saved ones, with and without a sort type."""
+    lake = temp_lake(spark)
+    _checkpoints(spark, sf_dir, lambda records: save_checkpoint(spark, lake, records))
+    plain = load_checkpoint(spark, lake, " user3 ", "listing")
+    sorted_ = load_checkpoint(spark, lake, "user4", "listing", "click", "all")
+    return plain.unionByName(sorted_).select("subreddit", "sort_type", "time_filter", "last_timestamp", "items_fetched")
 
 
 # --- Marts ------------------------------------------------------------------------
@@ -785,10 +911,8 @@ def dim_submission(spark, sf_dir):
 
 @query
 def fact_product_fk(spark, sf_dir):
-    p = gold.dim_product(a.products(spark, sf_dir)).select("brand_name", "model", "product_key")
-    m = a.mentions(spark, sf_dir)
-    same = (F.lower(m.brand_name) == F.lower(p.brand_name)) & (F.lower(m.product_name) == F.lower(p.model))
-    return m.join(p, same, "left").select(m.comment_id, m.brand_name, m.product_name, "product_key")
+    return gold.with_product_key(a.mentions(spark, sf_dir), gold.dim_product(a.products(spark, sf_dir))).select(
+        "comment_id", "brand_name", "product_name", "product_key")
 
 
 @query

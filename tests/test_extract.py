@@ -20,13 +20,20 @@ def parsed(spark, response, strict=False):
     (json.dumps([GOOD])[:-5], 0, 0), ("", 0, 0), (None, 0, 0), ("sorry", 0, 0), (json.dumps([GOOD, 7]), 1, 0),
     (json.dumps([GOOD, {**GOOD, "aspect": None}]), 2, 0), (json.dumps([GOOD, {**GOOD, "sentiment_score": "high"}]), 2, 0),
     (json.dumps([GOOD, {**GOOD, "sentiment_score": None}]), 2, 0), (json.dumps([{**GOOD, "sentiment_score": "0.3"}]), 1, 1),
-    (json.dumps([{"quote": "only"}]), 1, 1),
+    (json.dumps([{"quote": "only"}]), 1, 1), (json.dumps([GOOD]) + " I hope this helps", 0, 0), (json.dumps([GOOD]) * 2, 0, 0),
+    (f"```json\n{json.dumps([GOOD])}\n``` as asked", 0, 0), (json.dumps([GOOD])[:-1] + ",]", 0, 0), (json.dumps([GOOD]) + "]", 0, 0),
+    ("[]", 0, 0), ("[[]]", 0, 0),
 ])
 def test_response_shapes(spark, response, loose, strict):
     assert parsed(spark, response).count() == loose
     assert parsed(spark, response, strict=True).count() == strict
 
 
+def test_the_last_of_doubled_keys_counts_and_places_are_kept(spark):
+    rows = parsed(spark, '[{"aspect": "a", "quote": "x", "aspect": "b"}, 5, {"aspect": "c"}]').collect()
+    assert [(r.item_no, r.aspect) for r in rows] == [(0, "b"), (2, "c")]
+
+
 def finished(spark, item, body="the body"):
     df = spark.createDataFrame([("c", body, json.dumps([item]))], "comment_id string, body string, response string")
     return extract.finish_mentions(extract.parse_responses(df)).first().asDict()
@@ -94,15 +101,17 @@ def test_prompt(spark):
     schema = "body string, submission_title string, submission_selftext string, parent_body string"
     data = [("it is fine", "Title", "s" * 300, "parent"), ("x", "T", "[removed]", "[deleted]"), ("y", "T", "", None)]
     told = [r.prompt for r in prompts.with_prompt(spark.createDataFrame(data, schema)).collect()]
-    assert f"Submission Title: Title\nSubmission Context: {'s' * 200}...\nParent Comment: parent\n" in told[0]
+    assert f"Submission Title: Title\nSubmission Context: {'s' * 300}...\nParent Comment: parent\n" in told[0]
+    short = prompts.with_prompt(spark.createDataFrame(data, schema), post_chars=200).first().prompt
+    assert f"Submission Context: {'s' * 200}...\n" in short
     assert told[0].endswith('"it is fine"')
     assert all("Context: " not in t.replace("Context:\n", "") and "Parent" not in t for t in told[1:])
 
 
 def test_brands_in_the_instructions(spark):
-    reference = spark.createDataFrame([(f"b{i:03d}",) for i in range(80)] * 2, "brand string")
-    text = prompts.system_text(reference).first()[0]
-    assert text.endswith(", ".join(f"b{i:03d}" for i in range(50)))
+    reference = spark.createDataFrame([(f"b{i:03d}",) for i in range(80)] + [("b070",), ("b071",)] * 2, "brand string")
+    assert prompts.system_text(reference).first()[0].endswith(": " + ", ".join(f"b{i:03d}" for i in range(80)))
+    assert prompts.system_text(reference, 3).first()[0].endswith(": b000, b070, b071")
 
 
 def test_canonical_records(spark):

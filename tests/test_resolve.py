@@ -15,26 +15,15 @@ def reference(spark):
     return spark.createDataFrame(REFERENCE, "brand string, model string").selectExpr("upper(brand) brand_name", "model", "brand")
 
 
-def by_hand(brand, model):
-    """The rules for one pair, in plain Python."""
-    brands = {b for b, _ in REFERENCE}
-    spelling = {}
-    for b, m in sorted(REFERENCE):
-        spelling[m.lower()] = m
-    if not brand:
-        found = "Unknown"
-    elif brand.lower() in brands:
-        found = brand.lower()
-    else:
-        close = difflib.get_close_matches(brand.lower(), sorted(brands), n=1, cutoff=0.7)
-        found = close[0] if close else brand
-    if not model or model.lower() == "general":
-        return found, "general"
-    if model.lower() in spelling:
-        return found, spelling[model.lower()]
-    scope = [m.lower() for b, m in REFERENCE if found != "Unknown" and b == found.lower()] or list(spelling)
-    close = difflib.get_close_matches(model.lower(), scope, n=1, cutoff=0.6)
-    return found, spelling[close[0]] if close else model
+# Names as they come in, and what they become.
+EXPECTED = [
+    (None, None, "Unknown", "general"), ("", "", "Unknown", "general"), ("Apple", "iPhone 15", "apple", "Apple iPhone 15"),
+    ("aple", "apple iphone 15 pro", "apple", "Apple iPhone 15 Pro"), ("APPLE", "GENERAL", "apple", "general"),
+    ("samsng", "galaxy s24", "samsung", "Galaxy S24"), ("samsung", "galaxy s24 ultr", "samsung", "Galaxy S24 Ultra"),
+    ("google", "galaxy s24 ultr", "google", "galaxy s24 ultr"), ("google", "Pixel8", "google", "Pixel 8"),
+    ("Zzz", "pixel", "Zzz", "Pixel 8"), ("Unknown", "Mystery Two", "unknown", "Mystery One"), ("", "mystery on", "Unknown", "Mystery One"),
+    ("Nokia", "3310", "Nokia", "3310"), ("xiaomi", "GALAXY S24", "xiaomi", "Galaxy S24"),
+]
 
 
 def noisy(rng, word):
@@ -45,46 +34,44 @@ def noisy(rng, word):
     return "".join(letters)
 
 
-def pairs():
-    rng = random.Random(3)
-    fixed = [("", ""), (None, None), ("Unknown", "Mystery Two"), ("Zzz", "pixel"), ("APPLE", "GENERAL"),
-             ("samsng", "galaxy s24"), ("google", "galaxy s24 ultr"), ("Unknown", "mystery on")]
-    return fixed + [(noisy(rng, b), noisy(rng, m)) for b, m in REFERENCE for _ in range(12)]
-
-
-def test_resolution_equals_the_rules_pair_by_pair(spark, rows):
-    data = [(str(i), b, m) for i, (b, m) in enumerate(pairs())]
+def test_names(spark):
+    data = [(str(i), b, m) for i, (b, m, _, _) in enumerate(EXPECTED)]
     df = spark.createDataFrame(data, "comment_id string, brand_name string, product_name string")
     got = {r[0]: (r[1], r[2]) for r in resolve.resolve_mentions(df, reference(spark)).collect()}
-    assert got == {i: by_hand(b or "", m or "") for i, b, m in data}
+    assert got == {str(i): (b, m) for i, (_, _, b, m) in enumerate(EXPECTED)}
 
 
-@pytest.mark.parametrize("texts_per_task, candidates_per_task", [(5000, 20000), (3, 20000), (5000, 2), (2, 3)])
-def test_slices_do_not_change_the_match(spark, rows, texts_per_task, candidates_per_task):
+@pytest.mark.parametrize("cutoff", [0.3, 0.6, 0.9])
+def test_no_candidate_is_lost_to_the_length_bound(spark, rows, cutoff):
     rng = random.Random(5)
-    words = [noisy(rng, "galaxy s24 ultra") for _ in range(30)]
-    options = sorted({noisy(rng, "galaxy s24 ultra") for _ in range(20)})
-    texts = spark.createDataFrame([("hot", w) for w in set(words)] + [("empty", "galaxy")], "block string, text string")
+    words = sorted({noisy(rng, w) for w in ("galaxy s24 ultra", "s24", "x") for _ in range(20)} - {""})
+    options = sorted({noisy(rng, w) for w in ("galaxy s24 ultra", "galaxy", "s2") for _ in range(12)} - {""})
+    texts = spark.createDataFrame([("hot", w) for w in words] + [("empty", "galaxy")], "block string, text string")
     candidates = spark.createDataFrame([("hot", o) for o in options], "block string, candidate string")
-    got = resolve.best_match(texts, candidates, 0.6, texts_per_task=texts_per_task, candidates_per_task=candidates_per_task)
     want = []
-    for w in set(words):
-        close = difflib.get_close_matches(w, options, n=1, cutoff=0.6)
+    for w in words:
+        close = difflib.get_close_matches(w, options, n=1, cutoff=cutoff)
         want += [("hot", w, close[0])] if close else []
-    assert rows(got, "block", "text", "candidate") == sorted(want)
+    assert rows(resolve.best_match(texts, candidates, cutoff), "block", "text", "candidate") == sorted(want)
+    pairs = spark.createDataFrame([(w, o) for w in words for o in options], "w string, o string")
+    scored = pairs.selectExpr("w", "o", "1.0D - levenshtein(o, w) / greatest(length(o), length(w))  AS r").collect()
+    best = {}
+    for r in scored:
+        if r.r >= cutoff:
+            best[r.w] = max(best.get(r.w, (0, "")), (r.r, r.o))
+    got = {r.text: (r.ratio, r.candidate) for r in resolve.best_match(texts, candidates, cutoff, resolve.EDITS).collect()}
+    assert got == best
 
 
 def test_ties_and_direction(spark):
     # Equal ratios: the largest text wins. The ratio is not symmetric.
-    assert resolve.difflib_best("abc", ["abcx", "abcz", "abcy"], 0.6)[1] == "abcz"
-    assert resolve.difflib_best("tide", ["diet"], 0.0)[0] == difflib.SequenceMatcher(None, "diet", "tide").ratio()
-
-
-def test_levenshtein_best():
-    assert resolve.levenshtein("kitten", "sitting") == 3
-    assert resolve.levenshtein("", "abc") == 3
-    assert resolve.levenshtein_best("abcd", ["abce", "abcf", "zzzz"], 0.7) == (0.75, "abcf")
-    assert resolve.levenshtein_best("abcd", ["abxy"], 0.7) is None
+    texts = spark.createDataFrame([("*", "abc"), ("*", "tide")], "block string, text string")
+    options = spark.createDataFrame([("*", c) for c in ("abcx", "abcz", "abcy", "diet")], "block string, candidate string")
+    got = {r.text: (r.ratio, r.candidate) for r in resolve.best_match(texts, options, 0.1).collect()}
+    assert got["abc"][1] == "abcz"
+    assert got["tide"] == (difflib.SequenceMatcher(None, "diet", "tide").ratio(), "diet")
+    with pytest.raises(ValueError, match="matcher"):
+        resolve.best_match(texts, options, 0.1, "other")
 
 
 def test_exact_keeps_other_spellings(spark, rows):
