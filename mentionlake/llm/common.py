@@ -16,13 +16,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def hex_digits(rows: int, per_bucket: int) -> int:
-    """How many leading hex digits of a digest cut ``rows`` into buckets of about ``per_bucket``."""
-    return max(0, math.ceil(math.log(max(rows, 1) / per_bucket, 16)))
+def digest_bucket(digest: Column, rows: int, per_bucket: int) -> Column:
+    """A number that rises with a hexadecimal digest and that about ``per_bucket`` of ``rows`` rows share: its leading bits."""
+    bits = min(32, max(0, math.ceil(math.log2(max(rows, 1) / per_bucket))))
+    return F.shiftright(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), 32 - bits)
 
 
-def ascii_lower(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: A filter has 16 bits for each key, and so many blocks of 32 768 bits at most: 8 MB.
+MAP_BITS, BITS_PER_KEY, MAPS = 32_768, 16, 2_048
+
+
+def possible(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``key`` (a hash) is among those of ``wanted``, and few others, without a shuffle of ``rows``.
+
+    A bit map of the wanted keys is broadcast, whose size has a fixed bound. It loses no row; with more keys
+    than it is made for it only lets more pass, so an exact join must follow.
+    """
+    bits = MAP_BITS * min(MAPS, max(1, math.ceil(wanted.count() * BITS_PER_KEY / MAP_BITS)))
+
+    def place(of: DataFrame) -> DataFrame:
+        at = F.pmod(F.col(key), F.lit(bits).cast("long"))
+        return of.withColumn("__map", F.floor(at / MAP_BITS)).withColumn("__bit", F.pmod(at, F.lit(MAP_BITS).cast("long")))
+
+    maps = place(wanted.select(key)).groupBy("__map").agg(F.bitmap_construct_agg("__bit").alias("__set"))
+    met = place(rows).join(F.broadcast(maps), "__map")
+    byte = F.conv(F.hex(F.substring("__set", (F.floor(F.col("__bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = F.call_function("shiftright", byte, F.pmod("__bit", F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return met.where(found).select(*rows.columns)
 
 
 def word_count(text: Column) -> Column:

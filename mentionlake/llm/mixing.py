@@ -7,14 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mentionlake.llm.common import hex_digits
+from mentionlake.llm.common import digest_bucket
 from mentionlake.session import materialise
 
 #: Weights of the sources in code point order (null last), repeating.
 WEIGHTS = (5, 2, 1)
 #: A source or document is used this many times at most.
 REPEATS = 3
-ROWS_PER_BUCKET = 4096
+ROWS_PER_BUCKET = 2048
 Knots = Sequence[tuple[float, float]]
 #: Relative weight over training time, by weight: heavy sources lead, light ones come late.
 SCHEDULE: Mapping[int, Knots] = {
@@ -100,10 +100,10 @@ def curriculum(
     docs = docs.withColumn("__size", size.cast("long"))
     docs = docs.drop(*added)
     digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
-    digits = hex_digits(docs.count(), ROWS_PER_BUCKET)
+    bucket = digest_bucket(digest, docs.count(), ROWS_PER_BUCKET)
     # Sorts by code point with null last, and joins like any text.
     source = F.coalesce(F.concat(F.lit("0"), F.col(source_col).cast("string")), F.lit("1"))
-    keyed = docs.withColumn("__source", source).withColumn("__bucket", F.substring(digest, 1, digits))
+    keyed = docs.withColumn("__source", source).withColumn("__bucket", bucket)
     sums = materialise(keyed.groupBy("__source", "__bucket").agg(F.sum("__size").alias("__size")), "mix-sums")
     before = Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("__source", "__bucket", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))

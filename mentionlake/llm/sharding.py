@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mentionlake.llm.common import hex_digits
+from mentionlake.llm.common import digest_bucket
 
 SHARDS = 16
 ROWS_PER_BUCKET = 4096
@@ -46,13 +46,13 @@ def place(docs: DataFrame, key: str = "doc_id", weights: Sequence[float] = (1.0,
     empty table. Columns of the input named like the three added ones are replaced.
     """
     docs = docs.drop("shard", "slot", "grown_shard")
-    digits = hex_digits(docs.count() // len(weights), ROWS_PER_BUCKET)
+    rows = docs.count() // len(weights)
     extra = sum(weights) / len(weights)
     stable = key_text(key)
 
     def located(df: DataFrame) -> DataFrame:
         digest = F.md5(stable.cast("binary"))
-        return df.withColumn("shard", rendezvous(stable, weights)).withColumn("__bucket", F.substring(digest, 1, digits))
+        return df.withColumn("shard", rendezvous(stable, weights)).withColumn("__bucket", digest_bucket(digest, rows, ROWS_PER_BUCKET))
 
     counts = located(docs.select(key)).groupBy("shard", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
