@@ -8,6 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mentionlake.llm.common import possible
 from mentionlake.llm.graph import components
 from mentionlake.session import materialise
 
@@ -213,7 +214,7 @@ def candidates(lines: DataFrame) -> DataFrame:
     hits = materialise(probe.join(heads, "key").where("n > 1 OR low <> id").select("id", "n", "low", "high"), "line-hits")
     few = hits.where(F.col("n") <= BUCKET).select(F.col("id").alias("x"), F.explode(F.array("low", "high")).alias("y"))
     those = materialise(hits.where(F.col("n") > BUCKET).select("id").distinct(), "line-common")
-    those = materialise(lines.join(those, "id", "left_semi"), "line-common-texts")
+    those = materialise(possible(lines, "id", those).join(those, "id", "left_semi"), "line-common-texts")
     index, probe = fine_keys(those, probe=False), fine_keys(those, probe=True)
     many = index.select("key", F.col("id").alias("x")).join(probe.select("key", F.col("id").alias("y")), "key").select("x", "y")
     pairs = few.unionByName(many).where("x <> y")
@@ -224,7 +225,8 @@ def links(lines: DataFrame) -> DataFrame:
     """(a, b): digests of all pairs of distinct lines that are near; ``lines``: (line, id, md, n_chars)."""
     pairs = materialise(candidates(lines.where(F.col("n_chars") >= CHARS_PER_EDIT)), "line-candidates")
     needed = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-needed")
-    texts = materialise(lines.join(needed, "id", "left_semi").select("id", "line", "md", "n_chars"), "line-texts")
+    texts = possible(lines.select("id", "line", "md", "n_chars"), "id", needed).join(needed, "id", "left_semi")
+    texts = materialise(texts, "line-texts")
     a, b = (texts.select(*[F.col(c).alias(f"{side}_{c}") for c in texts.columns]) for side in "ab")
     both = pairs.join(a, F.col("a") == F.col("a_id")).join(b, F.col("b") == F.col("b_id"))
     limit = edits(F.least("a_n_chars", "b_n_chars"))
