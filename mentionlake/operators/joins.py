@@ -83,15 +83,14 @@ def merge_metrics(submissions: DataFrame, comments: DataFrame) -> DataFrame:
 def expected_grid(groups: DataFrame, sort_types: Sequence[str], dates: DataFrame | Sequence[str]) -> DataFrame:
     """Every (group, sort type, date) that should have landed.
 
-    ``dates`` is a list, or a table with one column of them; its distinct dates become one row, which every
-    group meets, so nothing is run while the plan is made.
+    ``dates`` is a list, or a table with one column of them, whose distinct dates become the one value of a
+    subquery, so nothing is run while the plan is made and nothing is joined.
     """
     typed = groups.withColumn("sort_type", F.explode(_texts(sort_types)))
     if not isinstance(dates, DataFrame):
         return typed.withColumn("partition_date", F.explode(_texts(dates)))
-    every = dates.agg(F.collect_set(dates.columns[0]).alias("_dates")).withColumn("_one", F.lit(1))
-    met = typed.withColumn("_one", F.lit(1)).join(F.broadcast(every), "_one")
-    return met.withColumn("partition_date", F.explode("_dates")).drop("_one", "_dates")
+    every = dates.agg(F.collect_set(dates.columns[0])).scalar()
+    return typed.withColumn("_dates", every).withColumn("partition_date", F.explode("_dates")).drop("_dates")
 
 
 def _texts(values: Sequence[str]) -> Column:

@@ -23,13 +23,19 @@ from mentionlake.sources.tables import append
 
 
 def mentions_from_scorer(
-    context: DataFrame, comments: DataFrame, reference: DataFrame,
+    context: DataFrame, submissions: DataFrame, comments: DataFrame, reference: DataFrame,
     scorer_factory: Callable[[str], Callable[[], Scorer]],
     partitions: int | None = None, strict: bool = False, brands: int | None = None, post_chars: int | None = None,
 ) -> DataFrame:
-    """Unresolved mentions from a scorer, which is given the instructions once."""
+    """Unresolved mentions from a scorer, which is given the instructions once.
+
+    The posts' texts join their comments here, for the prompt; what is written before holds none of them.
+    """
     instructions = system_text(reference, brands).first()[0]
-    prompted = with_prompt(with_parent_body(context, comments), post_chars)
+    posts = submissions.select(
+        F.col("id").alias("submission_id"), F.col("title").alias("submission_title"), F.col("selftext").alias("submission_selftext"))
+    told = context.join(posts, "submission_id")
+    prompted = with_prompt(with_parent_body(told, comments), post_chars).drop("submission_selftext")
     return parse_responses(score(prompted, scorer_factory(instructions), partitions), strict)
 
 
@@ -61,7 +67,7 @@ def run_sentiment(
     submissions = spark.table(lake.silver_table("submissions"))
     comments = spark.table(lake.silver_table("comments"))
     scoped = of_dates(submissions, dates) if submission_scope == "partition" else submissions
-    context = build_context(of_dates(comments, dates), scoped)
+    context = build_context(of_dates(comments, dates), scoped).drop("submission_title", "submission_selftext")
     done = spark.table(lake.analysed).select("comment_id").unionByName(
         spark.table(lake.sentiment).select("comment_id")
     )
@@ -70,7 +76,7 @@ def run_sentiment(
         if fresh.isEmpty():
             return 0
         if scorer_factory is not None:
-            raw = mentions_from_scorer(fresh, comments, reference, scorer_factory, partitions, strict, prompt_brands, post_chars)
+            raw = mentions_from_scorer(fresh, scoped, comments, reference, scorer_factory, partitions, strict, prompt_brands, post_chars)
         else:
             raw = lexicon_mentions(fresh, lexicon)
         finished = finish_mentions(raw).select(
