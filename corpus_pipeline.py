@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontamination, mixing, sharding, simhash, toxicity
+from mentionlake.llm import decontamination, mixing, nearcopies, sharding, toxicity
 from mentionlake.llm.common import table, word_count
 from mentionlake.session import materialise
 
@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of the documents that fingerprints connect, the one with the least id stays."""
-    return simhash.one_of_each(docs)
+    """Of the documents that five-word shingles connect at a similarity of 0.8 or more, the one with the least id stays."""
+    return nearcopies.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

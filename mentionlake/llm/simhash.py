@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -28,27 +28,32 @@ BLANKS = bytes(32 if c == 32 or 9 <= c <= 13 else c for c in range(256))
 NO_ID = (1 << 63) - 1
 
 
-def shingle_hashes(text: bytes) -> Iterator[np.ndarray]:
-    """XXH64 of all shingles; texts are taken in pieces that share the words at their borders."""
+def shingle_hashes(text: bytes, width: int = SHINGLE) -> Iterator[np.ndarray]:
+    """XXH64 of all shingles of ``width`` words; texts are taken in pieces that share the words at their borders."""
     before: list[bytes] = []
     seen = 0
     for piece in chunks(text.lower().translate(BLANKS), PIECE_BYTES):
         words = before + piece.split()
-        if len(words) >= SHINGLE:
+        if len(words) >= width:
             joined = b" ".join(words)
             starts = list(accumulate((len(w) + 1 for w in words), initial=0))
-            shingles = zip(starts, starts[SHINGLE:], strict=False)
-            yield np.fromiter((xxh64_intdigest(joined[a : b - 1], SEED) for a, b in shingles), np.uint64, len(words) - SHINGLE + 1)
+            shingles = zip(starts, starts[width:], strict=False)
+            yield np.fromiter((xxh64_intdigest(joined[a : b - 1], SEED) for a, b in shingles), np.uint64, len(words) - width + 1)
             seen += 1
-        before = words[1 - SHINGLE :] if len(words) >= SHINGLE else words
+        before = words[1 - width :] if len(words) >= width else words
     if not seen and before:
         yield np.array([xxh64_intdigest(b" ".join(before), SEED)], np.uint64)
 
 
 def fingerprint(text: bytes | None) -> int:
     """The SimHash as a signed number; zero for a text without words."""
+    return fingerprint_of(shingle_hashes(text or b""))
+
+
+def fingerprint_of(pieces: Iterable[np.ndarray]) -> int:
+    """The SimHash of hashes."""
     ones, total = np.zeros(BITS, np.int64), 0
-    for hashes in shingle_hashes(text or b""):
+    for hashes in pieces:
         ones += np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         total += len(hashes)
     bits = np.packbits(ones * 2 > total, bitorder="little")
@@ -72,18 +77,26 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", keep: list[str] |
         run, T.StructType([*kept, T.StructField("fp", T.LongType())]))
 
 
+def segment_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all fingerprints, and the position of the one that each is for. Two bits in three segments leave one segment
+    untouched, and the one after it is off by two at most, so it shares a codeword number: a key is an exact segment with such a number of the next."""
+    parts = [(fp.view(np.uint64) >> np.uint64(shift)).astype(np.int64) & (1 << width) - 1 for width, shift in SEGMENTS]
+    found, positions = [], []
+    for kind, exact in enumerate(parts):
+        number, of = golay.indices(parts[(kind + 1) % len(parts)])
+        found.append(kind << 40 | exact[of] << golay.MESSAGE | number.astype(np.int64))
+        positions.append(of)
+    return np.concatenate(found), np.concatenate(positions)
+
+
 def golay_keys(prints: DataFrame) -> DataFrame:
-    """(key, fp). Two bits in three segments leave one segment untouched, and the one after it is off
-    by two at most, so it shares a codeword number: a key is an exact segment with such a number of the next."""
+    """(key, fp)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            parts = [(fp.view(np.uint64) >> np.uint64(shift)).astype(np.int64) & (1 << width) - 1 for width, shift in SEGMENTS]
-            for kind, exact in enumerate(parts):
-                number, of = golay.indices(parts[(kind + 1) % len(parts)])
-                key = kind << 40 | exact[of] << golay.MESSAGE | number.astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[of])], names=["key", "fp"])
+            key, of = segment_keys(fp)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[of])], names=["key", "fp"])
 
     return prints.select("fp").mapInArrow(run, "key long, fp long")
 
