@@ -28,7 +28,7 @@ IDENTITY_TERMS = (
     ("immigrants", "refugees", "natives"),
     ("disabled", "deaf", "blind"),
 )
-#: At most so many toxic and so many other labelled rows are fitted on. Their digests choose them.
+#: At most so many toxic and so many other labelled rows are fitted on. Their digests choose them; each stands for as many as there are.
 FIT_TOXIC, FIT_OTHER = 6000, 12000
 #: Words and their beginnings fall into so many buckets; those that tell the classes apart by so many standard deviations are used.
 BUCKETS, SELECTED, DEVIATIONS, LEAST_ROWS = 1 << 20, 2048, 4.0, 3
@@ -91,15 +91,17 @@ def sparse(rows: list[list[int]]) -> Rows:
     return Rows(np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.array([c for r in rows for c in r], np.int64), len(rows))
 
 
-def descend(x: Rows, y: np.ndarray, before: Rows, after: Rows, size: int, fairness: float) -> tuple[np.ndarray, float]:
-    """Logistic loss, plus the mean squared change of the logit between rows and their swapped forms."""
+def descend(
+    x: Rows, y: np.ndarray, before: Rows, after: Rows, size: int, fairness: float, counts: np.ndarray, pair_counts: np.ndarray,
+) -> tuple[np.ndarray, float]:
+    """Logistic loss, plus the mean squared change of the logit between rows and their swapped forms. ``counts``: the rows that each stands for."""
     w, adam = np.zeros(size + 1), Adam(size + 1, RATE)
-    w[-1] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
+    w[-1] = np.log((counts @ y + 0.5) / (counts @ (1 - y) + 0.5))
     for _ in range(STEPS):
-        error = (sigmoid(x.times(w[:-1]) + w[-1]) - y) / len(y)
+        error = (sigmoid(x.times(w[:-1]) + w[-1]) - y) * (counts / counts.sum())
         gradient = np.append(x.back(error, size) + DECAY * w[:-1], error.sum())
         if before.n:
-            change = (before.times(w[:-1]) - after.times(w[:-1])) * (2 * fairness / before.n)
+            change = (before.times(w[:-1]) - after.times(w[:-1])) * (2 * fairness * pair_counts / pair_counts.sum())
             gradient[:-1] += before.back(change, size) - after.back(change, size)
         w -= adam.step(gradient)
     return w[:-1], float(w[-1])
@@ -153,7 +155,8 @@ def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     groups: Sequence[Sequence[str]] = IDENTITY_TERMS, fairness: float = FAIRNESS,
 ) -> Model | None:
-    """Fit on at most ``FIT_TOXIC`` and ``FIT_OTHER`` rows. An id with several labels is toxic if any says so.
+    """Fit on at most ``FIT_TOXIC`` and ``FIT_OTHER`` rows, weighted so that the classes keep the share they have among all
+    labels. An id with several labels is toxic if any says so.
 
     None where a class has no rows. Only what tells the classes apart, and identity terms, becomes a column.
     """
@@ -166,14 +169,19 @@ def train(
     n = {r.l: r.n for r in sample.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         return None
+    # All rows with a label over those fitted on; n has the latter.
+    learnable = docs.select(id_col).join(known, id_col).groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()
+    stands_for = {r.l: r.n / n[r.l] for r in learnable}
     chosen_buckets = select(counted(sample), n[1], n[0])
     terms = buckets({t.encode() for group in groups for t in group})
     selected = {b: i for i, b in enumerate([*chosen_buckets, *sorted(terms - set(chosen_buckets))])}
     rows = vectors(sample, selected, groups)
     pairs = [(list(r.x), list(c)) for r in rows for c in r.changed]
+    counts = np.array([stands_for[r.l] for r in rows])
+    pair_counts = np.array([stands_for[r.l] for r in rows for _ in r.changed])
     w, constant = descend(
         sparse([list(r.x) for r in rows]), np.array([float(r.l) for r in rows]), sparse([a for a, _ in pairs]), sparse([b for _, b in pairs]),
-        len(selected), fairness)
+        len(selected), fairness, counts, pair_counts)
     return Model(selected, w, constant)
 
 

@@ -80,3 +80,22 @@ def test_without_labels_or_rows(spark):
     _, docs, labels = made(spark, 30)
     assert {r.score for r in toxicity.classify(docs, labels.where("toxic = 0")).collect()} == {0.0}
     assert toxicity.classify(docs.limit(0), labels).count() == 0
+
+
+def test_scores_do_not_depend_on_the_caps(spark, monkeypatch):
+    """Half of the texts with the word are toxic, so their score is about a half, whatever share of each class is fitted on."""
+    r = random.Random(5)
+    docs, labels = [], []
+    for i in range(2400):
+        toxic = i % 8 == 0
+        named = toxic or i % 8 == 1
+        words = ["".join(r.choice("etaoinshr") for _ in range(r.randint(2, 5))) for _ in range(12)]
+        docs.append((i, " ".join([*words, "blorgface"] if named else words), "old"))
+        labels.append((i, int(toxic), "old"))
+    docs, labels = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    scores = []
+    for caps in ((6000, 12000), (150, 300)):
+        monkeypatch.setattr(toxicity, "FIT_TOXIC", caps[0])
+        monkeypatch.setattr(toxicity, "FIT_OTHER", caps[1])
+        scores.append(toxicity.score(b"you blorgface", toxicity.train(docs, labels)))
+    assert all(0.35 < s < 0.65 for s in scores) and abs(scores[0] - scores[1]) < 0.15, scores
