@@ -12,6 +12,106 @@ def _bid(shard: int) -> str:
     return f"1.0 / -ln((('0x' || substr({digest}, 1, 13))::UBIGINT::DOUBLE + 0.5) / {1 << 52}::DOUBLE)"
 
 
+# crc32 is no function of DuckDB; the table is made from the polynomial.
+CRC_TABLE = """crc_step(b, i, c) AS (
+        SELECT b, 0, b::UBIGINT FROM range(256) r(b)
+        UNION ALL
+        SELECT b, i + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM crc_step WHERE i < 8
+    ),
+    crc_table AS (SELECT list(c ORDER BY b) AS t FROM crc_step WHERE i = 8)"""
+
+
+def _crc(hex_text: str, size: str) -> str:
+    """The CRC-32 of ``size`` bytes given as hexadecimal digits; needs the table ``crc_table``."""
+    return f"""xor(list_reduce(list_prepend(4294967295::UBIGINT, [('0x' || substr({hex_text}, 2 * i - 1, 2))::UBIGINT FOR i IN range(1, ({size}) + 1)]),
+                   lambda c, x: xor(t[(xor(c, x) & 255)::INT + 1], c >> 8)), 4294967295::UBIGINT)::BIGINT"""
+
+
+def _repair() -> str:
+    """Faults, then for each place from the last to the first the cheapest letters of each state, least first among equals."""
+    edits = []
+    for state, keep, becomes in ((0, "u", 2), (1, "u", 2), (2, "a", 3), (3, "u", 2)):
+        edits.append(f"SELECT {state} AS q, 'D' AS x, {state} AS leads, 4 AS price, NULL AS initial")
+        edits.append(f"SELECT {state}, 'R', {becomes}, 3, NULL")
+        edits.append(f"SELECT {state}, 'K', {becomes}, 0, '{keep}'")
+    edits.append("SELECT 0, 'K', 1, 0, 's'")
+    return f"""
+    WITH RECURSIVE {CRC_TABLE},
+    shown AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+        FROM conversations
+    ),
+    drawn AS (SELECT *, {_crc("hex(encode(k))", "strlen(k)")} % 20 AS kind FROM shown, crc_table),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM drawn, range(CASE WHEN kind = 3 THEN 2 ELSE 1 END) WHERE kind <> 0
+    ),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS pos,
+               regexp_extract(text, '([^ \\x09-\\x0D])[ \\x09-\\x0D]*$', 1) AS closing
+        FROM damaged
+    ),
+    faults AS (
+        SELECT conv_id, turn, role, text, pos, left(role, 1) AS initial, closing = '' AS blank,
+               closing <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS duplicate,
+               closing <> '' AND closing NOT IN ('.', '!', '?') AND NOT duplicate AS truncated,
+               lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair
+        FROM placed
+    ),
+    counted AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS rows_left,
+               sum(blank::INT) AS blank, sum(duplicate::INT) AS duplicate, sum(truncated::INT) AS truncated,
+               sum(CASE WHEN pair NOT IN ('su', 'ua', 'au') THEN 1 ELSE 0 END) AS illegal
+        FROM faults GROUP BY conv_id
+    ),
+    edits AS ({" UNION ALL ".join(edits)}),
+    states AS (
+        SELECT conv_id, rows_left AS pos, unnest([{{'q': 0, 'cost': 0, 'audit': ''}}, {{'q': 1, 'cost': 6, 'audit': 'II'}},
+            {{'q': 2, 'cost': 3, 'audit': 'I'}}, {{'q': 3, 'cost': 0, 'audit': ''}}], recursive := true)
+        FROM counted
+        UNION ALL
+        (
+            WITH before AS (
+                SELECT s.conv_id, s.pos - 1 AS pos, e.q, min({{'cost': s.cost + e.price + CASE WHEN f.truncated AND e.x <> 'D' THEN 3 ELSE 0 END, 'audit': e.x || s.audit}}) AS m
+                FROM states s
+                JOIN faults f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.pos = s.pos
+                JOIN edits e ON e.leads = s.q AND (e.x = 'D' OR NOT (f.blank OR f.duplicate)) AND (e.initial IS NULL OR e.initial = f.initial)
+                GROUP BY s.conv_id, s.pos, e.q
+            )
+            SELECT conv_id, pos, q, m.cost, m.audit FROM (
+                SELECT b.conv_id, b.pos, w.q, min({{'cost': b.m.cost + w.price, 'audit': w.x || b.m.audit}}) AS m
+                FROM before b
+                JOIN (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 3, 'I'), (1, 2, 3, 'I'), (3, 2, 3, 'I'), (2, 3, 3, 'I'),
+                    (0, 3, 6, 'II'), (1, 3, 6, 'II')) w(q, leads, price, x) ON w.leads = b.q
+                GROUP BY b.conv_id, b.pos, w.q
+            )
+        )
+    ),
+    letters AS (
+        SELECT s.conv_id, s.cost, s.audit, i, s.audit[i] AS x, strlen(replace(s.audit[1:i], 'I', '')) AS pos
+        FROM states s, range(1, strlen(s.audit) + 1) r(i) WHERE s.pos = 0 AND s.q = 0
+    ),
+    output AS (
+        SELECT l.conv_id, l.i, l.x, f.initial, f.role, CASE WHEN l.x = 'I' THEN '' ELSE f.text END AS text,
+               row_number() OVER (PARTITION BY l.conv_id ORDER BY i) AS place, first_value(CASE WHEN l.x = 'K' THEN f.initial END) OVER (PARTITION BY l.conv_id ORDER BY i) AS opens
+        FROM letters l LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.pos = l.pos WHERE l.x <> 'D'
+    ),
+    written AS (
+        SELECT conv_id, string_agg(CASE WHEN x = 'K' THEN role
+            WHEN (place + (CASE WHEN opens = 's' THEN 1 ELSE 0 END)) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS repaired
+        FROM output GROUP BY conv_id
+    )
+    SELECT a.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank, coalesce(c.duplicate, 0)::BIGINT AS duplicate,
+           coalesce(c.truncated, 0)::BIGINT AS truncated, coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(s.cost, 0)::BIGINT AS cost,
+           coalesce(s.audit, '') AS audit, sha256(coalesce(w.repaired, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) a
+    LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+    LEFT JOIN states s ON s.conv_id IS NOT DISTINCT FROM a.conv_id AND s.pos = 0 AND s.q = 0
+    LEFT JOIN written w ON w.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+
 def _sharding() -> str:
     n = sharding.SHARDS
     bids = ", ".join(_bid(i) for i in range(n + 1))
@@ -238,4 +338,5 @@ SQL = {
     "op7_line_edit_join": _lines(),
     "op8_path_templates": _urls(),
     "op10_curriculum_mixing": _mixing(),
+    "op11_auction_repair": _repair(),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontamination, lines, mixing, multiset, oracle, quality, sharding, simhash, toxicity, urls, warc
+from mentionlake.llm import conversations, decontamination, lines, mixing, multiset, oracle, quality, sharding, simhash, toxicity, urls, warc
 from mentionlake.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,10 @@ def op10_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+def op11_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_nnpu_quality": op1_nnpu_quality,
     "op2_golay_simhash": op2_golay_simhash,
@@ -95,5 +99,6 @@ QUERIES: dict[str, Query] = {
     "op8_path_templates": op8_path_templates,
     "op9_counterfactual_toxicity": op9_counterfactual_toxicity,
     "op10_curriculum_mixing": op10_curriculum_mixing,
+    "op11_auction_repair": op11_auction_repair,
 }
 ORACLES: dict[str, str] = {name: sql for name, sql in oracle.SQL.items() if name in QUERIES}
