@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mentionlake.llm import decontamination, lines, mixing, sharding, urls
+from mentionlake.llm import decontamination, lines, mixing, phrases, sharding, urls
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -112,6 +112,38 @@ def _repair() -> str:
     LEFT JOIN written w ON w.conv_id IS NOT DISTINCT FROM a.conv_id"""
 
 
+def _phrases() -> str:
+    """All phrases are counted; nothing is pruned."""
+    longest, least, top, scale = phrases.LONGEST, phrases.LEAST, phrases.TOP, phrases.SCALE
+    windows = " UNION ALL ".join(
+        f"SELECT lang, array_to_string(w[i:i + {k - 1}], ' ') AS phrase, {k} AS words FROM pieces, range(1, len(w) - {k - 2}) r(i)" for k in range(1, longest + 1))
+    return f"""
+    WITH split AS (
+        SELECT coalesce(lang, '{phrases.UNKNOWN}') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+    ),
+    pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM split),
+    totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+    counted AS (SELECT lang, phrase, words, count(*) AS f FROM ({windows}) GROUP BY ALL HAVING count(*) >= {least}),
+    cut AS (
+        SELECT c.lang, c.phrase, c.f AS a, k, array_to_string(string_split(c.phrase, ' ')[1:k], ' ') AS head,
+               array_to_string(string_split(c.phrase, ' ')[k + 1:], ' ') AS rest
+        FROM counted c, range(1, c.words) r(k) WHERE c.words > 1
+    ),
+    scored AS (
+        SELECT cut.lang, cut.phrase, cut.a, min({{'score': ({scale}::HUGEINT * a * n // (h.f::HUGEINT * r.f))::BIGINT, 'k': k, 'l': h.f, 'r': r.f}}) AS best, n
+        FROM cut JOIN totals USING (lang)
+        JOIN counted h ON h.lang = cut.lang AND h.phrase = cut.head JOIN counted r ON r.lang = cut.lang AND r.phrase = cut.rest
+        GROUP BY cut.lang, cut.phrase, cut.a, n
+    ),
+    kept AS (
+        SELECT * FROM scored s WHERE NOT EXISTS (
+            SELECT 1 FROM counted b WHERE b.lang = s.lang AND b.f = s.a AND strlen(b.phrase) > strlen(s.phrase)
+              AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' '))
+    ),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY best.score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, best.l AS l, best.r AS r, n, best.score AS score FROM placed WHERE rank <= {top}"""
+
+
 def _sharding() -> str:
     n = sharding.SHARDS
     bids = ", ".join(_bid(i) for i in range(n + 1))
@@ -339,4 +371,5 @@ SQL = {
     "op8_path_templates": _urls(),
     "op10_curriculum_mixing": _mixing(),
     "op11_auction_repair": _repair(),
+    "op12_phrase_growth": _phrases(),
 }

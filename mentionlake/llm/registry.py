@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import conversations, decontamination, lines, mixing, multiset, oracle, quality, sharding, simhash, toxicity, urls, warc
+from mentionlake.llm import conversations, decontamination, lines, mixing, multiset, oracle, phrases, quality, sharding, simhash, toxicity, urls, warc
 from mentionlake.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,10 @@ def op11_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(table(spark, sf_dir, "conversations"))
 
 
+def op12_phrase_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_nnpu_quality": op1_nnpu_quality,
     "op2_golay_simhash": op2_golay_simhash,
@@ -100,5 +104,6 @@ QUERIES: dict[str, Query] = {
     "op9_counterfactual_toxicity": op9_counterfactual_toxicity,
     "op10_curriculum_mixing": op10_curriculum_mixing,
     "op11_auction_repair": op11_auction_repair,
+    "op12_phrase_growth": op12_phrase_growth,
 }
 ORACLES: dict[str, str] = {name: sql for name, sql in oracle.SQL.items() if name in QUERIES}
