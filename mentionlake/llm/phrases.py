@@ -34,16 +34,19 @@ _PIECES = bytes(10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c fo
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
-def encode(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
-    """The distinct words of some texts, and a number for each word in order, -1 between pieces."""
-    joined = b"\n".join(texts).lower().translate(_PIECES).replace(b"\n", b" \n ")
-    parts = pc.split_pattern(pa.array([joined], pa.large_binary()), b" ").flatten().dictionary_encode()
+def numbered(text: bytes) -> tuple[pa.Array, np.ndarray]:
+    """The distinct words between spaces, and a number for each word in order; a line break, which stands alone, is -1."""
+    parts = pc.split_pattern(pa.array([text], pa.large_binary()), b" ").flatten().dictionary_encode()
     codes, words = parts.indices.to_numpy(zero_copy_only=False).astype(np.int32), parts.dictionary.to_pylist()
     number = np.cumsum([w not in (b"", b"\n") for w in words], dtype=np.int32) - 1
     number[[i for i, w in enumerate(words) if w == b"\n"]] = -1
     empty = [i for i, w in enumerate(words) if w == b""]
-    codes = codes[~np.isin(codes, empty)]
-    return pa.array([w for w in words if w not in (b"", b"\n")], pa.binary()), number[codes]
+    return pa.array([w for w in words if w not in (b"", b"\n")], pa.binary()), number[codes[~np.isin(codes, empty)]]
+
+
+def encode(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts, with -1 between pieces."""
+    return numbered(b"\n".join(texts).lower().translate(_PIECES).replace(b"\n", b" \n "))
 
 
 CHUNK = "chunk long, lang string, words array<binary>, counts array<long>, codes binary"

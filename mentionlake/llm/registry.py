@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import conversations, decontamination, lines, mixing, multiset, oracle, phrases, quality, sharding, simhash, toxicity, urls, warc
+from mentionlake.llm import classlm, conversations, decontamination, lines, mixing, multiset, oracle, phrases, quality, sharding, simhash, toxicity, urls, warc
 from mentionlake.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,10 @@ def op12_phrase_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_brown_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classlm.log_probabilities(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_nnpu_quality": op1_nnpu_quality,
     "op2_golay_simhash": op2_golay_simhash,
@@ -105,5 +109,6 @@ QUERIES: dict[str, Query] = {
     "op10_curriculum_mixing": op10_curriculum_mixing,
     "op11_auction_repair": op11_auction_repair,
     "op12_phrase_growth": op12_phrase_growth,
+    "op13_brown_class_lm": op13_brown_class_lm,
 }
 ORACLES: dict[str, str] = {name: sql for name, sql in oracle.SQL.items() if name in QUERIES}
