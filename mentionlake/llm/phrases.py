@@ -92,30 +92,6 @@ def chunks(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return rows.mapInArrow(run, CHUNK)
 
 
-def thinned(found: DataFrame, words: DataFrame) -> DataFrame:
-    """(chunk, lang, words, freqs, codes): only the words of ``words`` (lang, phrase, f) keep their numbers; the rest separates as pieces do."""
-    every = found.select("chunk", "lang", F.posexplode("words").alias("pos", "phrase"))
-    known = every.join(words, ["lang", "phrase"]).groupBy("chunk").agg(F.collect_list(F.struct("pos", "f")).alias("known"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("words", pa.list_(pa.binary())), ("freqs", pa.list_(pa.int64())), ("codes", pa.binary())])
-        for batch in batches:
-            for r in range(batch.num_rows):
-                chunk, lang, words, codes, known = (batch.column(i)[r] for i in range(5))
-                pairs = sorted((k["pos"], k["f"]) for k in known.as_py())
-                at = np.array([p for p, _ in pairs])
-                new = np.full(len(words.values) + 1, -1, np.int32)
-                new[at] = np.arange(len(at), dtype=np.int32)
-                mapped = new[np.frombuffer(codes.as_py(), np.int32)]
-                # One separator is as good as many.
-                mapped = mapped[(mapped >= 0) | np.append(True, mapped[:-1] >= 0)]
-                row = [[chunk.as_py()], [lang.as_py()], [words.values.take(pa.array(at)).to_pylist()], [[f for _, f in pairs]], [mapped.tobytes()]]
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
-
-    both = found.join(known, "chunk").select("chunk", "lang", "words", "codes", "known")
-    return both.mapInArrow(run, "chunk long, lang string, words array<binary>, freqs array<long>, codes binary")
-
-
 def word_hash(word: bytes) -> int:
     return xxh64_intdigest(word)
 
@@ -163,24 +139,48 @@ def known(wanted: DataFrame) -> Known:
     return Known(filled)
 
 
+def thinned(found: DataFrame, words: DataFrame) -> DataFrame:
+    """(lang, words, codes): only words that may be among those of ``words`` (lang, phrase) keep a number; the rest separates as pieces do.
+
+    A bit map tells them, so a few rare words keep theirs too; no phrase with one of these occurs often enough."""
+    shared = found.sparkSession.sparkContext.broadcast(known(words))
+    schema = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.binary())), ("codes", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                lang, words, codes = (batch.column(i)[r] for i in range(3))
+                hashes = np.array([word_hash(w) for w in words.values.to_pylist()], np.uint64)
+                at = np.flatnonzero(shared.value.has(_step(np.array([word_hash(lang.as_py().encode())], np.uint64), hashes)))
+                new = np.full(len(hashes) + 1, -1, np.int32)
+                new[at] = np.arange(len(at), dtype=np.int32)
+                mapped = new[np.frombuffer(codes.as_py(), np.int32)]
+                # One separator is as good as many.
+                mapped = mapped[(mapped >= 0) | np.append(True, mapped[:-1] >= 0)]
+                row = [[lang.as_py()], [words.values.take(pa.array(at)).to_pylist()], [mapped.tobytes()]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
+
+    return found.select("lang", "words", "codes").mapInArrow(run, "lang string, words array<binary>, codes binary")
+
+
 Bands = dict[str, tuple[int, int]]
 
 
 class Windows:
     """Windows of one chunk that grow to the right. Of equal ones only a number is kept for each place."""
 
-    def __init__(self, lang: str, words: pa.Array, freqs: np.ndarray, codes: np.ndarray) -> None:
+    def __init__(self, lang: str, words: pa.Array, codes: np.ndarray) -> None:
         self.words, self.codes = words, np.concatenate([[-1], codes, [-1]])
         self.hashes = np.array([word_hash(w) for w in words.to_pylist()], np.uint64)
         self.seed = np.array([word_hash(lang.encode())], np.uint64)
-        self.freqs = freqs
 
-    def begin(self, low: int, high: int) -> None:
-        """All places of words whose frequency is above ``low`` and at most ``high``."""
-        fits = np.append((self.freqs > low) & (self.freqs <= high), False)
+    def begin(self, first: Known | None = None) -> None:
+        """All places of words, or of those that ``first`` may have."""
+        own = _step(self.seed, self.hashes)
+        fits = np.append(np.ones(len(own), bool) if first is None else first.has(own), False)
         self.at, self.length = np.flatnonzero(fits[self.codes]), 1
         self.kinds, self.first, self.kind = np.unique(self.codes[self.at], return_index=True, return_inverse=True)
-        self.hash = _step(self.seed, self.hashes[self.kinds]) if len(self.kinds) else np.zeros(0, np.uint64)
+        self.hash = own[self.kinds] if len(self.kinds) else np.zeros(0, np.uint64)
 
     def grow(self) -> None:
         """Each window takes the next word; those before a separator go."""
@@ -229,25 +229,22 @@ def passed(found: DataFrame, schema: str, of_chunk: Callable[[Windows, str], Ite
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                lang, words, freqs, codes = (batch.column(i)[r] for i in range(4))
-                freqs = freqs.values.to_numpy(zero_copy_only=False)
-                windows = Windows(lang.as_py(), words.values.cast(pa.binary()), freqs, np.frombuffer(codes.as_py(), np.int32))
+                lang, words, codes = (batch.column(i)[r] for i in range(3))
+                windows = Windows(lang.as_py(), words.values.cast(pa.binary()), np.frombuffer(codes.as_py(), np.int32))
                 for columns in of_chunk(windows, lang.as_py()):
                     yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(columns[0]), pa.string()), *columns], names=names)
 
-    return found.select("lang", "words", "freqs", "codes").mapInArrow(run, "lang string, " + schema)
+    return found.select("lang", "words", "codes").mapInArrow(run, "lang string, " + schema)
 
 
-def counted(found: DataFrame, bands: Bands, length: int, prefixes: Known | None) -> DataFrame:
-    """(lang, phrase, f): phrases of ``length`` words that begin in a band of their language, grow from known prefixes and occur
-    ``LEAST`` times or more."""
-    shared = found.sparkSession.sparkContext.broadcast((bands, prefixes))
+def counted(found: DataFrame, first: Known, length: int, prefixes: Known | None) -> DataFrame:
+    """(lang, phrase, f): phrases of ``length`` words that begin with a word of ``first``, grow from known prefixes and occur
+    ``LEAST`` times or more. Few begin with another word; they are whole and count as well."""
+    shared = found.sparkSession.sparkContext.broadcast((first, prefixes))
 
     def of_chunk(windows: Windows, lang: str) -> Iterator[list[pa.Array]]:
-        bands, prefixes = shared.value
-        if lang not in bands:
-            return
-        windows.begin(*bands[lang])
+        first, prefixes = shared.value
+        windows.begin(first)
         for n in range(2, length + 1):
             if n > 2:
                 windows.keep(prefixes.has(windows.hash))
@@ -265,7 +262,7 @@ def described(found: DataFrame, wanted: DataFrame) -> DataFrame:
     shared = found.sparkSession.sparkContext.broadcast(known(wanted))
 
     def of_chunk(windows: Windows, lang: str) -> Iterator[list[pa.Array]]:
-        windows.begin(0, np.iinfo(np.int64).max)
+        windows.begin()
         for _ in range(2, LONGEST + 1):
             windows.grow()
             which = shared.value.has(windows.hash)
@@ -343,9 +340,9 @@ def _grown(spark: SparkSession, save: Save, docs: DataFrame, text_col: str, lang
         bands = _next_bands(often, totals, expanded, entry)
         if not bands:
             break
-        grown, level = None, None
+        grown, first = None, known(_of_bands(often, bands))
         for length in range(2, LONGEST + 1):
-            level = save(counted(found, bands, length, None if grown is None else known(grown)), f"band-{step}-{length}")
+            level = save(counted(found, first, length, None if grown is None else known(grown)), f"band-{step}-{length}")
             grown = level if grown is None else grown.unionByName(level)
         told = grown.withColumnRenamed("f", "a")
         rest = cuts(grown).select("lang", F.col("right").alias("phrase")).where(F.contains(F.col("phrase").cast("string"), F.lit(" ")))
@@ -354,7 +351,7 @@ def _grown(spark: SparkSession, save: Save, docs: DataFrame, text_col: str, lang
         every = every.unionByName(facts.select("lang", "phrase", "f")).distinct()
         open_ones = facts.where(~F.col("closed") | (F.size(words_of()) == LONGEST)).select("lang", "phrase")
         candidates = scored(told.join(open_ones, ["lang", "phrase"]), every, totals)
-        best = candidates if best is None else best.unionByName(candidates)
+        best = candidates if best is None else best.unionByName(candidates).distinct()
         best = save(ranked(best, top).drop("rank"), f"best-{step}")
         expanded.update({lang: high for lang, (_, high) in bands.items()})
         reached = best.groupBy("lang").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("least")).where(F.col("found") >= top)
@@ -366,6 +363,12 @@ def _grown(spark: SparkSession, save: Save, docs: DataFrame, text_col: str, lang
     return out.select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
 
 
+def _of_bands(often: DataFrame, bands: Bands) -> DataFrame:
+    spark = often.sparkSession
+    spans = spark.createDataFrame([(lang, low, high) for lang, (low, high) in bands.items()], "lang string, low long, high long")
+    return often.join(spans, "lang").where((F.col("f") > F.col("low")) & (F.col("f") <= F.col("high"))).select("lang", "phrase")
+
+
 def _next_bands(often: DataFrame, totals: DataFrame, expanded: dict[str, int], entry: dict[str, int]) -> Bands:
     """For each language that is not settled the next frequencies of first words: (above, up to). One row for each language is read."""
     spark = often.sparkSession

@@ -68,8 +68,8 @@ def test_frequent_beginnings_stay_unexpanded_once_the_last_score_is_settled(spar
     monkeypatch.setattr(phrases, "WIDER", 2)
     monkeypatch.setattr(phrases, "LEAST", 8)
     seen = []
-    counted = phrases.counted
-    monkeypatch.setattr(phrases, "counted", lambda found, bands, length, known: (seen.append(dict(bands)), counted(found, bands, length, known))[1])
+    of_bands = phrases._of_bands
+    monkeypatch.setattr(phrases, "_of_bands", lambda often, bands: (seen.append(dict(bands)), of_bands(often, bands))[1])
     rows = [(i, "rare pair. " + "the " * 40, "en", None, None) for i in range(10)]
     assert got(spark, rows, 1) == expected(rows, 8, 1) == [("en", 1, "rare pair", 10, 10, 10, 420, 42000)]
     assert max(high for bands in seen for _, high in bands.values()) < 400
