@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mentionlake.operators.dedupe import latest_per_key, row_digest
+from mentionlake.operators.keyindex import KeyIndex
 from mentionlake.session import delete_folder, path_exists
 from mentionlake.sources.tables import clear_partitions, location_of, overwrite_partitions
 
@@ -48,16 +49,13 @@ def merge_latest(
     return winners.unionByName(both.filter(~has_key)).drop("_side")
 
 
-def touched_partitions(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str
-) -> list[str | None]:
-    """Partitions of the source, and those where the target holds a source key.
+def touched_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str) -> list[str | None]:
+    """Partitions of the source, and those where the target holds a source key, without an index.
 
     Reads two columns of the target. The list is as long as the number of dates.
     """
-    of_source = source.select(partition)
     of_target = target.select(*keys, partition).join(source.select(*keys), list(keys), "left_semi")
-    rows = of_source.unionByName(of_target.select(partition)).distinct().collect()
+    rows = source.select(partition).unionByName(of_target.select(partition)).distinct().collect()
     return [row[0] for row in rows]
 
 
@@ -75,6 +73,7 @@ def merge_into_table(
 
     An update may move a row to another date, so the old date is rewritten too, or
     cleared if nothing is left of it. Only touched partitions are read in full.
+    Where the keys of the batch lie is read from an index beside the table (``KeyIndex``), which costs what the batch meets.
     The new content of these dates is first written whole beside the table. An upsert that finds such content,
     left by a run that was stopped while it replaced partitions, completes that run before its own, so no row is
     lost wherever a run stops. Rows without a key are left out. ``source`` is read several times and should be a
@@ -85,9 +84,14 @@ def merge_into_table(
     batch = source.dropna(subset=keys).select(*spark.table(table).columns)
     if not one_per_key:
         batch = latest_per_key(batch, keys, version, tiebreak)
-    found = touched_partitions(spark.table(table), batch, keys, partition)
+    index = key_index(spark, table, keys, partition)
+    index.refresh()
+    places = index.places(batch)
+    dates = batch.select(F.col(partition).alias("place"))
+    found = [row[0] for row in (dates if places is None else dates.unionByName(places.select("place"))).distinct().collect()]
     if not found:
         return []
+    index.announce(batch, places)
     touched = sorted(date for date in found if date)
     in_touched = F.col(partition).isin(touched)
     if len(touched) < len(found):
@@ -95,9 +99,14 @@ def merge_into_table(
     current = spark.table(table).filter(in_touched)
     prepare(spark, table, merge_latest(current, batch, keys, version, tiebreak), touched)
     finish_interrupted(spark, table, partition)
+    index.settle(spark.table(table), found)
     return touched
 
 
+def key_index(spark: SparkSession, table: str, keys: Sequence[str], partition: str = "partition_date") -> KeyIndex:
+    return KeyIndex(spark.table(table), f"{location_of(spark, table).rstrip('/')}/_keys", keys, partition)
+
+
 def pending_folder(spark: SparkSession, table: str) -> str:
     return f"{location_of(spark, table).rstrip('/')}/_pending"
 
