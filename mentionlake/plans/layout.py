@@ -20,6 +20,8 @@ class Lake:
     mart: str = "mart"
     ops: str = "ops"
     environment: str = "prod"
+    #: Buckets of what is remembered by comment. A bucket of each is read by one task, so choose as many as its bytes need.
+    comment_buckets: int = 8
 
     def bronze_table(self, kind: str) -> str:
         return f"{self.bronze}.{kind}"
@@ -70,4 +72,5 @@ def create_tables(spark: SparkSession, lake: Lake) -> None:
         lake.quarantine: (schemas.QUARANTINE, ["partition_date"]),
     }
     for name, (schema, keys) in tables.items():
-        ensure_table(spark, name, schema, lake.path(name), keys)
+        by_comment = ("comment_id", lake.comment_buckets) if name in (lake.sentiment, lake.analysed) else None
+        ensure_table(spark, name, schema, lake.path(name), keys, by_comment)

@@ -39,6 +39,16 @@ def mentions_from_scorer(
     return parse_responses(score(prompted, scorer_factory(instructions), partitions), strict)
 
 
+def not_analysed(spark: SparkSession, lake: Lake, context: DataFrame) -> DataFrame:
+    """Rows of comments that neither the ledger nor the mentions know (a run may have stopped between the two).
+
+    Both tables are bucketed by comment, so only the context is shuffled, once; a union of them would lose their buckets.
+    """
+    for table in (lake.analysed, lake.sentiment):
+        context = only_new(context, spark.table(table))
+    return context
+
+
 def run_sentiment(
     spark: SparkSession,
     lake: Lake,
@@ -68,11 +78,8 @@ def run_sentiment(
     comments = spark.table(lake.silver_table("comments"))
     scoped = of_dates(submissions, dates) if submission_scope == "partition" else submissions
     context = build_context(of_dates(comments, dates), scoped).drop("submission_title", "submission_selftext")
-    done = spark.table(lake.analysed).select("comment_id").unionByName(
-        spark.table(lake.sentiment).select("comment_id")
-    )
     with staging(spark, "sentiment") as save:
-        fresh = save(only_new(context, done), "context")
+        fresh = save(not_analysed(spark, lake, context), "context")
         if fresh.isEmpty():
             return 0
         if scorer_factory is not None:

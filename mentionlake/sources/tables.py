@@ -36,10 +36,12 @@ def ensure_table(
     schema: StructType,
     location: str | None = None,
     partition_by: Sequence[str] = (),
+    bucket_by: tuple[str, int] | None = None,
 ) -> None:
     """Create an empty zstd Parquet table unless it exists.
 
-    The partition columns are declared, so their strings are never re-typed.
+    The partition columns are declared, so their strings are never re-typed. ``bucket_by`` (column, buckets) keeps each file to one
+    bucket of the column's hash: a join on that column then takes the table as it lies.
     """
     if table_exists(spark, name):
         return
@@ -49,6 +51,8 @@ def ensure_table(
     statement = f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS (compression 'zstd')"
     if partition_by:
         statement += f" PARTITIONED BY ({', '.join(partition_by)})"
+    if bucket_by:
+        statement += f" CLUSTERED BY (`{bucket_by[0]}`) INTO {bucket_by[1]} BUCKETS"
     if location:
         statement += f" LOCATION '{location}'"
     spark.sql(statement)

@@ -183,3 +183,23 @@ def test_checkpoints(spark, lake):
     assert [(r.last_timestamp, r.items_fetched, r.s3_location) for r in got] == [(50, 9, "s3://b")]
     assert load_checkpoint(spark, lake, "phones", "listing", "top").first()["items_fetched"] == 1
     assert load_checkpoint(spark, lake, "tabs", "listing").count() == 0
+
+
+def test_the_ledger_is_joined_as_it_lies(spark, lake):
+    from mentionlake.plans.sentiment import not_analysed
+    from mentionlake.sources.tables import append
+
+    append(spark.range(900).selectExpr("concat('c', id) comment_id", "'01-01-2024' date_partition"), lake.analysed)
+    append(spark.range(900, 1200).selectExpr("concat('c', id) comment_id", "'02-01-2024' date_partition").selectExpr(
+        *[n if n in ("comment_id", "date_partition") else f"NULL AS {n}" for n in spark.table(lake.sentiment).columns]), lake.sentiment)
+    context = spark.range(0, 2000, 2).selectExpr("concat('c', id) comment_id", "uuid() body").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = not_analysed(spark, lake, context)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.comment_id for r in found.collect()) == sorted(f"c{i}" for i in range(1200, 2000, 2))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # One shuffle of the context beside that of the test's own; none of the two tables.
+    assert plan.count("Exchange") == 2 and plan.count("Bucketed: true") == 2
