@@ -49,6 +49,19 @@ def get_spark(app_name: str = "mentionlake", **settings: str) -> SparkSession:
     return spark
 
 
+def bundle() -> str:
+    """A zip of this package, in a folder of its own."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="mentionlake-ship-"), "mentionlake.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as bundle:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    bundle.write(file, os.path.relpath(file, os.path.dirname(root)))
+    return path
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers of the session, once per application.
 
@@ -58,14 +71,7 @@ def ship_package(spark: SparkSession) -> None:
     context = spark.sparkContext
     if getattr(context, "_mentionlake_shipped", False):
         return
-    root = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="mentionlake-ship-"), "mentionlake.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as bundle:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    file = os.path.join(folder, name)
-                    bundle.write(file, os.path.relpath(file, os.path.dirname(root)))
+    path = bundle()
     context.addPyFile(path)
     context._mentionlake_shipped = True
 
