@@ -347,6 +347,43 @@ VIEWS["found_names"] = "SELECT DISTINCT brand_name, product_name FROM context_fo
 VIEWS["found_resolved"] = _LEV.format(source="found_names")
 VIEWS["raw_resolved"] = _LEV.format(source="raw_mentions")
 
+# The matching-blocks ratio: of two stretches the longest common block is taken (the first in the candidate, then in the text, among
+# equals), then the stretches before it and those after it, until nothing is common. Pairs are distinct, so each is worked out once.
+VIEWS["name_pairs"] = """
+    SELECT DISTINCT c.brand AS candidate, lower(m.brand_name) AS name FROM catalogue c CROSS JOIN raw_mentions m
+    UNION SELECT DISTINCT c.model, lower(m.product_name) FROM catalogue c CROSS JOIN raw_mentions m"""
+VIEWS["name_ratios"] = """
+    WITH RECURSIVE stretches AS (
+        SELECT candidate, name, 0 AS c0, length(candidate) AS c1, 0 AS t0, length(name) AS t1, 0 AS common FROM name_pairs
+        UNION ALL
+        SELECT candidate, name, unnest([
+            {'c0': c0, 'c1': -block.c, 't0': t0, 't1': -block.t, 'common': block.size},
+            {'c0': -block.c + block.size, 'c1': c1, 't0': -block.t + block.size, 't1': t1, 'common': 0}], recursive := true)
+        FROM (
+            SELECT candidate, name, c0, c1, t0, t1, max({'size': size, 'c': -c, 't': -t}) AS block
+            FROM stretches, range(c0, c1) a(c), range(t0, t1) b(t), range(1, least(c1 - c, t1 - t) + 1) s(size)
+            WHERE substr(candidate, c + 1, size) = substr(name, t + 1, size)
+            GROUP BY candidate, name, c0, c1, t0, t1
+        )
+    )
+    SELECT candidate, name, 2.0::DOUBLE * sum(common) / (length(candidate) + length(name)) AS ratio FROM stretches GROUP BY candidate, name"""
+VIEWS["brands_by_blocks"] = """
+    SELECT raw, brand, brand IN (SELECT brand FROM catalogue) AS known FROM (
+      SELECT raw, CASE WHEN raw = '' THEN 'Unknown' ELSE coalesce(
+        (SELECT max(c.brand) FROM catalogue c WHERE c.brand = lower(raw)),
+        (SELECT max(struct_pack(r := p.ratio, b := c.brand)).b FROM catalogue c JOIN name_ratios p ON p.candidate = c.brand
+         WHERE p.name = lower(raw) AND p.ratio >= 0.7), raw) END AS brand
+      FROM (SELECT DISTINCT brand_name AS raw FROM raw_mentions))"""
+VIEWS["resolved_by_blocks"] = """
+    SELECT m.*, r.brand AS found_brand, CASE
+        WHEN m.product_name = '' OR lower(m.product_name) = 'general' THEN 'general'
+        ELSE coalesce(
+          (SELECT max(struct_pack(b := c.brand, m := c.model)).m FROM catalogue c WHERE lower(c.model) = lower(m.product_name)),
+          (SELECT max(struct_pack(r := p.ratio, m := c.model)).m FROM catalogue c JOIN name_ratios p ON p.candidate = c.model
+           WHERE (c.brand = lower(r.brand) OR NOT r.known) AND p.name = lower(m.product_name) AND p.ratio >= 0.6),
+          m.product_name) END AS found_product
+    FROM raw_mentions m JOIN brands_by_blocks r ON m.brand_name = r.raw"""
+
 SQL: dict[str, str] = {
     "landing_roundtrip": _LANDED,
     "landing_roundtrip_comments": f"""
@@ -448,6 +485,8 @@ SQL: dict[str, str] = {
         FROM raw_mentions m LEFT JOIN (SELECT DISTINCT brand FROM catalogue) b ON lower(m.brand_name) = b.brand
         LEFT JOIN (SELECT DISTINCT model FROM catalogue) p ON lower(m.product_name) = lower(p.model)""",
     "resolve_lev": "SELECT comment_id, found_brand AS brand_name, found_product AS product_name FROM raw_resolved",
+    "resolve_brand_difflib": "SELECT raw AS raw_brand, brand AS brand_name FROM brands_by_blocks",
+    "resolve_model_difflib": "SELECT comment_id, found_brand AS brand_name, found_product AS product_name FROM resolved_by_blocks",
     "brand_models": "SELECT DISTINCT brand, lower(model) AS model FROM catalogue",
     "submission_metrics": """
         SELECT subreddit, count(*) AS submissions_count, min(created_utc) AS earliest_submission_created_utc,
