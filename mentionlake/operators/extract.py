@@ -130,26 +130,56 @@ LEXICON = struct(("token", STRING), ("kind", STRING), ("value", STRING), ("weigh
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
+#: Words of the longest lexicon entry.
+LONGEST_ENTRY = 8
+
+
+def entry_hits(context: DataFrame, lexicon: DataFrame, longest: int = LONGEST_ENTRY) -> DataFrame:
+    """(comment_id, pos, kind, value, weight): where entries of one or more words occur, ``pos`` counting words.
+
+    An entry is looked up by its first word, like a branch of a trie by its root, and holds if the words after it follow in the text. Where
+    entries of one kind overlap, the first one stands, of those that begin together the longest; what it covers counts for no other entry of its kind. An entry is
+    split into words as texts are. One of more than ``longest`` words is an error when the query runs; one without words matches nothing.
+    """
+    words = F.filter(F.split(F.lower("body"), WORD_BREAK), lambda w: w != "")
+    each = context.select("comment_id", words.alias("words"))
+    ahead = F.transform("words", lambda w, i: F.struct(i.cast("int").alias("pos"), w.alias("token"), F.slice("words", i + 1, F.lit(longest)).alias("ahead")))
+    placed = each.select("comment_id", F.explode(ahead).alias("w")).select("comment_id", "w.*")
+    entry = F.filter(F.split(F.lower("token"), WORD_BREAK), lambda w: w != "")
+    checked = F.when(F.size(entry) > longest, F.raise_error(F.concat(F.lit("lexicon entry too long: "), F.col("token")))).otherwise(entry)
+    entries = lexicon.select(checked.alias("_entry"), "kind", "value", "weight").where(F.size("_entry") > 0).withColumn("_word", F.element_at("_entry", 1))
+    hits = lookup(placed, "token", entries, "_word").where(F.slice("ahead", F.lit(1), F.size("_entry")) == F.col("_entry"))
+    found = hits.select("comment_id", "kind", F.struct("pos", (-F.size("_entry")).alias("less"), "value", "weight").alias("m"))
+    gathered = found.groupBy("comment_id", "kind").agg(F.array_sort(F.collect_list("m")).alias("ms"))
+    # The matches of one comment and kind, from left to right, the longest of a place first.
+    nothing = F.struct(F.lit(-1).alias("start"), F.lit(0).alias("less"), F.lit(0).alias("end"), F.slice("ms", F.lit(1), F.lit(0)).alias("kept"))
+
+    def step(state: Column, m: Column) -> Column:
+        stands = (m["pos"] >= state["end"]) | ((m["pos"] == state["start"]) & (m["less"] == state["less"]))
+        taken = F.struct(m["pos"].alias("start"), m["less"].alias("less"), (m["pos"] - m["less"]).alias("end"), F.concat(state["kept"], F.array(m)).alias("kept"))
+        return F.when(stands, taken).otherwise(state)
+
+    kept = F.aggregate("ms", nothing, step)["kept"]
+    return gathered.select("comment_id", "kind", F.explode(kept).alias("m")).select("comment_id", "kind", "m.pos", "m.value", "m.weight")
+
+
 def lexicon_mentions(context: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Mentions by word lists: the default scorer, all in joins and windows.
 
-    ``lexicon`` rows are words of kind brand, product, aspect or polarity (with the
-    score as ``weight``). Each brand word opens a stretch that ends at the next one.
+    ``lexicon`` rows are names or words of kind brand, product, aspect or polarity (with the
+    score as ``weight``), of one word or several. Each brand word opens a stretch that ends at the next one.
     Within it, polarity words count for the aspect word before them (``general`` if
     there is none), and the first product word names the product. A mention is a
     (brand, product, aspect) of a comment with the mean of its polarity words.
 
-    Words not in the lexicon are dropped by the join before anything is shuffled.
+    Words that begin no entry are dropped by the join before anything is shuffled.
     """
-    words = context.select(
-        "comment_id", F.posexplode(F.split(F.lower("body"), WORD_BREAK)).alias("pos", "token")
-    )
-    hits = lookup(words, "token", lexicon.withColumnRenamed("token", "_word"), "_word")
+    hits = entry_hits(context, lexicon)
 
     def value_of(kind: str) -> Column:
         return F.when(F.col("kind") == kind, F.col("value"))
 
-    # A token may be listed under several kinds; brands come first at a position.
+    # A name may be listed under several kinds; brands come first at a position.
     order = [F.col("pos"), F.when(F.col("kind") == "brand", 0).otherwise(1), "kind", "value"]
     in_comment = Window.partitionBy("comment_id").orderBy(*order)
     in_stretch = Window.partitionBy("comment_id", "_stretch").orderBy(*order)

@@ -129,3 +129,39 @@ def test_canonical_records(spark):
     from mentionlake.schemas import SUBMISSIONS
 
     assert [f.dataType for f in canonical.canonical_submissions(raw, F.lit(5)).schema] == [f.dataType for f in SUBMISSIONS]
+
+
+PHRASES = [
+    ("galaxy", "product", "Galaxy", None), ("Galaxy S24", "product", "Galaxy S24", None), ("galaxy-s24 ultra", "product", "Galaxy S24 Ultra", None),
+    ("s24 ultra case", "product", "Case", None), ("acme", "brand", "Acme", None), ("acme mobile", "brand", "Acme Mobile", None), ("battery life", "aspect", "battery", None),
+    ("not good", "polarity", None, 0.1), ("good", "polarity", None, 0.9), ("...", "brand", "Nothing", None), ("galaxy s24", "product", "S24 again", None),
+]
+
+
+@pytest.mark.parametrize(("body", "want"), [
+    ("Acme Mobile: the Galaxy S24 Ultra, battery life not good", [("Acme Mobile", "Galaxy S24 Ultra", "battery", "0.1"), ("Acme Mobile", "Galaxy S24 Ultra", "general", "0.5")]),
+    ("acme galaxy  s24... good", [("Acme", "Galaxy S24", "general", "0.9")]),
+    ("acme galaxy s25 good", [("Acme", "Galaxy", "general", "0.9")]),
+    ("acme galaxy s24 ultra case good", [("Acme", "Galaxy S24 Ultra", "general", "0.9")]),
+    ("acme s24 ultra case. not. good", [("Acme", "Case", "general", "0.1")]),
+    ("galaxy s24", []), ("", []), (None, []),
+])
+def test_names_of_several_words(spark, body, want):
+    lexicon = spark.createDataFrame(PHRASES, "token string, kind string, value string, weight double")
+    found = extract.lexicon_mentions(spark.createDataFrame([("c", body)], "comment_id string, body string"), lexicon)
+    assert sorted((r.brand_name, r.product_name, r.aspect, r.sentiment_score) for r in found.collect()) == want
+
+
+def test_hits_of_overlapping_entries(spark):
+    lexicon = spark.createDataFrame(PHRASES, "token string, kind string, value string, weight double")
+    text = "galaxy galaxy s24 s24 ultra case " * 3
+    found = extract.entry_hits(spark.createDataFrame([("c", text)], "comment_id string, body string"), lexicon)
+    got = sorted((r.pos, r.value) for r in found.collect())
+    one = [(0, "Galaxy"), (1, "Galaxy S24"), (1, "S24 again"), (3, "Case")]
+    assert got == sorted((6 * i + pos, value) for i in range(3) for pos, value in one)
+
+
+def test_an_entry_that_is_too_long_is_an_error(spark):
+    lexicon = spark.createDataFrame([("a b c", "brand", "x", None)], "token string, kind string, value string, weight double")
+    with pytest.raises(Exception, match="lexicon entry too long"):
+        extract.entry_hits(spark.createDataFrame([("c", "a b c")], "comment_id string, body string"), lexicon, longest=2).collect()
