@@ -27,6 +27,8 @@ SIMILAR, OF = 4, 5
 BANDS, ROWS = 40, 5
 #: Shingles are permuted so many at a time.
 STEP = 512
+#: Texts that a key leaves apart are compared so many times with the largest component before they are compared with each other.
+TURNS = 3
 _random = np.random.default_rng(20240501)
 MASKS, FACTORS = _random.integers(0, 1 << 63, (2, BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 MIX = _random.integers(0, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -78,21 +80,49 @@ def could_be(a: Column, b: Column) -> Column:
     return F.least(a, b) * OF >= F.greatest(a, b) * SIMILAR
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (a, b) of digests whose sets of shingles are similar. Only texts of some pair are hashed, each once."""
-    pairs = materialise(pairs, "near-pairs")
-    wanted = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
-    wanted = materialise(wanted.select("node", F.col("least").alias("id"), F.xxhash64("node", "least").alias("at")), "near-wanted")
+def shingle_sets(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, size, set) of ``texts``, each hashed once, however many copies it has."""
+    wanted = materialise(texts.select("node", F.col("least").alias("id"), F.xxhash64("node", "least").alias("at")), "near-wanted")
     met = possible(rows.withColumn("at", F.xxhash64("node", "id")), "at", wanted)
     met = met.join(wanted.select("node", F.col("id").alias("least")), "node").where(F.col("id").eqNullSafe(F.col("least")))
     sets = mapped(met.select("node", F.col("text").cast("binary").alias("text")), lambda s: s.view(np.int64), "set")
-    sets = materialise(sets.dropDuplicates(["node"]), "near-sets")
+    return materialise(sets.dropDuplicates(["node"]), "near-sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of digests whose sets of shingles are similar."""
+    pairs = materialise(pairs, "near-pairs")
     a, b = (sets.select(F.col("node").alias(n), F.col("size").alias(f"{n}_size"), F.col("set").alias(f"{n}_set")) for n in "ab")
     common = F.size(F.array_intersect("a_set", "b_set")).cast("long")
     similar = common * OF >= (F.col("a_size") + F.col("b_size") - common) * SIMILAR
     return materialise(pairs.join(a, "a").join(b, "b").where(similar).select("a", "b"), "near-links")
 
 
+def unsettled(held: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
+    """The members of the keys that ``links`` leave in several components, with their ``root`` and the ``largest`` root of the key."""
+    state = labelled(links, texts).select("node", F.col("label.node").alias("root"))
+    held = held.select("key", "node", "size").join(state, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
+    held = materialise(held, "near-members")
+    roots = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    split = roots.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", "n").alias("largest")).where("roots > 1")
+    return materialise(held.join(materialise(split.select("key", "largest"), "near-split"), "key"), "near-members")
+
+
+def can_be_similar(held: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members whose sets have four fifths of their shingles in common with other members.
+
+    Of similar sets each has at least that share in the other, so no member that is left out has a near copy among ``held``.
+    """
+    nodes = materialise(held.select("node").distinct(), "near-nodes")
+    inside = sets.join(nodes, "node", "left_semi")
+    each = inside.select(F.xxhash64("node").alias("at"), F.explode("set").alias("shingle"))
+    several = each.groupBy("shingle").agg(F.min("at").alias("one"), F.max("at").alias("other")).where("one <> other").select("shingle")
+    counts = each.join(materialise(several, "near-shingles"), "shingle", "left_semi").groupBy("at").agg(F.count(F.lit(1)).alias("n"))
+    kept = inside.select("node", "size", F.xxhash64("node").alias("at")).join(counts, "at", "left")
+    kept = kept.where(F.coalesce("n", F.lit(0)) * OF >= F.col("size") * SIMILAR).select("node")
+    return held.join(materialise(kept, "near-nodes"), "node", "left_semi")
+
+
 def labelled(links: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, label) of the texts that links connect."""
     linked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -103,26 +133,35 @@ def labelled(links: DataFrame, texts: DataFrame) -> DataFrame:
 def classes(texts: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, label): the component of each text that has a near copy.
 
-    First all texts of a key are compared with one of them. Those of a key that are not connected by then are compared
-    pair by pair, but for pairs within the largest component of the key, which need no link. So the near copies of
-    one text cost about as much as their number, and nothing is left out.
+    First all texts of a key are compared with one of them. Where that leaves several components, those outside the
+    largest are compared with another text of it, ``TURNS`` times, so the near copies of one text cost about as
+    much as their number. Texts that are still apart, and have too many shingles of their own to be similar to
+    any, need no comparison; the others are compared pair by pair, but for pairs within the largest component of a key.
+    Nothing is left out.
     """
     every = texts.select(F.explode("keys").alias("key"), "node", "size")
     first = F.min(F.struct("node", "size"))
     shared = materialise(every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), first.alias("first")).where("n > 1").select("key", "first"), "near-keys")
     held = materialise(every.join(shared, "key"), "near-members")
-    star = held.where((F.col("node") > F.col("first.node")) & could_be(F.col("size"), F.col("first.size"))).select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
-    links = confirmed(star, texts, rows)
-    state = labelled(links, texts)
-    held = held.join(state.select("node", F.col("label.node").alias("root")), "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
-    held = materialise(held, "near-members")
-    roots = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    split = roots.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", "n").alias("largest")).where("roots > 1")
-    split = materialise(split.select("key", "largest"), "near-split")
-    few = held.join(split, "key").where("root <> largest").select("key", F.col("node").alias("one"), F.col("size").alias("one_size"), F.col("root").alias("one_root"))
-    rest = held.join(split, "key", "left_semi").join(few, "key").where((F.col("root") != F.col("one_root")) & could_be(F.col("size"), F.col("one_size")))
-    pairs = rest.select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = confirmed(pairs, texts, rows)
+    sets = shingle_sets(texts.join(held.select("node").distinct(), "node", "left_semi"), rows)
+    star = held.where((F.col("node") > F.col("first.node")) & could_be(F.col("size"), F.col("first.size")))
+    links = confirmed(star.select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct(), sets)
+    held = unsettled(held, links, texts)
+    one = [F.col("node").alias("one"), F.col("size").alias("one_size"), F.col("root").alias("one_root")]
+    pair = [F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")]
+    for turn in range(TURNS):
+        if held.isEmpty():
+            return labelled(links, texts)
+        order = F.xxhash64("node", F.lit(turn))
+        others = held.where("root = largest").groupBy("key").agg(F.min_by(F.struct("node", "size"), order).alias("other"))
+        star = held.where("root <> largest").join(others.select("key", F.col("other.node").alias("one"), F.col("other.size").alias("one_size")), "key")
+        more = confirmed(star.where(could_be(F.col("size"), F.col("one_size"))).select(*pair).distinct(), sets)
+        links = materialise(links.unionByName(more), "near-links")
+        held = unsettled(held, links, texts)
+    held = materialise(can_be_similar(held, sets), "near-members")
+    few = held.where("root <> largest").select("key", *one)
+    rest = held.join(few, "key").where((F.col("root") != F.col("one_root")) & could_be(F.col("size"), F.col("one_size")))
+    more = confirmed(rest.select(*pair).distinct(), sets)
     return labelled(materialise(links.unionByName(more), "near-links"), texts)
 
 
