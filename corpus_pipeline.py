@@ -32,9 +32,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents as often as the curriculum takes them (up to three times), in training order."""
+    """Whole documents as often as the curriculum takes them (up to three times).
+
+    They are not sorted by position: the columns of documents have no place for it, and the next stage gives each
+    row a slot of its own.
+    """
     mixed = mixing.curriculum(docs, word_count(F.col("text")), cut=False)
-    return mixing.in_order(mixed).select(*docs.columns)
+    return mixed.select(*docs.columns, F.explode("positions").alias("__position")).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
