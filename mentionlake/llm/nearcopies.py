@@ -99,12 +99,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def unsettled(held: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
-    """The members of the keys that ``links`` leave in several components, with their ``root`` and the ``largest`` root of the key."""
+    """The members of the keys that ``links`` leave in several components, with their ``root`` and the ``largest`` root of the key.
+
+    The two members of a key that has no more have been compared, so nothing is left to do there.
+    """
     state = labelled(links, texts).select("node", F.col("label.node").alias("root"))
     held = held.select("key", "node", "size").join(state, "node", "left").select("key", "node", "size", F.coalesce("root", "node").alias("root"))
     held = materialise(held, "near-members")
     roots = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    split = roots.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", "n").alias("largest")).where("roots > 1")
+    split = roots.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.sum("n").alias("nodes"), F.max_by("root", "n").alias("largest"))
+    split = split.where("roots > 1 AND nodes > 2")
     return materialise(held.join(materialise(split.select("key", "largest"), "near-split"), "key"), "near-members")
 
 
