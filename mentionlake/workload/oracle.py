@@ -384,6 +384,48 @@ VIEWS["resolved_by_blocks"] = """
           m.product_name) END AS found_product
     FROM raw_mentions m JOIN brands_by_blocks r ON m.brand_name = r.raw"""
 
+
+def _then(value: str, step: str) -> str:
+    """The expression ``step`` over ``h``, the value so far."""
+    return f"list_transform([{value}], lambda h: {step})[1]"
+
+
+def _times(value: str, factor: str) -> str:
+    return f"(({value}) * {factor}::UBIGINT % 4294967296)"
+
+
+def _rotated(value: str, bits: int) -> str:
+    return f"(({value}) * {2 ** bits}::UBIGINT % 4294967296 + ({value}) // {2 ** (32 - bits)})"
+
+
+def murmur(columns: list[str], source: str = "mentions") -> str:
+    """The rows with ``murmur``, a 32-bit Murmur3 (seed 42) over the UTF-8 bytes of the columns in turn, signed; nulls are skipped.
+
+    Whole words of four bytes come first, then the bytes that are left, one by one as signed numbers.
+    """
+    # Fixed values of the hash.
+    first, second, added, mixers = "3432918353", "461845907", "3864292196", ("2246822507", "3266489909")
+    key = _times(_then(_times("x", first), _rotated("h", 15)), second)
+    step = "(" + _then(f"xor(acc, {key})", _rotated("h", 13)) + f" * 5 + {added}::UBIGINT) % 4294967296"
+    rows = f"(SELECT *, 42::UBIGINT AS _hash FROM {source})"
+    for column in columns:
+        code = f"hex(encode({column}))"
+        bytes_ = f"(length({code}) // 2)"
+        word = " || ".join(f"substr({code}, 8 * i + {p}, 2)" for p in (7, 5, 3, 1))
+        words = f"list_transform(range({bytes_} // 4), lambda i: ('0x' || {word})::UBIGINT)"
+        byte = f"('0x' || substr({code}, 2 * i + 1, 2))::UBIGINT"
+        tail = (
+            f"list_transform(range({bytes_} // 4 * 4, {bytes_}), lambda i: "
+            f"CASE WHEN {byte} < 128 THEN {byte} ELSE {byte} + 4294967040::UBIGINT END)"
+        )
+        mixed = f"xor(list_reduce(list_concat({words}, {tail}), lambda acc, x: {step}, _hash), {bytes_}::UBIGINT)"
+        mixed = _times(_then(mixed, "xor(h, h // 65536)"), mixers[0])
+        mixed = _times(_then(mixed, "xor(h, h // 8192)"), mixers[1])
+        mixed = _then(mixed, "xor(h, h // 65536)")
+        rows = f"(SELECT * REPLACE (CASE WHEN {column} IS NULL THEN _hash ELSE {mixed} END AS _hash) FROM {rows})"
+    return f"(SELECT *, CASE WHEN _hash < 2147483648 THEN _hash::BIGINT ELSE _hash::BIGINT - 4294967296 END AS murmur FROM {rows})"
+
+
 SQL: dict[str, str] = {
     "landing_roundtrip": _LANDED,
     "landing_roundtrip_comments": f"""
@@ -433,6 +475,9 @@ SQL: dict[str, str] = {
           CASE WHEN turn % 4 <> 0 THEN text ELSE '' END AS body, {START} + conv_id AS created_utc,
           turn = 1 AS is_submitter, CAST(turn AS INTEGER) AS depth, 'https://reddit.com' AS permalink
         FROM conversations""",
+    "analysis_id_murmur": f"""
+        SELECT comment_id, CAST(murmur AS VARCHAR) AS analysis_id
+        FROM {murmur(["comment_id", "brand_name", "product_name", "aspect"])}""",
     "analysis_id_sha": "SELECT comment_id, brand_name, product_name, aspect, analysis_id FROM mentions",
     "comment_subreddit": "SELECT id, link_id, subreddit FROM comments_silver",
     "comment_context": "SELECT * FROM context",

@@ -103,3 +103,19 @@ def test_functions_are_not_python_udfs(spark):
     df = spark.range(3).select(F.col("id").cast("string").alias("t"))
     plan = df.select(text.comment_usable("t"), ids.analysis_id("t", "t", "t", "t", "t"))._jdf.queryExecution().toString()
     assert "Python" not in plan
+
+
+def test_short_id_by_bytes(spark):
+    # Whole words, single bytes left over, bytes above 127, nulls and empty texts, on both engines.
+    import duckdb
+
+    from mentionlake.workload.oracle import murmur
+
+    parts = [None, "", "a", "abcd", "abcde", "é", "漢字かな", "😀 x", "x" * 37, "ÿ\u007f"]
+    data = [(i, a, b) for i, (a, b) in enumerate((a, b) for a in parts for b in parts)]
+    got = spark.createDataFrame(data, "i int, a string, b string").select("i", ids.analysis_id_murmur("a", "b", "a", "b"))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pairs (i INTEGER, a VARCHAR, b VARCHAR)")
+    con.executemany("INSERT INTO pairs VALUES (?, ?, ?)", data)
+    want = con.execute(f"SELECT i, CAST(murmur AS VARCHAR) FROM {murmur(['a', 'b', 'a', 'b'], 'pairs')}").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
