@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mentionlake.functions.paths import subreddit_of
+from mentionlake.sources.tables import write_once
 
 RANGES = (
     "earliest_submission_created_utc", "latest_submission_created_utc",
@@ -126,6 +127,13 @@ def quality_metric_rows(ratios: DataFrame) -> DataFrame:
     return rows.withColumns({"scope": F.lit("AGGREGATE"), "subreddit": F.lit(None).cast("string")})
 
 
+def record(
+    rows: DataFrame, table: str, environment: str, job: str, process_date: str | None, run_id: str
+) -> None:
+    """Write a run's rows to the metrics table; a run id that occurs again replaces its rows."""
+    write_once(as_recorded(rows, environment, job, process_date, run_id), table, {"job": job, "run_id": run_id})
+
+
 def as_recorded(
     rows: DataFrame, environment: str, job: str, process_date: str | None, run_id: str
 ) -> DataFrame:

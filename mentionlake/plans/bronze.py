@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,25 +16,25 @@ from mentionlake.operators.merge import merge_into_table
 from mentionlake.plans.layout import Lake
 from mentionlake.session import Save, staging
 from mentionlake.sources.landing import read_landing, split_corrupt
-from mentionlake.sources.tables import append
+from mentionlake.sources.tables import write_once
 
 KINDS = ("submissions", "comments")
 TIEBREAK = ("source_sort_type", "source_file")
 
 
 def land_batch(
-    spark: SparkSession, lake: Lake, kind: str, landed: DataFrame, save: Save
+    spark: SparkSession, lake: Lake, kind: str, landed: DataFrame, save: Save, source: str
 ) -> tuple[DataFrame, list[str]]:
     """Bring landed rows of one kind into bronze.
 
     Returns the latest row per id of this batch and the dates rewritten in bronze.
-    The parsed lines are written once, so the files are parsed once.
+    The parsed lines are written once, so the files are parsed once. ``source`` names what was read: rejected lines
+    replace those that the same source and kind left before.
     """
     good, bad = split_corrupt(save(landed.drop("awards"), f"landed-{kind}"))
     batch = save(latest_per_key(good, "id", "updated_at", TIEBREAK), f"batch-{kind}")
     touched = merge_into_table(spark, lake.bronze_table(kind), batch, "id", "updated_at", one_per_key=True)
-    if not bad.isEmpty():
-        append(bad, lake.quarantine)
+    write_once(bad, lake.quarantine, {"batch": f"{kind}-{source}"})
     return batch, touched
 
 
@@ -52,15 +53,17 @@ def run_bronze(
     batches, touched = {}, set()
     with staging(spark, "bronze") as save:
         for kind in KINDS:
-            landed = read_landing(spark, landing_root, kind, process_date, (file_globs or {}).get(kind))
-            batches[kind], dates = land_batch(spark, lake, kind, landed, save)
+            file_glob = (file_globs or {}).get(kind)
+            landed = read_landing(spark, landing_root, kind, process_date, file_glob)
+            place = hashlib.sha256(f"{landing_root.rstrip('/')}\n{file_glob or ''}".encode()).hexdigest()[:16]
+            source = f"{process_date or 'ALL'}-{place}"
+            batches[kind], dates = land_batch(spark, lake, kind, landed, save, source)
             touched.update(dates)
         merged = merge_metrics(
             metrics.submission_metrics(batches["submissions"]), metrics.comment_metrics(batches["comments"])
         )
         rows = metrics.run_metric_rows(merged).unionByName(_rows_after(spark, lake))
-        run = run_id or uuid.uuid4().hex
-        append(metrics.as_recorded(rows, lake.environment, "bronze", process_date, run), lake.metrics)
+        metrics.record(rows, lake.metrics, lake.environment, "bronze", process_date, run_id or uuid.uuid4().hex)
     return sorted(touched)
 
 

@@ -68,8 +68,8 @@ def create_tables(spark: SparkSession, lake: Lake) -> None:
         lake.silver_table("comments"): (schemas.COMMENTS_SILVER, ["partition_date"]),
         lake.sentiment: (schemas.SENTIMENT, ["date_partition"]),
         lake.analysed: (schemas.ANALYSED_LEDGER, ["date_partition"]),
-        lake.metrics: (schemas.METRICS, []),
-        lake.quarantine: (schemas.QUARANTINE, ["partition_date"]),
+        lake.metrics: (schemas.METRICS, ["job", "run_id"]),
+        lake.quarantine: (schemas.QUARANTINE, ["batch"]),
     }
     for name, (schema, keys) in tables.items():
         by_comment = ("comment_id", lake.comment_buckets) if name in (lake.sentiment, lake.analysed) else None

@@ -104,5 +104,5 @@ def run_sentiment(
         "scope string, subreddit string, metric string, value double, unit string",
     )
     label, run = ",".join(dates) if dates else None, run_id or uuid.uuid4().hex
-    append(metrics.as_recorded(counted, lake.environment, "silver_sentiment", label, run), lake.metrics)
+    metrics.record(counted, lake.metrics, lake.environment, "silver_sentiment", label, run)
     return analysed

@@ -12,7 +12,7 @@ from mentionlake.operators import metrics
 from mentionlake.operators.context import silver_comments
 from mentionlake.operators.quality import silver_submissions, usable_ratio
 from mentionlake.plans.layout import Lake
-from mentionlake.sources.tables import append, clear_partitions, overwrite_partitions, partition_values
+from mentionlake.sources.tables import clear_partitions, overwrite_partitions, partition_values
 
 
 def of_dates(df: DataFrame, dates: Sequence[str] | None, column: str = "partition_date") -> DataFrame:
@@ -53,7 +53,7 @@ def run_silver_core(
     )
     label = ",".join(dates) if dates else None
     rows = metrics.quality_metric_rows(ratios)
-    append(metrics.as_recorded(rows, lake.environment, "silver_core", label, run_id or uuid.uuid4().hex), lake.metrics)
+    metrics.record(rows, lake.metrics, lake.environment, "silver_core", label, run_id or uuid.uuid4().hex)
     return True
 
 

@@ -93,5 +93,5 @@ METRICS = struct(
 
 QUARANTINE = struct(
     ("reason", STRING), ("line", STRING), ("source_file", STRING),
-    ("ingestion_timestamp", TIME), ("partition_date", STRING),
+    ("ingestion_timestamp", TIME), ("partition_date", STRING), ("batch", STRING),
 )

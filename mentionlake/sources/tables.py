@@ -113,14 +113,36 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
     _insert(df, name, overwrite=True)
 
 
+def write_once(df: DataFrame, name: str, key: dict[str, str]) -> None:
+    """Write the rows of one batch or run, in place of those that an earlier attempt at it left.
+
+    ``key`` gives the values of the table's partition columns; each batch has a partition of its own. A batch without
+    rows leaves none, also where an earlier attempt had some.
+    """
+    spark = df.sparkSession
+    if set(partition_columns(spark, name)) != set(key):
+        raise ValueError(f"{name} is not partitioned by {', '.join(key)}")
+    rows = df.withColumns({column: F.lit(value) for column, value in key.items()})
+    if not rows.isEmpty():
+        overwrite_partitions(rows, name)
+        return
+    spec = ", ".join(f"`{column}` = {quoted(value)}" for column, value in key.items())
+    if not spark.sql(f"SHOW PARTITIONS {name} PARTITION ({spec})").isEmpty():
+        _clear(spark, name, [f"PARTITION ({spec})"])
+
+
 def clear_partitions(spark: SparkSession, name: str, values: Sequence[str]) -> None:
     """Empty single partitions, files included, and drop them from the catalog."""
     if not values:
         return
     (key,) = partition_columns(spark, name)
-    columns = [f for f in spark.table(name).schema.fields if f.name != key]
+    _clear(spark, name, [f"PARTITION (`{key}` = {quoted(value)})" for value in values])
+
+
+def _clear(spark: SparkSession, name: str, specs: Sequence[str]) -> None:
+    keys = partition_columns(spark, name)
+    columns = [f for f in spark.table(name).schema.fields if f.name not in keys]
     nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in columns)
-    specs = [f"PARTITION (`{key}` = {quoted(value)})" for value in values]
     for spec in specs:
         spark.sql(f"INSERT OVERWRITE TABLE {name} {spec} SELECT {nothing} FROM range(0)")
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(specs)}")

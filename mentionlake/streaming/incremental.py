@@ -48,14 +48,22 @@ def ingest_incremental(
 ) -> list[str]:
     """Upsert the files that arrived since the last run; returns the dates rewritten.
 
-    A batch replayed after a failure changes nothing, as the upsert only takes
-    newer versions; only its rejected lines may be recorded twice.
+    A batch replayed after a failure changes nothing: the upsert only takes newer versions, and rejected lines replace
+    those of the batch's first attempt. A checkpoint started anew is another source.
     """
     touched: set[str] = set()
 
-    def each(batch: DataFrame, _: int) -> None:
-        with staging(batch.sparkSession, "incremental") as save:
-            touched.update(land_batch(batch.sparkSession, lake, kind, batch, save)[1])
+    def each(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        # The id that the checkpoint keeps, so that a restart has it too.
+        stream = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        with staging(session, "incremental") as save:
+            touched.update(land_batch(session, lake, kind, batch, save, f"stream-{stream}-{number}")[1])
 
-    drain(landing_stream(spark, root, kind, file_glob, max_files), checkpoint, each)
+    try:
+        drain(landing_stream(spark, root, kind, file_glob, max_files), checkpoint, each)
+    finally:
+        # Batches run in a session of their own; this one may have listed the files before.
+        for table in (lake.bronze_table(kind), lake.quarantine):
+            spark.catalog.refreshTable(table)
     return sorted(touched)

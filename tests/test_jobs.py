@@ -172,6 +172,57 @@ def test_incremental_equals_batch(spark, lake, tmp_path, rows, max_files):
     assert rows(spark.table(lake.bronze_table("submissions")).drop("ingestion_timestamp")) == before
 
 
+def test_a_replayed_batch_replaces_its_rejected_lines(spark, lake, tmp_path, rows, monkeypatch):
+    from mentionlake.streaming import incremental
+
+    root, progress = first_day(tmp_path), str(tmp_path / "progress")
+    land = incremental.land_batch
+
+    def stop_after_writing(*args):
+        land(*args)
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(incremental, "land_batch", stop_after_writing)
+    with pytest.raises(Exception, match="stopped"):
+        ingest_incremental(spark, lake, root, "submissions", progress)
+    rejected = rows(spark.table(lake.quarantine), "reason", "line", "batch")
+    assert [r[:2] for r in rejected] == [("malformed", "broken")] and "None" not in rejected[0][2]
+    monkeypatch.setattr(incremental, "land_batch", land)
+    bronze = rows(spark.table(lake.bronze_table("submissions")).drop("ingestion_timestamp"))
+    # The dates are told again, since the answer of the first attempt was lost.
+    assert ingest_incremental(spark, lake, root, "submissions", progress) == ["05-01-2024"]
+    assert rows(spark.table(lake.quarantine), "reason", "line", "batch") == rejected
+    assert rows(spark.table(lake.bronze_table("submissions")).drop("ingestion_timestamp")) == bronze
+
+
+def test_a_repeated_run_replaces_its_rows(spark, lake, tmp_path, rows):
+    root, states = first_day(tmp_path), []
+    for _ in range(2):
+        run_bronze(spark, lake, root, "05-01-2024", run_id="r1")
+        run_silver_core(spark, lake, ["05-01-2024"], run_id="r1")
+        states.append(rows(spark.table(lake.metrics).drop("recorded_at").fillna("")))
+        assert rows(spark.table(lake.quarantine), "reason", "line") == [("malformed", "broken")]
+    assert states[0] == states[1] and {r.job for r in spark.table(lake.metrics).collect()} == {"bronze", "silver_core"}
+    run_bronze(spark, lake, root, "05-01-2024", run_id="r2")
+    assert spark.table(lake.metrics).filter("run_id = 'r1'").count() == len(states[0])
+
+
+def test_write_once(spark, lake, rows):
+    from mentionlake.sources.tables import write_once
+
+    bad = spark.createDataFrame([("no_id", "{}", "f", "01-01-2024")], "reason string, line string, source_file string, partition_date string")
+    bad = bad.selectExpr("*", "current_timestamp() AS ingestion_timestamp")
+    for batch in ("it's 1/2", "b"):
+        write_once(bad.union(bad), lake.quarantine, {"batch": batch})
+        write_once(bad, lake.quarantine, {"batch": batch})
+    assert rows(spark.table(lake.quarantine), "batch", "line") == [("b", "{}"), ("it's 1/2", "{}")]
+    for _ in range(2):  # the same batch without rows
+        write_once(bad.limit(0), lake.quarantine, {"batch": "it's 1/2"})
+        assert rows(spark.table(lake.quarantine), "batch", "line") == [("b", "{}")]
+    with pytest.raises(ValueError, match="not partitioned"):
+        write_once(bad, lake.quarantine, {"reason": "x"})
+
+
 def test_checkpoints(spark, lake):
     def save(*records):
         save_checkpoint(spark, lake, spark.createDataFrame(list(records), CHECKPOINTS))
