@@ -1,9 +1,8 @@
 """A class-based bigram model: P(word | before) = P(class | class before) P(word | class), with classes found by exchange.
 
-Texts are split once into chunks of word numbers. Words are exchanged between classes in rounds: each gathers for each word the classes
-on its left and right in a slice of the texts, each slice in turn, and moves it where the likelihood of class bigrams gains most. After the first
-round half of the words may move in each, so that words do not chase each other, and fewer after a round that lowered the likelihood,
-which is undone. Words below a frequency that keeps the table of classes small form one class of their own; each of them has its count, which a join brings.
+Texts are split once into chunks of word numbers. Words are exchanged between classes in rounds: each takes a share of the words in turn, gathers the
+classes on their left and right in all training texts, and moves each word where the likelihood of class bigrams gains most. Words of one share only move at
+once, so that they do not chase each other, and fewer after a round that lowered the likelihood, which is undone. Words below a frequency that keeps the table of classes small form one class of their own; each of them has its count, which a join brings.
 
 Emissions are discounted, and a class gives what it saves to words never seen, so the probabilities of all known words and of one unknown word sum to
 one. After an unknown word the model goes on as after rare words. Transitions are drawn towards the frequencies of classes.
@@ -19,7 +18,6 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from mentionlake.llm.common import crc_of_id
 from mentionlake.llm.phrases import numbered
@@ -29,15 +27,15 @@ from mentionlake.session import Save, materialise, ship_package, staging
 #: Class 0 is the end of a text, the last one that of the words outside the exchange.
 CLASSES, ROUNDS = 64, 8
 END, TAIL, UNKNOWN = 0, CLASSES - 1, CLASSES
-#: Seed of the hash that Spark has as ``xxhash64``.
-HASH_SEED = 42
 #: So many words take part in the exchange at most: those that occur a power of two of times or more.
 HEAD = 1 << 20
 #: Weight of the frequencies of classes in each transition.
 PRIOR = 64.0
 CHUNK_BYTES = 4 << 20
-#: A round of the exchange looks at the neighbours in one of so many slices of the texts, in turn.
-SLICES = 4
+#: One of so many words may move in a round of the exchange, in turn. Its neighbours are counted in all texts.
+SHARES = 2
+#: What an entry adds to the likelihood is looked up for counts below this.
+SMALL = 16
 #: Keys that a task holds before it hands them on.
 HELD_KEYS = 1 << 21
 #: Widths of counts, in bytes.
@@ -97,9 +95,8 @@ class Head(NamedTuple):
     counts: np.ndarray
     rare: np.ndarray
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """-1 for words that are not here."""
-        h = np.array([xxh64_intdigest(w, HASH_SEED) for w in words], np.uint64).view(np.int64)
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """Of words by their hashes; -1 for those that are not here."""
         at = np.searchsorted(self.hashes, h)
         at[at == len(self.hashes)] = 0
         return np.where(self.hashes[at] == h, at, -1) if len(self.hashes) else np.full(len(h), -1)
@@ -125,17 +122,17 @@ def coded(found: DataFrame, head: Head) -> DataFrame:
         for batch in batches:
             codes, tails = [], []
             for row in rows_of(batch):
-                words = row["words"].values.to_pylist()
-                number = shared.value.numbers(words)
+                number = shared.value.numbers(row["hashes"].values.to_numpy())
                 outside = np.flatnonzero(number < 0)
                 number[outside] = -2 - np.arange(len(outside))
                 codes.append(np.append(number, -1)[np.frombuffer(row["codes"].as_py(), np.int32)].astype(np.int32).tobytes())
-                tails.append([words[i] for i in outside])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(codes, pa.binary()), pa.array(tails, pa.list_(pa.binary()))], names=["chunk", "ids", "held", "codes", "tail"])
+                tails.append(row["words"].values.take(pa.array(outside)).cast(pa.binary()))
+            tail = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(t) for t in tails])), pa.int32()), pa.concat_arrays(tails))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes, pa.binary()), tail], names=["chunk", "ids", "held", "codes", "tail"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", codes binary, tail array<binary>"
-    return found.select("chunk", "ids", "held", "words", "codes").mapInArrow(run, schema)
+    hashes = F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")
+    return found.select("chunk", "ids", "held", "words", "codes", hashes).mapInArrow(run, schema)
 
 
 class Chunk:
@@ -208,7 +205,11 @@ def best_classes(counts: np.ndarray, word: np.ndarray, slot: np.ndarray, n: np.n
     both = np.concatenate([m, m.T])
     done = entropy_terms(both)
     n = n.astype(np.float64)
-    out = entropy_terms(both[slot] + n[:, None]) - done[slot]
+    # Most counts are small: what they add to a class and a slot is worked out once.
+    small = np.stack([entropy_terms(both + k) - done for k in range(SMALL)]).reshape(SMALL * 2 * CLASSES, CLASSES)
+    out = small[np.minimum(n, SMALL - 1).astype(np.int64) * 2 * CLASSES + slot]
+    large = np.flatnonzero(n >= SMALL)
+    out[large] = entropy_terms(both[slot[large]] + n[large, None]) - done[slot[large]]
     of = now[word]
     each = np.arange(len(of))
     own = both[slot, of]
@@ -247,18 +248,32 @@ def packed(words: np.ndarray, slots: np.ndarray, n: np.ndarray) -> Iterator[tupl
 
 def unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The number of the row, the slot and the count of each entry."""
-    slots, counts = table["slots"].to_pylist(), table["counts"].to_pylist()
-    widths = np.array([len(c) // len(s) for s, c in zip(slots, counts, strict=True)], np.int64)
+    (slots, of_slots), (counts, of_counts) = _bytes_of(table["slots"]), _bytes_of(table["counts"])
+    widths = of_counts // of_slots
     found = []
     for width, kind in WIDTHS.items():
-        rows = np.flatnonzero(widths == width)
-        slot = np.frombuffer(b"".join(slots[i] for i in rows), np.uint8)
-        found.append((np.repeat(rows, [len(slots[i]) for i in rows]), slot, np.frombuffer(b"".join(counts[i] for i in rows), kind).astype(np.int64)))
+        here = widths == width
+        n = counts[np.repeat(here, of_counts)].view(kind).astype(np.int64)
+        found.append((np.repeat(np.flatnonzero(here), of_slots[here]), slots[np.repeat(here, of_slots)], n))
     return tuple(np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True))
 
 
-def neighbours(found: DataFrame, head: np.ndarray, part: int) -> DataFrame:
-    """(word, slots, counts): how often the classes occur beside each word of the exchange in one slice of the texts."""
+def _bytes_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values of a binary column, and how many each value has."""
+    values = pa.concat_arrays([c.cast(pa.binary()) for c in column.chunks]) if column.num_chunks else pa.array([], pa.binary())
+    _, ends, data = values.buffers()
+    ends = np.frombuffer(ends, np.int32)[values.offset : values.offset + len(values) + 1] if len(values) else np.zeros(1, np.int32)
+    data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    return data, np.diff(ends).astype(np.int64)
+
+
+def movable(words: np.ndarray, turn: int, every: int) -> np.ndarray:
+    """Which words, by number, may move in a round."""
+    return (words + turn) % every == 0
+
+
+def neighbours(found: DataFrame, head: np.ndarray, turn: int, every: int) -> DataFrame:
+    """(word, slots, counts): how often the classes occur in the training texts beside each word that may move in this round."""
     shared = found.sparkSession.sparkContext.broadcast(head)
     width = 2 * CLASSES
 
@@ -279,7 +294,7 @@ def neighbours(found: DataFrame, head: np.ndarray, part: int) -> DataFrame:
                 chunk = Chunk(row)
                 before, here = chunk.classes(shared.value)
                 after = np.append(here[1:], END)
-                t = chunk.trained & (chunk.codes >= 0) & np.repeat(np.arange(len(chunk.stops)) % SLICES == part, chunk.lengths)
+                t = np.flatnonzero(chunk.trained & (chunk.codes >= 0) & movable(chunk.codes, turn, every))
                 word = chunk.codes[t].astype(np.int64)
                 held.append(np.unique(np.concatenate([word * width + before[t], word * width + CLASSES + after[t]]), return_counts=True))
                 if sum(len(k) for k, _ in held) >= HELD_KEYS:
@@ -332,24 +347,19 @@ def exchange(found: DataFrame, words: Head, rounds: int = ROUNDS) -> tuple[np.nd
     each of ``HEAD`` words at most. The most frequent words begin with a class each."""
     head = np.zeros(len(words.counts), np.uint8)
     head[np.lexsort((words.hashes, -words.counts))] = np.arange(len(head)) % (CLASSES - 2) + 1
-    best, score, every = (head, np.zeros(0)), -np.inf, 1
+    best, score, every = (head, np.zeros(0)), -np.inf, SHARES
     for turn in range(rounds + 1):
         counts = bigrams(found, head, words.rare)
         if likelihood(counts) > score:
             best, score = (head, counts), likelihood(counts)
-            # All may move at first, then every other word in turn.
-            every = max(every, min(2, turn + 1))
         else:
             # Words that moved together spoil each other's gain: go back, and let fewer move at once.
             (head, counts), every = best, every * 2
         if turn == rounds:
             break
-        moved = chosen(neighbours(found, head, turn % SLICES), counts, head)
-        rows = moved.toArrow()
-        word, to = rows["word"].to_numpy(), rows["class"].to_numpy()
-        free = (word + turn) % every == 0
+        rows = chosen(neighbours(found, head, turn, every), counts, head).toArrow()
         head = head.copy()
-        head[word[free]] = to[free]
+        head[rows["word"].to_numpy()] = rows["class"].to_numpy()
     return best
 
 

@@ -135,3 +135,22 @@ def test_nothing_to_learn_from_and_no_rows(spark):
     check_base(only_held, found)
     assert {r.score for r in found} == {0.0}
     assert classlm.log_probabilities(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_neighbours_are_counted_in_all_training_texts(spark):
+    rows = made(6, docs=90)
+    held = classlm.F.coalesce(classlm.crc_of_id("doc_id") % 7 == 2, classlm.F.lit(False))
+    df = spark.createDataFrame(rows, SCHEMA)
+    with classlm.staging(spark, "test-classlm") as save:
+        raw = save(classlm.chunks(df, "doc_id", "text", held), "chunks")
+        words, _ = classlm.exchanged(classlm.vocabulary(raw, save))
+        found = save(classlm.coded(raw, words), "coded")
+        head = (np.arange(len(words.counts)) % 62 + 1).astype(np.uint8)
+        counted = Counter()
+        for turn in range(classlm.SHARES):
+            table = classlm.neighbours(found, head, turn, classlm.SHARES).toArrow()
+            row, _, n = classlm.unpacked(table)
+            for w, k in zip(table["word"].to_numpy()[row], n, strict=True):
+                counted[int(w)] += int(k)
+    # Each occurrence of a word has a neighbour on either side.
+    assert counted == Counter({w: 2 * int(c) for w, c in enumerate(words.counts)})
