@@ -132,6 +132,8 @@ WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 #: Words of the longest lexicon entry.
 LONGEST_ENTRY = 8
+#: A lexicon of at most so many entries is sent to every task; a larger one meets the words in a salted join.
+SENT_ENTRIES = 1 << 16
 
 
 def entry_hits(context: DataFrame, lexicon: DataFrame, longest: int = LONGEST_ENTRY) -> DataFrame:
@@ -148,10 +150,21 @@ def entry_hits(context: DataFrame, lexicon: DataFrame, longest: int = LONGEST_EN
     entry = F.filter(F.split(F.lower("token"), WORD_BREAK), lambda w: w != "")
     checked = F.when(F.size(entry) > longest, F.raise_error(F.concat(F.lit("lexicon entry too long: "), F.col("token")))).otherwise(entry)
     entries = lexicon.select(checked.alias("_entry"), "kind", "value", "weight").where(F.size("_entry") > 0).withColumn("_word", F.element_at("_entry", 1))
-    hits = lookup(placed, "token", entries, "_word").where(F.slice("ahead", F.lit(1), F.size("_entry")) == F.col("_entry"))
-    found = hits.select("comment_id", "kind", F.struct("pos", (-F.size("_entry")).alias("less"), "value", "weight").alias("m"))
-    gathered = found.groupBy("comment_id", "kind").agg(F.array_sort(F.collect_list("m")).alias("ms"))
-    # The matches of one comment and kind, from left to right, the longest of a place first.
+    if lexicon.limit(SENT_ENTRIES + 1).count() <= SENT_ENTRIES:
+        met = placed.join(F.broadcast(entries.withColumnRenamed("token", "_token")), F.col("token") == F.col("_word"))
+    else:
+        met = lookup(placed, "token", entries, "_word")
+    hits = met.where(F.slice("ahead", F.lit(1), F.size("_entry")) == F.col("_entry"))
+    # All matches of a comment come together once; what follows is grouped by comment as well, and moves nothing.
+    one = F.struct("kind", F.struct("pos", (-F.size("_entry")).alias("less"), "value", "weight").alias("m"))
+    gathered = hits.select("comment_id", one.alias("hit")).groupBy("comment_id").agg(F.collect_list("hit").alias("hits"))
+
+    def matches(kind: Column) -> Column:
+        """Of one kind, from left to right, the longest of a place first."""
+        return F.array_sort(F.transform(F.filter("hits", lambda h: h["kind"].eqNullSafe(kind)), lambda h: h["m"]))
+
+    of_kinds = F.transform(F.array_distinct(F.col("hits.kind")), lambda kind: F.struct(kind.alias("kind"), matches(kind).alias("ms")))
+    each_kind = gathered.select("comment_id", F.explode(of_kinds).alias("k")).select("comment_id", "k.kind", "k.ms")
     nothing = F.struct(F.lit(-1).alias("start"), F.lit(0).alias("less"), F.lit(0).alias("end"), F.slice("ms", F.lit(1), F.lit(0)).alias("kept"))
 
     def step(state: Column, m: Column) -> Column:
@@ -160,7 +173,7 @@ def entry_hits(context: DataFrame, lexicon: DataFrame, longest: int = LONGEST_EN
         return F.when(stands, taken).otherwise(state)
 
     kept = F.aggregate("ms", nothing, step)["kept"]
-    return gathered.select("comment_id", "kind", F.explode(kept).alias("m")).select("comment_id", "kind", "m.pos", "m.value", "m.weight")
+    return each_kind.select("comment_id", "kind", F.explode(kept).alias("m")).select("comment_id", "kind", "m.pos", "m.value", "m.weight")
 
 
 def lexicon_mentions(context: DataFrame, lexicon: DataFrame) -> DataFrame:
@@ -172,7 +185,7 @@ def lexicon_mentions(context: DataFrame, lexicon: DataFrame) -> DataFrame:
     there is none), and the first product word names the product. A mention is a
     (brand, product, aspect) of a comment with the mean of its polarity words.
 
-    Words that begin no entry are dropped by the join before anything is shuffled.
+    Words that begin no entry are dropped before anything is shuffled, if the lexicon has at most ``SENT_ENTRIES`` entries.
     """
     hits = entry_hits(context, lexicon)
 

@@ -165,3 +165,20 @@ def test_an_entry_that_is_too_long_is_an_error(spark):
     lexicon = spark.createDataFrame([("a b c", "brand", "x", None)], "token string, kind string, value string, weight double")
     with pytest.raises(Exception, match="lexicon entry too long"):
         extract.entry_hits(spark.createDataFrame([("c", "a b c")], "comment_id string, body string"), lexicon, longest=2).collect()
+
+
+def test_words_are_not_shuffled_and_matches_are_once(spark, monkeypatch, rows):
+    lexicon = spark.createDataFrame(PHRASES, "token string, kind string, value string, weight double")
+    texts = [(None if i == 3 else f"c{i % 4}", "acme galaxy s24 ultra case, battery life not good " * i) for i in range(6)]
+    bodies = spark.createDataFrame(texts, "comment_id string, body string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = extract.entry_hits(bodies, lexicon)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(comment_id" in plan
+        mentions = rows(extract.lexicon_mentions(bodies, lexicon))
+        monkeypatch.setattr(extract, "SENT_ENTRIES", 2)
+        assert rows(extract.entry_hits(bodies, lexicon)) == rows(found)
+        assert rows(extract.lexicon_mentions(bodies, lexicon)) == mentions
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
