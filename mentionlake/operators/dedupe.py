@@ -10,6 +10,10 @@ from pyspark.sql.types import MapType
 from pyspark.sql.window import Window
 
 from mentionlake.functions.ids import canonical_text
+from mentionlake.session import Save
+
+#: Bits of a map of rows: 2^20 numbers of 64 bits, which are broadcast.
+MAP_BITS = 1 << 26
 
 
 def row_digest(df: DataFrame) -> Column:
@@ -32,6 +36,51 @@ def latest_per_key(
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def _map_of(digests: DataFrame) -> DataFrame:
+    """(_word, _set): a bit for each ``_id``, 64 in a number."""
+    at = F.pmod("_id", F.lit(MAP_BITS).cast("long"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
+    return digests.select(F.floor(at / 64).alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_set"))
+
+
+def _marked(rows: DataFrame, bits: DataFrame, name: str) -> DataFrame:
+    """Add ``name``: whether the bit of a row's ``_id`` is set."""
+    at = F.pmod("_id", F.lit(MAP_BITS).cast("long"))
+    is_set = F.call_function("getbit", F.col("_set"), F.pmod(at, F.lit(64)).cast("int")) == 1
+    met = rows.withColumn("_at", F.floor(at / 64)).join(F.broadcast(bits), F.col("_at") == F.col("_word"), "left")
+    return met.withColumn(name, F.coalesce(is_set, F.lit(False))).drop("_at", "_word", "_set")
+
+
+def first_rows(save: Save, rows: DataFrame, keys: Sequence[str], told: dict[str, Column], order: Sequence[Column], label: str) -> DataFrame:
+    """The first row of each key, without a shuffle of whole rows where that can be told from a few columns.
+
+    ``told`` names what is compared; ``order`` refers to these names. They alone are shuffled and ranked. Bit maps of fixed size tell which rows may be a first one,
+    and which may be another one: a row in one map only is settled. Rows in both (some percent, as long as the maps have room) are ranked in full and held against
+    the first ones, so the answer is exact whatever the maps say. ``rows`` is read several times and should be a file scan without missing keys.
+    """
+    rows = rows.withColumns(told).withColumn("_id", F.xxhash64(*keys, *told))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    ranked = save(rows.select(*keys, *told, "_id").withColumn("_rank", rank).select(*keys, "_id", (F.col("_rank") == 1).alias("_first")), f"{label}-ranks")
+    others = ranked.where("NOT _first")
+    if others.isEmpty():
+        return rows.drop(*told, "_id")
+    first = ranked.where("_first")
+    other_map, first_map = (save(_map_of(of), f"{label}-{name}") for name, of in (("others", others), ("first", first)))
+    held = _marked(_marked(rows, other_map, "_other"), first_map, "_may_be_first")
+    settled = held.where("NOT _other").drop("_other", "_may_be_first")
+    open_ones = held.where("_other AND _may_be_first").drop("_other", "_may_be_first").withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    exact = open_ones.join(first.select(*keys, "_id"), [*keys, "_id"], "left_semi").select(*settled.columns)
+    return settled.unionByName(exact).drop(*told, "_id")
+
+
+def latest_rows(save: Save, rows: DataFrame, key: str | Sequence[str], version: str, tiebreak: Sequence[str] = (), label: str = "latest") -> DataFrame:
+    """``latest_per_key`` of a file scan without missing keys, which shuffles few whole rows."""
+    keys = [key] if isinstance(key, str) else list(key)
+    told = {"_version": F.col(version), **{f"_tie{i}": F.col(c) for i, c in enumerate(tiebreak)}, "_digest": row_digest(rows)}
+    order = [F.col("_version").desc_nulls_last(), *[F.col(f"_tie{i}") for i in range(len(tiebreak))], F.col("_digest")]
+    return first_rows(save, rows, keys, told, order, label)
+
+
 def top_n(
     df: DataFrame,
     by: str | Sequence[str],

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from mentionlake.operators.dedupe import latest_per_key, row_digest
+from mentionlake.operators.dedupe import first_rows, latest_per_key, row_digest
 from mentionlake.operators.keyindex import KeyIndex
-from mentionlake.session import delete_folder, path_exists
+from mentionlake.session import Save, delete_folder, path_exists, staging
 from mentionlake.sources.tables import clear_partitions, location_of, overwrite_partitions
 
 
@@ -49,6 +49,30 @@ def merge_latest(
     return winners.unionByName(both.filter(~has_key)).drop("_side")
 
 
+def merged_rows(
+    save: Save, target: DataFrame, source: DataFrame, keys: Sequence[str], version: str, tiebreak: Sequence[str] = ()
+) -> DataFrame:
+    """``merge_latest`` of file scans, which shuffles few whole rows. No source row is without a key."""
+    both = target.withColumn("_side", F.lit(0)).unionByName(source.withColumn("_side", F.lit(1)))
+    told = {
+        "_unversioned": (F.col("_side") == 0) & F.col(version).isNull(), "_version": F.col(version),
+        **{f"_tie{i}": F.col(c) for i, c in enumerate(tiebreak)}, "_digest": row_digest(source), "_of": F.col("_side"),
+    }
+    order = [
+        F.col("_unversioned").desc(), F.col("_version").desc_nulls_last(), F.col("_of"),
+        *[F.col(f"_tie{i}") for i in range(len(tiebreak))], F.col("_digest"),
+    ]
+    winners = first_rows(save, both.filter(_all_set(keys)), keys, told, order, "merge")
+    return winners.unionByName(target.filter(~_all_set(keys)).withColumn("_side", F.lit(0))).drop("_side")
+
+
+def _all_set(keys: Sequence[str]) -> Column:
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & F.col(k).isNotNull()
+    return has_key
+
+
 def touched_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str) -> list[str | None]:
     """Partitions of the source, and those where the target holds a source key, without an index.
 
@@ -97,7 +121,8 @@ def merge_into_table(
     if len(touched) < len(found):
         in_touched = in_touched | F.col(partition).isNull()
     current = spark.table(table).filter(in_touched)
-    prepare(spark, table, merge_latest(current, batch, keys, version, tiebreak), touched)
+    with staging(spark, "merge") as save:
+        prepare(spark, table, merged_rows(save, current, batch, keys, version, tiebreak), touched)
     finish_interrupted(spark, table, partition)
     index.settle(spark.table(table), found)
     return touched

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mentionlake.operators import metrics
 from mentionlake.operators.checks import layer_counts
-from mentionlake.operators.dedupe import latest_per_key
+from mentionlake.operators.dedupe import latest_rows
 from mentionlake.operators.joins import merge_metrics
 from mentionlake.operators.merge import merge_into_table
 from mentionlake.plans.layout import Lake
@@ -32,7 +32,7 @@ def land_batch(
     replace those that the same source and kind left before.
     """
     good, bad = split_corrupt(save(landed.drop("awards"), f"landed-{kind}"))
-    batch = save(latest_per_key(good, "id", "updated_at", TIEBREAK), f"batch-{kind}")
+    batch = save(latest_rows(save, good, "id", "updated_at", TIEBREAK, f"latest-{kind}"), f"batch-{kind}")
     touched = merge_into_table(spark, lake.bronze_table(kind), batch, "id", "updated_at", one_per_key=True)
     write_once(bad, lake.quarantine, {"batch": f"{kind}-{source}"})
     return batch, touched

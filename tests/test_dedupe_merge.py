@@ -172,3 +172,32 @@ def test_rerun_repairs_an_interrupted_merge(spark, lake, rows):
     append(posts(spark, ("a", 1, 1, "01-01-2024"), ("a", 2, 2, "02-01-2024")), table)
     merge_into_table(spark, table, posts(spark, ("a", 2, 2, "02-01-2024")), "id", "updated_at")
     assert state(spark, table, rows) == [("a", 2, 2, "02-01-2024")]
+
+
+def _versions(seed, n, keys):
+    import random
+    random.seed(seed)
+    return [(f"k{random.randrange(keys)}", random.choice([None, 1, 2, 3]), random.choice("ab"), "text " * random.randrange(3)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 26])
+def test_first_rows_without_a_shuffle_of_whole_rows(spark, monkeypatch, rows, bits):
+    from mentionlake.operators import dedupe, merge
+    from mentionlake.session import materialise, staging
+
+    monkeypatch.setattr(dedupe, "MAP_BITS", bits)
+    schema = "id string, v int, tie string, body string"
+    found = _versions(1, 300, 90) + _versions(2, 20, 5) * 2
+    target = materialise(spark.createDataFrame(_versions(3, 120, 90) + [(None, 1, "a", "x")], schema), "target")
+    source = materialise(spark.createDataFrame(found, schema), "source")
+    with staging(spark, "test-first") as save:
+        latest = dedupe.latest_rows(save, source, "id", "v", ["tie"])
+        assert rows(latest) == rows(dedupe.latest_per_key(source, "id", "v", ["tie"]))
+    with staging(spark, "test-merge") as save:
+        merged = merge.merged_rows(save, target, source, ["id"], "v", ["tie"])
+        assert rows(merged) == rows(merge.merge_latest(target, source, "id", "v", ["tie"]))
+    with staging(spark, "test-none") as save:
+        single = materialise(source.dropDuplicates(["id"]), "single")
+        alone = dedupe.latest_rows(save, single, "id", "v", ["tie"])
+        assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
+        assert rows(alone) == rows(single)
