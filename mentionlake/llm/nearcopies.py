@@ -27,6 +27,8 @@ SIMILAR, OF = 4, 5
 BANDS, ROWS = 40, 5
 #: Shingles are permuted so many at a time.
 STEP = 512
+#: Places of a set's outline.
+OUTLINE = 1024
 #: Texts that a key leaves apart are compared so many times with the largest component before they are compared with each other.
 TURNS = 3
 _random = np.random.default_rng(20240501)
@@ -54,6 +56,12 @@ def keys(hashes: np.ndarray) -> np.ndarray:
     return np.concatenate([band_keys(hashes).view(np.int64), golay])
 
 
+def outline(hashes: np.ndarray) -> np.ndarray:
+    """One bit for each place: whether an odd number of the hashes fall there."""
+    odd = np.bincount((hashes % np.uint64(OUTLINE)).astype(np.int64), minlength=OUTLINE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def digest(text_col: str) -> Column:
     """The same for equal texts only; null counts as empty."""
     return F.unhex(F.md5(F.coalesce(F.col(text_col).cast("binary"), F.lit("").cast("binary"))))
@@ -80,6 +88,30 @@ def could_be(a: Column, b: Column) -> Column:
     return F.least(a, b) * OF >= F.greatest(a, b) * SIMILAR
 
 
+def outlines(sets: DataFrame) -> DataFrame:
+    """(node, outline) of (node, set)."""
+    ship_package(sets.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [outline(s.values.to_numpy().view(np.uint64)) for s in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.list_(pa.int64()))], names=["node", "outline"])
+
+    return sets.select("node", "set").mapInArrow(run, "node binary, outline array<long>")
+
+
+def outlines_near(a: str, b: str, sizes: Column) -> Column:
+    """Whether sets with these outlines, of ``sizes`` shingles together, can be similar enough.
+
+    Each place in which the outlines differ has a shingle that only one set has, and similar sets have a ninth of
+    ``sizes`` of these at most.
+    """
+    apart = F.lit(0)
+    for i in range(OUTLINE // 64):
+        apart = apart + F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
+    return apart * (OF + SIMILAR) <= sizes * (OF - SIMILAR)
+
+
 def shingle_sets(texts: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, size, set) of ``texts``, each hashed once, however many copies it has."""
     wanted = materialise(texts.select("node", F.col("least").alias("id"), F.xxhash64("node", "least").alias("at")), "near-wanted")
@@ -113,7 +145,7 @@ def unsettled(held: DataFrame, links: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def can_be_similar(held: DataFrame, sets: DataFrame) -> DataFrame:
-    """The members whose sets have four fifths of their shingles in common with other members.
+    """The members whose sets have four fifths of their shingles in common with other members, with their ``outline``.
 
     Of similar sets each has at least that share in the other, so no member that is left out has a near copy among ``held``.
     """
@@ -124,7 +156,8 @@ def can_be_similar(held: DataFrame, sets: DataFrame) -> DataFrame:
     counts = each.join(materialise(several, "near-shingles"), "shingle", "left_semi").groupBy("at").agg(F.count(F.lit(1)).alias("n"))
     kept = inside.select("node", "size", F.xxhash64("node").alias("at")).join(counts, "at", "left")
     kept = kept.where(F.coalesce("n", F.lit(0)) * OF >= F.col("size") * SIMILAR).select("node")
-    return held.join(materialise(kept, "near-nodes"), "node", "left_semi")
+    kept = materialise(kept, "near-nodes")
+    return held.join(materialise(outlines(inside.join(kept, "node", "left_semi")), "near-outlines"), "node")
 
 
 def labelled(links: DataFrame, texts: DataFrame) -> DataFrame:
@@ -140,8 +173,8 @@ def classes(texts: DataFrame, rows: DataFrame) -> DataFrame:
     First all texts of a key are compared with one of them. Where that leaves several components, those outside the
     largest are compared with another text of it, ``TURNS`` times, so the near copies of one text cost about as
     much as their number. Texts that are still apart, and have too many shingles of their own to be similar to
-    any, need no comparison; the others are compared pair by pair, but for pairs within the largest component of a key.
-    Nothing is left out.
+    any, need no comparison; the others meet pair by pair, but for pairs within the largest component of a key, and are
+    compared if their outlines allow it. Nothing is left out.
     """
     every = texts.select(F.explode("keys").alias("key"), "node", "size")
     first = F.min(F.struct("node", "size"))
@@ -163,8 +196,9 @@ def classes(texts: DataFrame, rows: DataFrame) -> DataFrame:
         links = materialise(links.unionByName(more), "near-links")
         held = unsettled(held, links, texts)
     held = materialise(can_be_similar(held, sets), "near-members")
-    few = held.where("root <> largest").select("key", *one)
-    rest = held.join(few, "key").where((F.col("root") != F.col("one_root")) & could_be(F.col("size"), F.col("one_size")))
+    few = held.where("root <> largest").select("key", *one, F.col("outline").alias("one_outline"))
+    alike = could_be(F.col("size"), F.col("one_size")) & outlines_near("outline", "one_outline", F.col("size") + F.col("one_size"))
+    rest = held.join(few, "key").where((F.col("root") != F.col("one_root")) & alike)
     more = confirmed(rest.select(*pair).distinct(), sets)
     return labelled(materialise(links.unionByName(more), "near-links"), texts)
 

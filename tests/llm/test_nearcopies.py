@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from mentionlake.llm import nearcopies
@@ -87,6 +88,43 @@ def test_a_large_group_makes_few_pairs(spark, monkeypatch):
     assert sum(made_pairs) < 300 * 40
 
 
+def test_texts_of_the_same_passages_make_few_pairs(spark, monkeypatch):
+    """All shingles of these texts occur in others, and many share a key, but no two texts are similar."""
+    r, made_pairs = random.Random(6), []
+    passages = [[word(r) for _ in range(40)] for _ in range(12)]
+    common = [word(r) for _ in range(90)]
+    rows = [(i, " ".join(common + [w for p in r.sample(passages, 3) for w in p])) for i in range(120)]
+    rows += [(1000 + i, t + " end") for i, t in rows[:5]]
+    real = nearcopies.confirmed
+
+    def counting(pairs, sets):
+        pairs = pairs.localCheckpoint()
+        made_pairs.append(pairs.count())
+        return real(pairs, sets)
+
+    monkeypatch.setattr(nearcopies, "confirmed", counting)
+    root, least = expected(rows), {}
+    for (i, _), k in zip(rows, root, strict=True):
+        least[k] = min(least.get(k, i), i)
+    assert sorted(x.doc_id for x in nearcopies.one_of_each(frame(spark, rows)).collect()) == sorted(least.values())
+    assert len(made_pairs) == nearcopies.TURNS + 2
+    assert made_pairs[-1] < 120
+
+
+def test_outlines_of_similar_sets_are_near(spark):
+    r, rows = np.random.default_rng(3), []
+    for n in (10, 20, 100, 500, 2000):
+        for fewer in (0, 1):
+            both, one, other = np.split(r.integers(0, 1 << 63, n, dtype=np.uint64), [n * 8 // 10 - fewer, n * 9 // 10])
+            a, b = np.concatenate([both, one]), np.concatenate([both, other])
+            near = 5 * len(both) >= 4 * n
+            rows.append((near, nearcopies.outline(a).tolist(), nearcopies.outline(b).tolist(), len(a) + len(b)))
+    found = spark.createDataFrame(rows, "near boolean, a array<long>, b array<long>, n int")
+    found = found.select("near", nearcopies.outlines_near("a", "b", F.col("n")).alias("allowed")).collect()
+    assert all(x.allowed for x in found if x.near)
+    assert any(x.near for x in found)
+
+
 def test_bands_find_what_is_similar():
     r = np.random.default_rng(2)
     missed = 0
