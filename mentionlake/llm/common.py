@@ -23,7 +23,8 @@ def digest_bucket(digest: Column, rows: int, per_bucket: int) -> Column:
 
 
 #: A filter has 16 bits for each key, and so many blocks of 32 768 bits at most: 8 MB.
-MAP_BITS, BITS_PER_KEY, MAPS = 32_768, 16, 2_048
+MAP_SHIFT, BITS_PER_KEY, MAPS = 15, 16, 2_048
+MAP_BITS = 1 << MAP_SHIFT
 
 
 def possible(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
@@ -36,12 +37,15 @@ def possible(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 
     def place(of: DataFrame) -> DataFrame:
         at = F.pmod(F.col(key), F.lit(bits).cast("long"))
-        return of.withColumn("__map", F.floor(at / MAP_BITS)).withColumn("__bit", F.pmod(at, F.lit(MAP_BITS).cast("long")))
+        return of.withColumn("__map", F.shiftright(at, MAP_SHIFT)).withColumn("__bit", at.bitwiseAND(F.lit(MAP_BITS - 1).cast("long")))
 
     maps = place(wanted.select(key)).groupBy("__map").agg(F.bitmap_construct_agg("__bit").alias("__set"))
-    met = place(rows).join(F.broadcast(maps), "__map")
-    byte = F.conv(F.hex(F.substring("__set", (F.floor(F.col("__bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    found = F.call_function("shiftright", byte, F.pmod("__bit", F.lit(8)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    # As longs of eight bytes, the first byte highest, which are looked up without making strings.
+    words = F.transform(F.sequence(F.lit(0), F.lit(MAP_BITS // 64 - 1)), lambda i: F.conv(F.hex(F.substring("__set", i * 8 + 1, F.lit(8))), 16, -10).cast("long"))
+    met = place(rows).join(F.broadcast(maps.select("__map", words.alias("__words"))), "__map")
+    bit = F.col("__bit").cast("int")
+    word = F.get("__words", F.shiftright(bit, 6))
+    found = F.call_function("shiftright", word, bit.bitwiseAND(F.lit(63)).bitwiseXOR(F.lit(56))).bitwiseAND(F.lit(1).cast("long")) == 1
     return met.where(found).select(*rows.columns)
 
 

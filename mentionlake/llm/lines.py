@@ -18,6 +18,8 @@ DISTANCE, CHARS_PER_EDIT = 2, 10
 #: greatest tell them all.
 BUCKET = 2
 PIECES = 6
+#: Characters are counted in so many groups, modulo 4.
+GROUPS = 32
 #: Strings longer than this are compared by their beginnings first.
 HEAD = 32
 
@@ -53,12 +55,13 @@ def _probes(shorter: int, t: int) -> list[Column]:
     for i in range(t + 1):
         start, size = _piece(n, t + 1, i)
         for move in range(max(-i, shorter - (t - i)), min(i, shorter + (t - i)) + 1):
-            keys.append(F.xxhash64(n, F.lit(i), _cut(start + move, size)))
+            if shorter or move:
+                keys.append(F.xxhash64(n, F.lit(i), _cut(start + move, size)))
     return keys
 
 
 def probe_keys() -> Column:
-    """Hashes of the substrings where a segment of a line as long, or up to ``DISTANCE`` shorter, can lie.
+    """Hashes of the substrings where a segment of a line as long, or up to ``DISTANCE`` shorter, can lie, but for the line's own segments.
 
     If segment i is the first that fits, each one before has an edit, so it has moved by i at most; the rest
     are left for those after it, so it ends where they allow. Few starts meet both. No segment is so short that
@@ -75,20 +78,40 @@ def probe_keys() -> Column:
     return F.when(F.col("n_chars") >= DISTANCE * (CHARS_PER_EDIT + 1), most).otherwise(F.concat(*parts))
 
 
+def profile(line: Column) -> Column:
+    """How often a line has characters of each group, modulo 4, as two bits of a number that neighbours differ in one of.
+
+    One edit changes one count by one, or two: so the profiles of lines differ in two bits an edit at most.
+    """
+    low = (1 << 2 * GROUPS) // 3
+
+    def counted(seen: Column, c: Column) -> Column:
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(c), F.lit(GROUPS)) * 2)
+        return seen.bitwiseXOR(one).bitwiseXOR(F.shiftleft(seen.bitwiseAND(one), 1))
+
+    counts = F.aggregate(F.split(line, ""), F.lit(0).cast("long"), counted)
+    return _let(counts, lambda x: x.bitwiseXOR(F.shiftright(x, 1).bitwiseAND(F.lit(low))))
+
+
+def profiles_near(a: str, b: str, limit: Column) -> Column:
+    """Whether lines with these profiles can be so many edits apart."""
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= limit * 2
+
+
 def fine_keys(lines: DataFrame, probe: bool) -> DataFrame:
-    """(id, key): hashes of all but two of a line's pieces, as two edits touch two pieces at most. As a probe, of
+    """(id, profile, key): hashes of all but two of a line's pieces, as two edits touch two pieces at most. As a probe, of
     the pieces that a line as long, or up to ``DISTANCE`` shorter, has; those between and after the two have moved."""
     ways = [(shorter, between) for shorter in range(DISTANCE + 1) for between in range(-DISTANCE, DISTANCE + 1) if abs(between) + abs(shorter - between) <= DISTANCE]
     ways = [(x, y, *way) for x, y in combinations(range(PIECES), 2) for way in (ways if probe else [(0, 0)])]
     names = ("x", "y", "shorter", "between")
-    rows = lines.select("id", "line", "n_chars", F.inline(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(names, w, strict=True)]) for w in ways])))
+    rows = lines.select("id", "profile", "line", "n_chars", F.inline(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(names, w, strict=True)]) for w in ways])))
     n = F.col("n_chars") - F.col("shorter")
     parts = []
     for i in range(PIECES):
         start, size = _piece(n, PIECES, i)
         moved = F.when(F.lit(i) < F.col("x"), 0).when(F.lit(i) < F.col("y"), F.col("between")).otherwise(F.col("shorter"))
         parts.append(F.when((F.lit(i) == F.col("x")) | (F.lit(i) == F.col("y")), "").otherwise(_cut(start + moved, size)))
-    return rows.select("id", F.xxhash64(n, "x", "y", *parts).alias("key"))
+    return rows.select("id", "profile", F.xxhash64(n, "x", "y", *parts).alias("key"))
 
 
 def _let(value: Column, use) -> Column:
@@ -203,20 +226,28 @@ def candidates(lines: DataFrame) -> DataFrame:
     """(a, b): ids of all lines that can be near. Nothing is left out.
 
     Each line looks up the segments of the shorter ones. A segment is known by how many lines have it and by the least
-    and the greatest of them, so a lookup finds one row at most however common the segment is. Lines that meet where more
-    than ``BUCKET`` lines have a segment (say, a common beginning) meet by longer keys instead: everything but two of six pieces.
-    A line finds its own segments too, so each line of such a segment is among them.
+    and the greatest of them, so a lookup finds one row at most however common the segment is. Bit maps keep most lookups that find
+    nothing out of the join. Lines that meet where more than ``BUCKET`` lines have a segment (say, a common beginning) meet by longer
+    keys instead: everything but two of six pieces. Of these only lines are paired whose profiles allow it.
+    A line finds its own segments too, if others have them, so each line of such a segment is among them.
     """
     index = lines.select("id", F.explode(index_keys()).alias("key"))
     heads = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
     heads = materialise(heads, "line-segments")
+    shared = heads.where("n > 1")
+    own = possible(index, "key", shared).join(shared, "key")
     probe = lines.select("id", F.explode(probe_keys()).alias("key"))
-    hits = materialise(probe.join(heads, "key").where("n > 1 OR low <> id").select("id", "n", "low", "high"), "line-hits")
+    other = possible(probe, "key", heads).join(heads, "key").where("n > 1 OR low <> id")
+    hits = materialise(own.unionByName(other).select("id", "n", "low", "high"), "line-hits")
     few = hits.where(F.col("n") <= BUCKET).select(F.col("id").alias("x"), F.explode(F.array("low", "high")).alias("y"))
     those = materialise(hits.where(F.col("n") > BUCKET).select("id").distinct(), "line-common")
-    those = materialise(possible(lines, "id", those).join(those, "id", "left_semi"), "line-common-texts")
+    # An inner join: a semi join would be moved below the bit map, and shuffle all lines.
+    those = possible(lines, "id", those).join(those, "id").withColumn("profile", profile(F.col("line")))
+    those = materialise(those, "line-common-texts")
     index, probe = fine_keys(those, probe=False), fine_keys(those, probe=True)
-    many = index.select("key", F.col("id").alias("x")).join(probe.select("key", F.col("id").alias("y")), "key").select("x", "y")
+    probe = probe.select("key", F.col("id").alias("y"), F.col("profile").alias("y_profile"))
+    many = index.select("key", F.col("id").alias("x"), F.col("profile").alias("x_profile")).join(probe, "key")
+    many = many.where(profiles_near("x_profile", "y_profile", F.lit(DISTANCE))).select("x", "y")
     pairs = few.unionByName(many).where("x <> y")
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
@@ -225,12 +256,13 @@ def links(lines: DataFrame) -> DataFrame:
     """(a, b): digests of all pairs of distinct lines that are near; ``lines``: (line, id, md, n_chars)."""
     pairs = materialise(candidates(lines.where(F.col("n_chars") >= CHARS_PER_EDIT)), "line-candidates")
     needed = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-needed")
-    texts = possible(lines.select("id", "line", "md", "n_chars"), "id", needed).join(needed, "id", "left_semi")
-    texts = materialise(texts, "line-texts")
+    texts = possible(lines.select("id", "line", "md", "n_chars"), "id", needed).join(needed, "id")
+    texts = materialise(texts.withColumn("profile", profile(F.col("line"))), "line-texts")
     a, b = (texts.select(*[F.col(c).alias(f"{side}_{c}") for c in texts.columns]) for side in "ab")
     both = pairs.join(a, F.col("a") == F.col("a_id")).join(b, F.col("b") == F.col("b_id"))
     limit = edits(F.least("a_n_chars", "b_n_chars"))
-    near = F.when(F.abs(F.col("a_n_chars") - F.col("b_n_chars")) <= limit, distance(F.col("a_line"), F.col("b_line")) <= limit).otherwise(F.lit(False))
+    possibly = (F.abs(F.col("a_n_chars") - F.col("b_n_chars")) <= limit) & profiles_near("a_profile", "b_profile", limit)
+    near = F.when(possibly, distance(F.col("a_line"), F.col("b_line")) <= limit).otherwise(F.lit(False))
     return both.where(near).select(F.col("a_md").alias("a"), F.col("b_md").alias("b")).distinct()
 
 
@@ -254,16 +286,19 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = F.struct("first", F.col("md").alias("node"))
     nodes = lines.join(degree, "md", "left_semi").select(F.col("md").alias("node"), label.alias("label"))
     classes = components(edges, nodes).select(F.col("node").alias("md"), F.col("label.first").alias("head"))
-    narrow = lines.select("md", "n", "first")
+    narrow = lines.select("id", "md", "n", "first")
     notable = narrow.join(classes, "md", "left").join(degree, "md", "left").where("n > 1 OR links IS NOT NULL")
-    notable = materialise(notable.select("md", F.coalesce("head", "first").alias("head"), F.coalesce("links", F.lit(0).cast("long")).alias("links")), "line-classes")
-    marked = rows.select("doc_id", "digest", "place", (F.trim("line") != "").alias("filled"), F.md5(F.col("line").cast("binary")).alias("md"))
-    marked = marked.join(notable, "md", "left")
-    earlier = F.col("filled") & F.col("head").isNotNull() & (F.col("head") != F.struct("doc_id", "digest", "place"))
+    notable = materialise(notable.select("id", "md", F.coalesce("head", "first").alias("head"), F.coalesce("links", F.lit(0).cast("long")).alias("links")), "line-classes")
+    # Only lines that may be notable are looked up; all are counted.
+    counted = rows.select("doc_id", "digest", F.when(F.col("place") == 0, 1).alias("start"), F.when(F.trim("line") != "", 1).alias("filled"))
+    marked = possible(rows.where(F.trim("line") != "").withColumn("id", F.xxhash64("line")), "id", notable).withColumn("md", F.md5(F.col("line").cast("binary")))
+    marked = marked.select("doc_id", "digest", "place", "md").join(notable.drop("id"), "md")
+    earlier = F.col("head") != F.struct("doc_id", "digest", "place")
+    marked = marked.select("doc_id", "digest", F.when(earlier, F.col("place")).alias("later"), "links")
     # The rows of one id and text fall together here, and are told apart again by how often they have a first line.
-    one = marked.groupBy("doc_id", "digest").agg(
-        F.count_if(F.col("place") == 0).cast("int").alias("times"), F.count_if("filled").alias("n_lines"),
-        F.array_sort(F.collect_set(F.when(earlier, F.col("place")))).alias("removed"), F.sum(F.when(F.col("filled"), F.col("links"))).alias("n_links"))
+    one = counted.unionByName(marked, allowMissingColumns=True).groupBy("doc_id", "digest").agg(
+        F.count("start").cast("int").alias("times"), F.count("filled").alias("n_lines"),
+        F.array_sort(F.collect_set("later")).alias("removed"), F.sum("links").alias("n_links"))
     one = one.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("times"))))
     return one.select(
         F.col("doc_id").alias(id_col), (F.col("n_lines") / F.col("times")).cast("long").alias("n_lines"), "removed",

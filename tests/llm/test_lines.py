@@ -80,6 +80,29 @@ def test_bit_parallel_distance(spark):
         assert (min(3, x.d), min(3, x.e)) == (want, want), x
 
 
+def test_profiles_of_near_lines_are_near(spark):
+    r = random.Random(8)
+    pairs = [(a, edited(r, a)) for a in ("".join(r.choice("abcdefgé \U0001f600") for _ in range(r.choice([10, 30, 200]))) for _ in range(300))]
+    pairs = [(a, b, levenshtein(a, b)) for a, b in pairs]
+    rows = spark.createDataFrame(pairs, "a string, b string, d int")
+    rows = rows.select("d", lines.profile(F.col("a")).alias("x"), lines.profile(F.col("b")).alias("y"))
+    assert rows.where(~lines.profiles_near("x", "y", F.col("d"))).count() == 0
+
+
+def test_lines_that_differ_in_a_word_or_two_make_few_pairs(spark):
+    r = random.Random(9)
+    words = ["".join(r.choice("abcdefghijklmnopqrst") for _ in range(r.randint(5, 9))) for _ in range(60)]
+    texts = set()
+    for _ in range(80):
+        changed = list(words)
+        for at in r.sample(range(60), 2):
+            changed[at] = "".join(r.choice("abcdefghijklmnopqrst") for _ in range(len(words[at])))
+        texts.add(" ".join(changed))
+    texts |= {sorted(texts)[0] + "x"}
+    rows = spark.createDataFrame([(t,) for t in sorted(texts)], "line string").select("line", F.xxhash64("line").alias("id"), F.char_length("line").alias("n_chars"))
+    assert 1 <= lines.candidates(rows).count() < len(texts)
+
+
 def test_repeated_rows(spark):
     text = "a line that is long enough\nanother line, long enough too\na line that is long enough"
     docs = spark.createDataFrame([(1, text, "")] * 3 + [(2, text, "")], SCHEMA)
