@@ -7,7 +7,8 @@ once the bound of the next word is below that score (with an equal one ties may
 
 Texts are split once into chunks of word numbers, from which the words are removed that are too rare for any candidate. Each step of growth reads
 the chunks, counts in each and sums the counts by Spark. What a step needs of the step before is a bit map of hashes with a fixed bound
-in size; it lets a few phrases pass in vain, never loses one, and counts are of the words themselves.
+in size; it lets a few phrases pass in vain, never loses one, and counts are of the words themselves. What surrounds a phrase, and
+how often its rests occur, is asked for only where a bound of its score can still enter the result.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from mentionlake.operators.dedupe import top_n
 from mentionlake.session import Save, materialise, ship_package, staging
 
 LONGEST, LEAST, TOP, SCALE, UNKNOWN = 5, 100, 2000, 1000, "und"
+#: So many times the phrases that are asked for are described first, those of the highest bounds.
+AHEAD = 2
 #: A band ends at so many times the frequency at which it begins.
 WIDER = 64
 CHUNK_BYTES = 2 << 20
@@ -308,6 +311,23 @@ def scored(told: DataFrame, every: DataFrame, totals: DataFrame) -> DataFrame:
     return met.groupBy("lang", "phrase", "a", "n").agg(best).select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score")
 
 
+def bounded(told: DataFrame, every: DataFrame, totals: DataFrame) -> DataFrame:
+    """(lang, phrase, a, bound) of (lang, phrase, a): a score that none exceeds, from the frequencies of beginnings and single words.
+
+    Of the last cut both parts are known, and of the first the rest occurs as often as the whole at least.
+    """
+    w = words_of()
+    head, last = F.element_at(w, 1).cast("binary"), F.element_at(w, -1).cast("binary")
+    left = F.array_join(F.slice(w, F.lit(1), F.size(w) - 1), " ").cast("binary")
+    met = told.select("lang", "phrase", "a", F.size(w).alias("length"), head.alias("head"), left.alias("left"), last.alias("last"))
+    for part in ("head", "left", "last"):
+        met = met.join(every.select("lang", F.col("phrase").alias(part), F.col("f").alias(f"f_{part}")), ["lang", part])
+    a, n, head, left, last = (F.col(c).cast("decimal(19,0)") for c in ("a", "n", "f_head", "f_left", "f_last"))
+    whole = F.call_function("div", (a * n * SCALE).cast("decimal(38,0)"), (left * last).cast("decimal(38,0)"))
+    first = F.call_function("div", n * SCALE, head)
+    return met.join(totals, "lang").select("lang", "phrase", "a", F.when(F.col("length") > 2, F.least(whole, first)).otherwise(whole).alias("bound"))
+
+
 def ranked(candidates: DataFrame, top: int) -> DataFrame:
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     return top_n(candidates, "lang", order, top)
@@ -345,17 +365,31 @@ def _grown(spark: SparkSession, save: Save, docs: DataFrame, text_col: str, lang
             level = save(counted(found, first, length, None if grown is None else known(grown)), f"band-{step}-{length}")
             grown = level if grown is None else grown.unionByName(level)
         told = grown.withColumnRenamed("f", "a")
-        rest = cuts(grown).select("lang", F.col("right").alias("phrase")).where(F.contains(F.col("phrase").cast("string"), F.lit(" ")))
-        wanted = save(grown.select("lang", "phrase").unionByName(rest).distinct(), f"wanted-{step}")
-        facts = save(described(found, wanted), f"facts-{step}")
-        every = every.unionByName(facts.select("lang", "phrase", "f")).distinct()
-        open_ones = facts.where(~F.col("closed") | (F.size(words_of()) == LONGEST)).select("lang", "phrase")
-        candidates = scored(told.join(open_ones, ["lang", "phrase"]), every, totals)
-        best = candidates if best is None else best.unionByName(candidates).distinct()
-        best = save(ranked(best, top).drop("rank"), f"best-{step}")
+        every = every.unionByName(grown).distinct()
+        bounds = save(bounded(told, every, totals), f"bounds-{step}")
+        # First those of the highest bounds; of the others only those that the scores found so far do not rule out.
+        done = None
+        for turn in range(2):
+            limits = spark.createDataFrame([(lang, least) for lang, least in entry.items()], "lang string, least long")
+            chosen = bounds.join(limits, "lang").where(F.col("bound") >= F.col("least")).select("lang", "phrase", "a", "bound")
+            if done is None:
+                chosen = top_n(chosen, "lang", [F.col("bound").desc(), F.col("phrase")], AHEAD * top).drop("rank")
+            else:
+                chosen = chosen.join(done.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
+            done = chosen = save(chosen.select("lang", "phrase", "a"), f"chosen-{step}-{turn}")
+            if turn and chosen.isEmpty():
+                break
+            rest = cuts(chosen).select("lang", F.col("right").alias("phrase")).where(F.contains(F.col("phrase").cast("string"), F.lit(" ")))
+            wanted = save(chosen.select("lang", "phrase").unionByName(rest).distinct(), f"wanted-{step}-{turn}")
+            facts = save(described(found, wanted), f"facts-{step}-{turn}")
+            every = every.unionByName(facts.select("lang", "phrase", "f")).distinct()
+            open_ones = facts.where(~F.col("closed") | (F.size(words_of()) == LONGEST)).select("lang", "phrase")
+            candidates = scored(chosen.join(open_ones, ["lang", "phrase"]), every, totals)
+            best = candidates if best is None else best.unionByName(candidates).distinct()
+            best = save(ranked(best, top).drop("rank"), f"best-{step}-{turn}")
+            reached = best.groupBy("lang").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("least")).where(F.col("found") >= top)
+            entry.update({r.lang: int(r.least) for r in reached.collect()})
         expanded.update({lang: high for lang, (_, high) in bands.items()})
-        reached = best.groupBy("lang").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("least")).where(F.col("found") >= top)
-        entry.update({r.lang: r.least for r in reached.collect()})
         step += 1
     if best is None:
         best = spark.createDataFrame([], "lang string, phrase binary, a long, l long, r long, n long, score long")

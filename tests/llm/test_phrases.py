@@ -75,6 +75,16 @@ def test_frequent_beginnings_stay_unexpanded_once_the_last_score_is_settled(spar
     assert max(high for bands in seen for _, high in bands.values()) < 400
 
 
+def test_phrases_that_cannot_enter_are_not_described(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "LEAST", 8)
+    asked, described = [], phrases.described
+    monkeypatch.setattr(phrases, "described", lambda found, wanted: (asked.append(wanted.count()), described(found, wanted))[1])
+    random.seed(5)
+    rows = [(i, "rare pair. odd one. " + " ".join(random.choice("abcdef") for _ in range(200)), "en", None, None) for i in range(20)]
+    assert got(spark, rows, 2) == expected(rows, 8, 2)
+    assert asked and sum(asked) < 20
+
+
 def test_ties_at_the_last_place_go_by_count_then_phrase(spark, monkeypatch):
     monkeypatch.setattr(phrases, "LEAST", 8)
     rows = [(i, "b2 b1. a2 a1. c2 c1. z", "en", None, None) for i in range(9)]
