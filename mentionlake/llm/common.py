@@ -36,10 +36,11 @@ def possible(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     bits = MAP_BITS * min(MAPS, max(1, math.ceil(wanted.count() * BITS_PER_KEY / MAP_BITS)))
 
     def place(of: DataFrame) -> DataFrame:
-        at = F.pmod(F.col(key), F.lit(bits).cast("long"))
+        # Never null, or Spark would filter by it first, and compute the key once more for that.
+        at = F.coalesce(F.pmod(F.col(key), F.lit(bits).cast("long")), F.lit(-1).cast("long"))
         return of.withColumn("__map", F.shiftright(at, MAP_SHIFT)).withColumn("__bit", at.bitwiseAND(F.lit(MAP_BITS - 1).cast("long")))
 
-    maps = place(wanted.select(key)).groupBy("__map").agg(F.bitmap_construct_agg("__bit").alias("__set"))
+    maps = place(wanted.select(key).where(F.col(key).isNotNull())).groupBy("__map").agg(F.bitmap_construct_agg("__bit").alias("__set"))
     # As longs of eight bytes, the first byte highest, which are looked up without making strings.
     words = F.transform(F.sequence(F.lit(0), F.lit(MAP_BITS // 64 - 1)), lambda i: F.conv(F.hex(F.substring("__set", i * 8 + 1, F.lit(8))), 16, -10).cast("long"))
     met = place(rows).join(F.broadcast(maps.select("__map", words.alias("__words"))), "__map")

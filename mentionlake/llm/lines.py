@@ -17,6 +17,8 @@ DISTANCE, CHARS_PER_EDIT = 2, 10
 #: Lines that have a segment in common with more others meet by longer keys. Up to so many, a count, the least and the
 #: greatest tell them all.
 BUCKET = 2
+#: Segments of so many lines are still met line by line, by profile: that is less work than longer keys.
+CROWD = 256
 PIECES = 6
 #: Characters are counted in so many groups, modulo 4.
 GROUPS = 32
@@ -29,14 +31,19 @@ def edits(length: Column) -> Column:
 
 
 def _piece(length: Column, parts: int, i: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of a piece; the last ones are one longer where it does not come out even."""
-    base = F.floor(length / parts).cast("int")
-    even = parts - (length - base * parts)
-    return base * i + F.greatest(F.lit(0), F.lit(i) - even), base + F.when(F.lit(i) >= even, 1).otherwise(0)
+    """Start (from 0) and length of a piece; some are one longer where it does not come out even."""
+    start, end = (F.floor(length.cast("long") * k / parts).cast("int") for k in (i, i + 1))
+    return start, end - start
+
+
+def _bytes(line: str) -> Column:
+    """A line with one byte for each character, else null: there a place is found without a walk over all before it."""
+    return F.when(F.octet_length(line) == F.col("n_chars"), F.col(line).cast("binary")).alias("bytes")
 
 
 def _cut(start: Column, size: Column) -> Column:
-    return F.substring("line", start + 1, size)
+    """A substring's UTF-8 bytes."""
+    return F.coalesce(F.substring("bytes", start + 1, size), F.substring("line", start + 1, size).cast("binary"))
 
 
 def index_keys() -> Column:
@@ -49,33 +56,35 @@ def index_keys() -> Column:
     return out
 
 
-def _probes(shorter: int, t: int) -> list[Column]:
-    """Keys of the places where a segment of a line ``shorter`` characters shorter, which allows ``t`` edits, can lie."""
-    n, keys = F.col("n_chars") - shorter, []
-    for i in range(t + 1):
-        start, size = _piece(n, t + 1, i)
-        for move in range(max(-i, shorter - (t - i)), min(i, shorter + (t - i)) + 1):
-            if shorter or move:
-                keys.append(F.xxhash64(n, F.lit(i), _cut(start + move, size)))
-    return keys
-
-
-def probe_keys() -> Column:
-    """Hashes of the substrings where a segment of a line as long, or up to ``DISTANCE`` shorter, can lie, but for the line's own segments.
+def _moves() -> list[tuple[int, int, int, int]]:
+    """Where segments of a line can lie in a longer one, or one as long: its edits, how many characters it is shorter, the segment,
+    and how far that has moved. A line's own segments are left out.
 
     If segment i is the first that fits, each one before has an edit, so it has moved by i at most; the rest
     are left for those after it, so it ends where they allow. Few starts meet both. No segment is so short that
     such a start lies outside the line.
     """
-    parts = []
-    for shorter in range(DISTANCE + 1):
-        t = edits(F.col("n_chars") - shorter)
-        some = F.array().cast("array<long>")
-        for k in range(max(1, shorter), DISTANCE + 1):
-            some = F.when(t == k, F.array(*_probes(shorter, k))).otherwise(some)
-        parts.append(some)
-    most = F.array(*[key for shorter in range(DISTANCE + 1) for key in _probes(shorter, DISTANCE)])
-    return F.when(F.col("n_chars") >= DISTANCE * (CHARS_PER_EDIT + 1), most).otherwise(F.concat(*parts))
+    return [
+        (t, shorter, i, move) for t in range(1, DISTANCE + 1) for shorter in range(t + 1) for i in range(t + 1)
+        for move in range(max(-i, shorter - (t - i)), min(i, shorter + (t - i)) + 1) if shorter or move]
+
+
+def _inline(rows: list[tuple[int, ...]], *names: str) -> Column:
+    return F.inline(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(names, row, strict=True)]) for row in rows]))
+
+
+def probes(lines: DataFrame) -> DataFrame:
+    """(id, key): hashes of the substrings where a segment of a line as long, or up to ``DISTANCE`` shorter, can lie.
+
+    One row for each place comes first and its hash after it: a method with all the hashes of a line is too long
+    for the JVM to compile.
+    """
+    rows = lines.select("id", "line", "n_chars", _bytes("line"))
+    rows = rows.select("*", _inline(_moves(), "t", "shorter", "i", "move"))
+    n = F.col("n_chars") - F.col("shorter")
+    rows = rows.where(edits(n) == F.col("t"))
+    start, end = (F.floor(n.cast("long") * (F.col("i") + k) / (F.col("t") + 1)).cast("int") for k in (0, 1))
+    return rows.select("id", F.xxhash64(n, "i", _cut(start + F.col("move"), end - start)).alias("key"))
 
 
 def profile(line: Column) -> Column:
@@ -103,14 +112,13 @@ def fine_keys(lines: DataFrame, probe: bool) -> DataFrame:
     the pieces that a line as long, or up to ``DISTANCE`` shorter, has; those between and after the two have moved."""
     ways = [(shorter, between) for shorter in range(DISTANCE + 1) for between in range(-DISTANCE, DISTANCE + 1) if abs(between) + abs(shorter - between) <= DISTANCE]
     ways = [(x, y, *way) for x, y in combinations(range(PIECES), 2) for way in (ways if probe else [(0, 0)])]
-    names = ("x", "y", "shorter", "between")
-    rows = lines.select("id", "profile", "line", "n_chars", F.inline(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(names, w, strict=True)]) for w in ways])))
+    rows = lines.select("id", "profile", "line", "n_chars", _inline(ways, "x", "y", "shorter", "between"))
     n = F.col("n_chars") - F.col("shorter")
     parts = []
     for i in range(PIECES):
         start, size = _piece(n, PIECES, i)
         moved = F.when(F.lit(i) < F.col("x"), 0).when(F.lit(i) < F.col("y"), F.col("between")).otherwise(F.col("shorter"))
-        parts.append(F.when((F.lit(i) == F.col("x")) | (F.lit(i) == F.col("y")), "").otherwise(_cut(start + moved, size)))
+        parts.append(F.when((F.lit(i) == F.col("x")) | (F.lit(i) == F.col("y")), "").otherwise(F.substring("line", start + moved + 1, size)))
     return rows.select("id", "profile", F.xxhash64(n, "x", "y", *parts).alias("key"))
 
 
@@ -222,33 +230,42 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("digest"), F.posexplode(F.split(text, "\n")).alias("place", "line"))
 
 
+def _pairs(index: DataFrame, probe: DataFrame) -> DataFrame:
+    """(x, y): ids of lines that have a key in common, of those whose profiles are near."""
+    x, y = (rows.select("key", F.col("id").alias(side), F.col("profile").alias(f"{side}_profile")) for side, rows in (("x", index), ("y", probe)))
+    met = x.join(y, "key").where(profiles_near("x_profile", "y_profile", F.lit(DISTANCE)) & (F.col("x") != F.col("y")))
+    return met.select("x", "y")
+
+
 def candidates(lines: DataFrame) -> DataFrame:
     """(a, b): ids of all lines that can be near. Nothing is left out.
 
     Each line looks up the segments of the shorter ones. A segment is known by how many lines have it and by the least
     and the greatest of them, so a lookup finds one row at most however common the segment is. Bit maps keep most lookups that find
-    nothing out of the join. Lines that meet where more than ``BUCKET`` lines have a segment (say, a common beginning) meet by longer
-    keys instead: everything but two of six pieces. Of these only lines are paired whose profiles allow it.
+    nothing out of the join. Where more than ``BUCKET`` lines have a segment, up to ``CROWD``, each lookup meets all of them, and those whose
+    profiles allow it are paired. Lines that meet where still more have a segment (say, a common beginning) meet by longer
+    keys instead: everything but two of six pieces. Of these, too, only lines are paired whose profiles allow it.
     A line finds its own segments too, if others have them, so each line of such a segment is among them.
     """
-    index = lines.select("id", F.explode(index_keys()).alias("key"))
+    index = lines.select("id", "line", "n_chars", _bytes("line")).select("id", F.explode(index_keys()).alias("key"))
     heads = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
     heads = materialise(heads, "line-segments")
     shared = heads.where("n > 1")
-    own = possible(index, "key", shared).join(shared, "key")
-    probe = lines.select("id", F.explode(probe_keys()).alias("key"))
-    other = possible(probe, "key", heads).join(heads, "key").where("n > 1 OR low <> id")
-    hits = materialise(own.unionByName(other).select("id", "n", "low", "high"), "line-hits")
+    own = possible(index, "key", shared).join(shared, "key").withColumn("own", F.lit(True))
+    other = possible(probes(lines), "key", heads).join(heads, "key").where("n > 1 OR low <> id").withColumn("own", F.lit(False))
+    hits = materialise(own.unionByName(other), "line-hits")
     few = hits.where(F.col("n") <= BUCKET).select(F.col("id").alias("x"), F.explode(F.array("low", "high")).alias("y"))
-    those = materialise(hits.where(F.col("n") > BUCKET).select("id").distinct(), "line-common")
+    common = hits.where(F.col("n") > BUCKET)
+    those = materialise(common.groupBy("id").agg(F.max("n").alias("most")), "line-common")
     # An inner join: a semi join would be moved below the bit map, and shuffle all lines.
     those = possible(lines, "id", those).join(those, "id").withColumn("profile", profile(F.col("line")))
     those = materialise(those, "line-common-texts")
-    index, probe = fine_keys(those, probe=False), fine_keys(those, probe=True)
-    probe = probe.select("key", F.col("id").alias("y"), F.col("profile").alias("y_profile"))
-    many = index.select("key", F.col("id").alias("x"), F.col("profile").alias("x_profile")).join(probe, "key")
-    many = many.where(profiles_near("x_profile", "y_profile", F.lit(DISTANCE))).select("x", "y")
-    pairs = few.unionByName(many).where("x <> y")
+    met = common.where(F.col("n") <= CROWD).select("id", "key", "own").join(those.select("id", "profile"), "id")
+    met = materialise(met, "line-met")
+    some = _pairs(met.where("own"), met)
+    crowded = those.where(F.col("most") > CROWD)
+    many = _pairs(fine_keys(crowded, probe=False), fine_keys(crowded, probe=True))
+    pairs = few.unionByName(some).unionByName(many).where("x <> y")
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

@@ -1,9 +1,11 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from mentionlake.llm import lines
+from mentionlake.llm.common import possible
 
 SCHEMA = "doc_id long, text string, md string"
 
@@ -103,6 +105,42 @@ def test_lines_that_differ_in_a_word_or_two_make_few_pairs(spark):
     assert 1 <= lines.candidates(rows).count() < len(texts)
 
 
+@pytest.mark.parametrize("crowd", [2, 4])
+def test_small_crowds_against_brute_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(lines, "CROWD", crowd)
+    test_against_brute_force(spark, monkeypatch, 2)
+
+
+def test_lines_of_a_common_segment_meet_without_longer_keys(spark, monkeypatch):
+    made, fine_keys = [], lines.fine_keys
+    monkeypatch.setattr(lines, "fine_keys", lambda rows, probe: made.append(rows.count()) or fine_keys(rows, probe))
+    r = random.Random(10)
+    start = "a beginning that many lines have in common, and é "
+    texts = [start + "".join(r.choice("abcdefghijklmnopqrst ") for _ in range(60)) for _ in range(40)]
+    texts += [texts[0][:70] + "x" + texts[0][71:], texts[1] + "yz"]
+    rows = spark.createDataFrame([(t,) for t in texts], "line string").select("line", F.xxhash64("line").alias("id"), F.char_length("line").alias("n_chars"))
+    assert 2 <= lines.candidates(rows).count() < len(texts)
+    assert made == [0, 0]
+
+
+@pytest.mark.parametrize("wanted", [False, True])
+def test_keys_of_probes_are_computed_by_compiled_code_and_once(spark, capsys, wanted):
+    rows = spark.createDataFrame([("a" * 50, 1, 50)], "line string, id long, n_chars int")
+    keys = lines.probes(rows)
+    if wanted:
+        keys = possible(keys, "key", spark.createDataFrame([(1,)], "key long"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        keys.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    plan = capsys.readouterr().out
+    # HotSpot interprets methods of more than 8000 bytes.
+    assert 0 < max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", plan))) < 8000
+    assert len(re.findall(r"^.*(?:Project|Filter) \S*.*xxhash64", plan, re.M)) == 1
+
+
 def test_repeated_rows(spark):
     text = "a line that is long enough\nanother line, long enough too\na line that is long enough"
     docs = spark.createDataFrame([(1, text, "")] * 3 + [(2, text, "")], SCHEMA)
