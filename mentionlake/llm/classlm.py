@@ -1,6 +1,6 @@
 """A class-based bigram model: P(word | before) = P(class | class before) P(word | class), with classes found by exchange.
 
-Texts are split once into chunks of word numbers. Words are exchanged between classes in rounds: each takes a share of the words in turn, gathers the
+Texts are split once into chunks of word numbers; a chunk holds texts to learn from or held-out ones, so that rounds leave out the latter. Words are exchanged between classes in rounds: each takes a share of the words in turn, gathers the
 classes on their left and right in all training texts, and moves each word where the likelihood of class bigrams gains most. Words of one share only move at
 once, so that they do not chase each other, and fewer after a round that lowered the likelihood, which is undone. Words below a frequency that keeps the table of classes small form one class of their own; each of them has its count, which a join brings.
 
@@ -15,9 +15,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from mentionlake.llm.common import crc_of_id
 from mentionlake.llm.phrases import numbered
@@ -36,56 +38,90 @@ CHUNK_BYTES = 4 << 20
 SHARES = 2
 #: What an entry adds to the likelihood is looked up for counts below this.
 SMALL = 16
-#: Keys that a task holds before it hands them on.
-HELD_KEYS = 1 << 21
+#: Keys, of four bytes, that a task holds before it counts them and hands them on.
+HELD_KEYS = 1 << 22
+#: Words, in bytes, that a task holds before it adds up their counts.
+HELD_BYTES = 16 << 20
+#: The seed of Spark's ``xxhash64``.
+SEED = 42
 #: Widths of counts, in bytes.
 WIDTHS = {1: np.uint8, 2: np.uint16, 8: np.uint64}
 
 
 def chunks(docs: DataFrame, id_col: str, text_col: str, held: Column) -> DataFrame:
-    """About ``CHUNK_BYTES`` of texts: ids, which are held out, distinct words, their counts in texts that are not, and all words in order (-1 is an end)."""
+    """About ``CHUNK_BYTES`` of texts that are all held out or all not: their ids, distinct words (with spaces between them, which no word has), how often each
+    occurs, and all words in order (-1 is an end). Words and numbers are one value each, which the JVM hands on whole."""
     ship_package(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"chunk long, ids array<{id_type}>, held array<boolean>, words array<binary>, counts array<long>, codes binary"
+    schema = f"chunk long, ids array<{id_type}>, held boolean, words binary, counts binary, codes binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, made, size = TaskContext.get().partitionId() << 32, 0, 0
-        ids, out, texts, kind = [], [], [], pa.int64()
-
-        def close() -> pa.RecordBatch:
-            nonlocal made, size
-            words, codes = numbered(b"".join(t + b" \n " for t in texts))
-            trained = np.repeat(~np.array(out), np.diff(np.flatnonzero(codes == -1), prepend=-1))
-            counts = np.bincount(codes[trained & (codes >= 0)], minlength=len(words))
+        base, made, kind = TaskContext.get().partitionId() << 32, 0, pa.int64()
+        ids, texts, sizes = ([], []), ([], []), [0, 0]
+
+        def close(h: bool) -> pa.RecordBatch:
+            nonlocal made
+            words, codes = numbered(b"".join(t + b" \n " for t in texts[h]))
+            counts = np.bincount(codes[codes >= 0], minlength=len(words))
             made += 1
             row = {
-                "chunk": pa.array([base + made]), "ids": pa.array([ids], pa.list_(kind)), "held": pa.array([out]), "words": pa.array([words.to_pylist()], pa.list_(pa.binary())),
-                "counts": pa.array([counts.tolist()], pa.list_(pa.int64())), "codes": pa.array([codes.tobytes()], pa.binary()),
+                "chunk": pa.array([base + made]), "ids": pa.array([ids[h]], pa.list_(kind)), "held": pa.array([bool(h)]), "words": joined(words),
+                "counts": pa.array([counts.tobytes()], pa.binary()), "codes": pa.array([codes.tobytes()], pa.binary()),
             }
-            ids.clear(), out.clear(), texts.clear()
-            size = 0
+            ids[h].clear(), texts[h].clear()
+            sizes[h] = 0
             return pa.RecordBatch.from_arrays(list(row.values()), names=list(row))
 
         for batch in batches:
             kind = batch.column(0).type
             for i, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 text = (t.as_py() or b"").lower().translate(BLANKS)
-                ids.append(i), out.append(h), texts.append(text)
-                size += len(text) + 3
-                if size >= CHUNK_BYTES:
-                    yield close()
-        if ids:
-            yield close()
+                ids[h].append(i), texts[h].append(text)
+                sizes[h] += len(text) + 3
+                if sizes[h] >= CHUNK_BYTES:
+                    yield close(h)
+        for h in (False, True):
+            if ids[h]:
+                yield close(h)
 
     return docs.select(F.col(id_col), held.alias("held"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
 
 
+def joined(words: pa.Array) -> pa.Array:
+    """One value: words with spaces between them."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b" ")
+
+
+def separate(words: bytes) -> pa.Array:
+    """The words of ``joined``."""
+    return pc.split_pattern(pa.array([words] if words else [], pa.binary()), b" ").flatten()
+
+
 def vocabulary(found: DataFrame, save: Save) -> DataFrame:
     """(word, c, h): words of the training texts and the end (the empty word), how often they occur, and their XXH64."""
-    ends = F.aggregate("held", F.lit(0).cast("long"), lambda n, h: n + F.when(h, 0).otherwise(1))
-    each = found.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select(F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
-    each = each.unionByName(found.select(F.lit(b"").alias("word"), ends.alias("c")))
-    return save(each.where("c > 0").groupBy("word").agg(F.sum("c").alias("c")).withColumn("h", F.xxhash64("word")), "words")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, held = 0, []
+
+        def rows() -> list[pa.RecordBatch]:
+            nonlocal size
+            size, whole = 0, pa.Table.from_batches(held)
+            held.clear()
+            return whole.group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"]).to_batches()
+
+        for batch in batches:
+            for row in rows_of(batch):
+                words, counts = row["words"].as_py(), np.frombuffer(row["counts"].as_py(), np.int64)
+                held.append(pa.RecordBatch.from_arrays([separate(words), pa.array(counts)], names=["word", "c"]))
+                held.append(pa.RecordBatch.from_arrays([pa.array([b""], pa.binary()), pa.array([row["texts"].as_py()], pa.int64())], names=["word", "c"]))
+                size += len(words)
+                if size >= HELD_BYTES:
+                    yield from rows()
+        if held:
+            yield from rows()
+
+    each = found.where("not held").select("words", "counts", F.size("ids").cast("long").alias("texts")).mapInArrow(run, "word binary, c long")
+    return save(each.groupBy("word").agg(F.sum("c").alias("c")).withColumn("h", F.xxhash64("word")), "words")
 
 
 class Head(NamedTuple):
@@ -97,7 +133,10 @@ class Head(NamedTuple):
 
     def numbers(self, h: np.ndarray) -> np.ndarray:
         """Of words by their hashes; -1 for those that are not here."""
-        at = np.searchsorted(self.hashes, h)
+        # In order, so that one search is near the last.
+        order = np.argsort(h)
+        at = np.empty(len(h), np.int64)
+        at[order] = np.searchsorted(self.hashes, h[order])
         at[at == len(self.hashes)] = 0
         return np.where(self.hashes[at] == h, at, -1) if len(self.hashes) else np.full(len(h), -1)
 
@@ -122,39 +161,35 @@ def coded(found: DataFrame, head: Head) -> DataFrame:
         for batch in batches:
             codes, tails = [], []
             for row in rows_of(batch):
-                number = shared.value.numbers(row["hashes"].values.to_numpy())
+                words = row["words"].as_py().split(b" ") if row["words"].as_py() else []
+                number = shared.value.numbers(hashes(words))
                 outside = np.flatnonzero(number < 0)
                 number[outside] = -2 - np.arange(len(outside))
-                codes.append(np.append(number, -1)[np.frombuffer(row["codes"].as_py(), np.int32)].astype(np.int32).tobytes())
-                tails.append(row["words"].values.take(pa.array(outside)).cast(pa.binary()))
-            tail = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(t) for t in tails])), pa.int32()), pa.concat_arrays(tails))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes, pa.binary()), tail], names=["chunk", "ids", "held", "codes", "tail"])
+                codes.append(np.append(number, -1).astype(np.int32)[np.frombuffer(row["codes"].as_py(), np.int32)].tobytes())
+                tails.append(b" ".join([words[i] for i in outside.tolist()]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes, pa.binary()), pa.array(tails, pa.binary())], names=["chunk", "ids", "held", "codes", "tail"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", codes binary, tail binary"
+    return found.select("chunk", "ids", "held", "words", "codes").mapInArrow(run, schema)
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", codes binary, tail array<binary>"
-    hashes = F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")
-    return found.select("chunk", "ids", "held", "words", "codes", hashes).mapInArrow(run, schema)
 
+def hashes(words: list[bytes]) -> np.ndarray:
+    """As Spark's ``xxhash64`` of each."""
+    return np.fromiter((xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words)).view(np.int64)
 
-class Chunk:
-    """The numbers of one row of ``coded``, where its texts end, and which tokens are learned from."""
 
-    def __init__(self, row: dict) -> None:
-        self.codes = np.frombuffer(row["codes"].as_py(), np.int32)
-        self.stops = np.flatnonzero(self.codes == -1)
-        self.lengths = np.diff(self.stops, prepend=-1)
-        self.trained = np.repeat(~row["held"].values.to_numpy(zero_copy_only=False).astype(bool), self.lengths)
+def by_token(codes: np.ndarray, values: np.ndarray, end: int) -> np.ndarray:
+    """By token: the value of its word. ``values`` begins with that of the words outside the exchange."""
+    found = values.take(codes + 1, mode="clip")
+    found[codes == -1] = end
+    return found
 
-    def of_head(self, values: np.ndarray, end: int, tail: int) -> np.ndarray:
-        """By token: the value of its word."""
-        found = np.where(self.codes == -1, end, tail).astype(values.dtype if len(values) else np.int64)
-        here = self.codes >= 0
-        found[here] = values[self.codes[here]]
-        return found
 
-    def classes(self, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The classes before and at each token; a text begins after an end."""
-        here = self.of_head(head, END, TAIL).astype(np.int64)
-        return np.append(END, here[:-1]), here
+def codes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The numbers of each row of ``coded``."""
+    for batch in batches:
+        for row in rows_of(batch):
+            yield np.frombuffer(row["codes"].as_py(), np.int32)
 
 
 def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -164,23 +199,23 @@ def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
 
 def bigrams(found: DataFrame, head: np.ndarray, rare: np.ndarray) -> np.ndarray:
     """How often class follows class in the training texts (row: before). The last row is after words of the tail and rare words."""
-    shared = found.sparkSession.sparkContext.broadcast((head, rare))
+    # The class, and that many more if what comes after the word counts in the last row too.
+    shared = found.sparkSession.sparkContext.broadcast(np.append(TAIL + CLASSES, head + CLASSES * rare).astype(np.uint8))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((CLASSES + 1) * CLASSES, np.int64)
-        for batch in batches:
-            for row in rows_of(batch):
-                chunk, (head, rare) = Chunk(row), shared.value
-                before, here = chunk.classes(head)
-                t = chunk.trained
-                total[: CLASSES * CLASSES] += np.bincount(before[t] * CLASSES + here[t], minlength=CLASSES * CLASSES)
-                follows = t & np.append(False, chunk.of_head(rare, False, True)[:-1])
-                total[CLASSES * CLASSES :] += np.bincount(here[follows], minlength=CLASSES)
+        total = np.zeros(2 * CLASSES * CLASSES, np.int64)
+        for codes in codes_of(batches):
+            here = by_token(codes, shared.value, END)
+            # A text begins after an end.
+            at = np.append(np.uint8(END), here[:-1]).astype(np.uint16) * CLASSES + here % CLASSES
+            total += np.bincount(at, minlength=len(total))
+        plain, unsure = total.reshape(2, CLASSES, CLASSES)
+        total = np.concatenate([plain + unsure, unsure.sum(axis=0, keepdims=True)]).ravel()
         filled = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int64()), pa.array(total[filled], pa.int64())], names=["at", "n"])
 
     # At most one row for each pair of classes comes to the driver.
-    rows = found.select("held", "codes").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
+    rows = found.where("not held").select("codes").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()
     out = np.zeros((CLASSES + 1) * CLASSES, np.float64)
     for r in rows:
         out[r["at"]] = r["n"]
@@ -274,37 +309,35 @@ def movable(words: np.ndarray, turn: int, every: int) -> np.ndarray:
 
 def neighbours(found: DataFrame, head: np.ndarray, turn: int, every: int) -> DataFrame:
     """(word, slots, counts): how often the classes occur in the training texts beside each word that may move in this round."""
-    shared = found.sparkSession.sparkContext.broadcast(head)
+    shared = found.sparkSession.sparkContext.broadcast(np.append(TAIL, head).astype(np.uint8))
+    # A key of a word and a slot is below 2^27.
     width = 2 * CLASSES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            unique, at = np.unique(keys, return_inverse=True)
-            return unique, np.bincount(at, weights=n).astype(np.int64)
-
-        def rows(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            keys = np.concatenate(held)
+            held.clear()
+            keys.sort()
+            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+            n = np.diff(np.append(starts, len(keys)))
+            keys = keys[starts]
             for word, slots, counts in packed(keys // width, keys % width, n):
                 yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), slots, counts], names=["word", "slots", "counts"])
 
-        for batch in batches:
-            for row in rows_of(batch):
-                chunk = Chunk(row)
-                before, here = chunk.classes(shared.value)
-                after = np.append(here[1:], END)
-                t = np.flatnonzero(chunk.trained & (chunk.codes >= 0) & movable(chunk.codes, turn, every))
-                word = chunk.codes[t].astype(np.int64)
-                held.append(np.unique(np.concatenate([word * width + before[t], word * width + CLASSES + after[t]]), return_counts=True))
-                if sum(len(k) for k, _ in held) >= HELD_KEYS:
-                    held[:] = [merged()]
-                    if len(held[0][0]) >= HELD_KEYS // 2:
-                        yield from rows(*held.pop())
+        for codes in codes_of(batches):
+            here = by_token(codes, shared.value, END)
+            t = np.flatnonzero((codes >= 0) & movable(codes, turn, every))
+            word = codes[t].astype(np.uint32) * width
+            # A text begins after an end, and ends with one.
+            held += [word + np.append(np.uint8(END), here[:-1])[t], word + CLASSES + here[t + 1]]
+            if sum(map(len, held)) >= HELD_KEYS:
+                yield from rows()
         if held:
-            yield from rows(*merged())
+            yield from rows()
 
-    return found.select("held", "codes").mapInArrow(run, "word long, slots binary, counts binary")
+    return found.where("not held").select("codes").mapInArrow(run, "word long, slots binary, counts binary")
 
 
 def chosen(rows: DataFrame, counts: np.ndarray, head: np.ndarray) -> DataFrame:
@@ -319,9 +352,9 @@ def chosen(rows: DataFrame, counts: np.ndarray, head: np.ndarray) -> DataFrame:
             words = codes.dictionary
             row, slot, n = unpacked(table)
             key = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row] * 2 * CLASSES + slot
-            unique, at = np.unique(key, return_inverse=True)
-            n = np.bincount(at, weights=n)
-            best = best_classes(counts, unique // (2 * CLASSES), unique % (2 * CLASSES), n, head[words.to_numpy()].astype(np.int64))
+            n = np.bincount(key, weights=n, minlength=len(words) * 2 * CLASSES)
+            unique = np.flatnonzero(n)
+            best = best_classes(counts, unique // (2 * CLASSES), unique % (2 * CLASSES), n[unique], head[words.to_numpy()].astype(np.int64))
             return pa.RecordBatch.from_arrays([words, pa.array(best, pa.int32())], names=["word", "class"])
 
         rest: pa.Table | None = None
@@ -377,42 +410,50 @@ class Model:
             self.log_transition, self.log_unknown = np.log10(self.transition), np.log10(self.transition @ saved)
 
 
-def scores(found: DataFrame, words: DataFrame, model: Model, classes: np.ndarray, head: Head, ends: int, tokens: int, vocabulary: int) -> DataFrame:
+def scores(found: DataFrame, words: DataFrame, model: Model, classes: np.ndarray, head: Head, least: int, ends: int, tokens: int, vocabulary: int) -> DataFrame:
     """One row for each text. Words of the exchange and ends are summed in the chunks; each token of another word is looked up by a join, with what
     it adds if the word is known and if it is not."""
-    spark = found.sparkSession
-    shared = spark.sparkContext.broadcast((model, classes, head.counts, head.rare))
+    shared = found.sparkSession.sparkContext.broadcast((model, classes, head.counts, head.rare))
 
-    def walk(row: dict) -> tuple:
-        model, classes, counts, rare = shared.value
-        chunk = Chunk(row)
-        before, here = chunk.classes(classes)
-        before = np.where(np.append(False, chunk.of_head(rare, False, True)[:-1]), UNKNOWN, before)
-        return model, chunk, before, here, chunk.of_head(counts, ends, 0)
+    def walk(row: dict, states: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers, where texts end, and the state before each token."""
+        codes = np.frombuffer(row["codes"].as_py(), np.int32)
+        return codes, np.flatnonzero(codes == -1), np.append(np.uint8(END), by_token(codes, states, END)[:-1])
+
+    def states_of(classes: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        return np.append(UNKNOWN, np.where(rare, UNKNOWN, classes)).astype(np.uint8)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, classes, counts, rare = shared.value
+        states, of = states_of(classes, rare), np.append(TAIL, classes).astype(np.uint8)
+        # What each word adds whatever is before it; words outside the exchange add nothing here.
+        emitted = np.append(0.0, np.log10((counts - model.discount) / model.size[classes]))
+        plain = np.append(0.0, np.log10(counts + 1.0))
+        end_emitted = np.log10((ends - model.discount) / model.size[END]) if ends else 0.0
         for batch in batches:
             for row in rows_of(batch):
-                model, chunk, before, here, c = walk(row)
-                known = c > 0
-                score = np.zeros(len(c))
-                score[known] = model.log_transition[before[known], here[known]] + np.log10((c[known] - model.discount) / model.size[here[known]])
-                starts, n = np.append(0, chunk.stops[:-1] + 1), len(chunk.stops)
-                # An end that the training texts do not have is not known either.
-                missing = (chunk.codes == -1) & ~known
-                score[missing] = model.log_unknown[before[missing]] if tokens else 0.0
+                codes, stops, before = walk(row, states)
+                score = model.log_transition[before, by_token(codes, of, END)] + by_token(codes, emitted, end_emitted)
+                score[codes < -1] = 0.0
+                if not ends:
+                    # An end that the training texts do not have is not known either.
+                    score[stops] = model.log_unknown[before[stops]] if tokens else 0.0
+                known = (codes >= 0) | ((codes == -1) & (ends > 0))
+                starts, n = np.append(0, stops[:-1] + 1), len(stops)
                 columns = [
-                    pa.array([row["chunk"].as_py()] * n), pa.array(np.arange(n), pa.int64()), row["ids"].values, row["held"].values, pa.array(chunk.lengths, pa.int64()),
-                    *[pa.array(np.add.reduceat(x, starts)) for x in (known.astype(np.int64), np.log10(c + 1.0), score)]]
+                    pa.array([row["chunk"].as_py()] * n), pa.array(np.arange(n), pa.int64()), row["ids"].values, pa.array([row["held"].as_py()] * n), pa.array(np.diff(stops, prepend=-1), pa.int64()),
+                    *[pa.array(np.add.reduceat(x, starts)) for x in (known.astype(np.int64), by_token(codes, plain, np.log10(ends + 1.0)), score)]]
                 yield pa.RecordBatch.from_arrays(columns, names=["chunk", "no", "id", "held_out", "n_tokens", "n_known", "plain", "score"])
 
     def outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, classes, _, rare = shared.value
+        states = states_of(classes, rare)
         for batch in batches:
             for row in rows_of(batch):
-                model, chunk, before, _, _ = walk(row)
-                at = np.flatnonzero(chunk.codes < -1)
-                text = np.searchsorted(chunk.stops, at)
-                word = row["tail"].values.take(pa.array(-2 - chunk.codes[at])).cast(pa.binary())
+                codes, stops, before = walk(row, states)
+                at = np.flatnonzero(codes < -1)
+                text = np.searchsorted(stops, at)
+                word = separate(row["tail"].as_py()).take(pa.array(-2 - codes[at]))
                 seen, never = model.log_transition[before[at], TAIL], model.log_unknown[before[at]]
                 columns = [pa.array([row["chunk"].as_py()] * len(at), pa.int64()), pa.array(text, pa.int64()), word, pa.array(seen), pa.array(never)]
                 yield pa.RecordBatch.from_arrays(columns, names=["chunk", "no", "word", "seen", "never"])
@@ -420,8 +461,8 @@ def scores(found: DataFrame, words: DataFrame, model: Model, classes: np.ndarray
     id_type = found.schema["ids"].dataType.elementType.simpleString()
     texts = found.select("chunk", "ids", "held", "codes").mapInArrow(
         whole, f"chunk long, no long, id {id_type}, held_out boolean, n_tokens long, n_known long, plain double, score double")
-    rest = found.select("chunk", "held", "codes", "tail").where(F.size("tail") > 0).mapInArrow(outside, "chunk long, no long, word binary, seen double, never double")
-    told = rest.join(words.where(F.col("word") != b"").select("word", "c"), "word", "left")
+    rest = found.select("chunk", "codes", "tail").where(F.length("tail") > 0).mapInArrow(outside, "chunk long, no long, word binary, seen double, never double")
+    told = rest.join(words.where((F.col("word") != b"") & (F.col("c") < least)).select("word", "c"), "word", "left")
     emitted = F.col("seen") + F.log10((F.col("c") - model.discount) / float(model.size[TAIL]))
     added = told.groupBy("chunk", "no").agg(
         F.count("c").alias("more"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("more_plain"),
@@ -455,5 +496,5 @@ def log_probabilities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         types = np.bincount(classes, minlength=CLASSES).astype(np.float64)
         types[TAIL], types[END] = total["tail"], total["ends"] is not None
         discount = float(np.clip(total["once"] / max(total["once"] + 2 * total["twice"], 1), 0.05, 0.95))
-        found = scores(found, words, Model(counts, types, discount), classes, head, total["ends"] or 0, total["n"] or 0, total["v"])
+        found = scores(found, words, Model(counts, types, discount), classes, head, least, total["ends"] or 0, total["n"] or 0, total["v"])
         return materialise(found.withColumnRenamed("id", id_col), "classlm-scores")

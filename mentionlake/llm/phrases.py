@@ -40,11 +40,11 @@ MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 def numbered(text: bytes) -> tuple[pa.Array, np.ndarray]:
     """The distinct words between spaces, and a number for each word in order; a line break, which stands alone, is -1."""
     parts = pc.split_pattern(pa.array([text], pa.large_binary()), b" ").flatten().dictionary_encode()
-    codes, words = parts.indices.to_numpy(zero_copy_only=False).astype(np.int32), parts.dictionary.to_pylist()
-    number = np.cumsum([w not in (b"", b"\n") for w in words], dtype=np.int32) - 1
-    number[[i for i, w in enumerate(words) if w == b"\n"]] = -1
-    empty = [i for i, w in enumerate(words) if w == b""]
-    return pa.array([w for w in words if w not in (b"", b"\n")], pa.binary()), number[codes[~np.isin(codes, empty)]]
+    codes, words = parts.indices.to_numpy(zero_copy_only=False).astype(np.int32), parts.dictionary
+    empty, stop = pc.equal(words, b"").to_numpy(zero_copy_only=False), pc.equal(words, b"\n").to_numpy(zero_copy_only=False)
+    number = np.cumsum(~(empty | stop), dtype=np.int32) - 1
+    number[stop] = -1
+    return words.filter(pa.array(~(empty | stop))).cast(pa.binary()), number[codes[~empty[codes]]]
 
 
 def encode(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:

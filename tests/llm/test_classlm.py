@@ -154,3 +154,40 @@ def test_neighbours_are_counted_in_all_training_texts(spark):
                 counted[int(w)] += int(k)
     # Each occurrence of a word has a neighbour on either side.
     assert counted == Counter({w: 2 * int(c) for w, c in enumerate(words.counts)})
+
+
+def test_words_and_numbers_of_a_chunk_are_one_value_each(spark):
+    rows = made(7, docs=120)
+    held = classlm.F.coalesce(classlm.crc_of_id("doc_id") % 7 == 2, classlm.F.lit(False))
+    with classlm.staging(spark, "test-classlm") as save:
+        raw = save(classlm.chunks(spark.createDataFrame(rows, SCHEMA).repartition(1), "doc_id", "text", held), "chunks")
+        # Lists of words cost the JVM more than the counting does: nothing but ids is a list, and no word is hashed one at a time by an interpreted function.
+        found = classlm.coded(raw, classlm.exchanged(classlm.vocabulary(raw, save))[0])
+        for df in (raw, found):
+            assert [f.name for f in df.schema.fields if f.dataType.typeName() == "array"] == ["ids"]
+        assert "xxhash64" not in found._jdf.queryExecution().toString().lower()
+        # Rounds leave out chunks of texts that are held out.
+        got = {r.held: r for r in raw.collect()}
+        assert {h: sorted(map(str, r.ids)) for h, r in got.items()} == {h: sorted(str(i) for i, *_ in rows if is_held(i) == h) for h in (False, True)}
+        for h, r in got.items():
+            words, codes = classlm.separate(r.words).to_pylist(), np.frombuffer(r.codes, np.int32)
+            want = Counter(t if t is None else t.encode() for i, text, *_ in rows if is_held(i) == h for t in tokens(text))
+            assert Counter(None if c < 0 else words[c] for c in codes) == want
+            assert dict(zip(words, np.frombuffer(r.counts, np.int64), strict=True)) == {w: n for w, n in want.items() if w is not None}
+
+
+def test_hashes_are_those_of_spark(spark):
+    words = [b"", b"a", b"word", "gr\u00fc\u00dfe".encode(), b"\x00b", b"\xff", *(bytes(range(65, 65 + n)) for n in (7, 8, 31, 32, 33, 60))]
+    rows = spark.createDataFrame([(bytearray(w),) for w in words], "w binary").select("w", classlm.F.xxhash64("w").alias("h")).collect()
+    assert {bytes(r.w): r.h for r in rows} == dict(zip(words, classlm.hashes(words).tolist(), strict=True))
+
+
+def test_sizes_of_what_tasks_hold_do_not_change_the_result(spark, monkeypatch):
+    rows = made(8, docs=150)
+    df = spark.createDataFrame(rows, SCHEMA)
+    once = classlm.log_probabilities(df, rounds=3).collect()
+    for name, size in (("CHUNK_BYTES", 600), ("HELD_KEYS", 50), ("HELD_BYTES", 100)):
+        monkeypatch.setattr(classlm, name, size)
+    found = classlm.log_probabilities(df, rounds=3).collect()
+    check_base(rows, found)
+    assert Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in found) == Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in once)
