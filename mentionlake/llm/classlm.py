@@ -24,7 +24,7 @@ from xxhash import xxh64_intdigest
 from mentionlake.llm.common import crc_of_id
 from mentionlake.llm.phrases import numbered
 from mentionlake.llm.simhash import BLANKS
-from mentionlake.session import Save, materialise, ship_package, staging
+from mentionlake.session import Save, batches_of, materialise, ship_package, staging
 
 #: Class 0 is the end of a text, the last one that of the words outside the exchange.
 CLASSES, ROUNDS = 64, 8
@@ -40,6 +40,10 @@ SHARES = 2
 SMALL = 16
 #: Keys, of four bytes, that a task holds before it counts them and hands them on.
 HELD_KEYS = 1 << 22
+#: Keys, rows or entries that are worked on or handed on at once.
+PIECE = 1 << 15
+#: Bytes that a Python task is sent at once, unless one row is larger.
+BATCH_BYTES = 2 << 20
 #: Words, in bytes, that a task holds before it adds up their counts.
 HELD_BYTES = 16 << 20
 #: The seed of Spark's ``xxhash64``.
@@ -83,10 +87,16 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, held: Column) -> DataFra
         for h in (False, True):
             if ids[h]:
                 yield close(h)
+        release()
 
     return docs.select(F.col(id_col), held.alias("held"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give back what Arrow keeps for later: the worker goes on to other tasks, beside the heap of the JVM."""
+    pa.default_memory_pool().release_unused()
+
+
 def joined(words: pa.Array) -> pa.Array:
     """One value: words with spaces between them."""
     return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b" ")
@@ -107,7 +117,7 @@ def vocabulary(found: DataFrame, save: Save) -> DataFrame:
             nonlocal size
             size, whole = 0, pa.Table.from_batches(held)
             held.clear()
-            return whole.group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"]).to_batches()
+            return whole.group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"]).to_batches(PIECE)
 
         for batch in batches:
             for row in rows_of(batch):
@@ -119,6 +129,7 @@ def vocabulary(found: DataFrame, save: Save) -> DataFrame:
                     yield from rows()
         if held:
             yield from rows()
+        release()
 
     each = found.where("not held").select("words", "counts", F.size("ids").cast("long").alias("texts")).mapInArrow(run, "word binary, c long")
     return save(each.groupBy("word").agg(F.sum("c").alias("c")).withColumn("h", F.xxhash64("word")), "words")
@@ -168,6 +179,7 @@ def coded(found: DataFrame, head: Head) -> DataFrame:
                 codes.append(np.append(number, -1).astype(np.int32)[np.frombuffer(row["codes"].as_py(), np.int32)].tobytes())
                 tails.append(b" ".join([words[i] for i in outside.tolist()]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes, pa.binary()), pa.array(tails, pa.binary())], names=["chunk", "ids", "held", "codes", "tail"])
+        release()
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", codes binary, tail binary"
     return found.select("chunk", "ids", "held", "words", "codes").mapInArrow(run, schema)
@@ -302,6 +314,16 @@ def _bytes_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data, np.diff(ends).astype(np.int64)
 
 
+def pieces(keys: np.ndarray, width: int, size: int) -> Iterator[np.ndarray]:
+    """Sorted keys, about ``size`` at a time, cut where the word (``width`` keys) changes."""
+    at = 0
+    while at < len(keys):
+        last = keys[min(at + size, len(keys)) - 1] // width
+        end = at + np.searchsorted(keys[at:], (last + 1) * width)
+        yield keys[at:end]
+        at = end
+
+
 def movable(words: np.ndarray, turn: int, every: int) -> np.ndarray:
     """Which words, by number, may move in a round."""
     return (words + turn) % every == 0
@@ -320,11 +342,12 @@ def neighbours(found: DataFrame, head: np.ndarray, turn: int, every: int) -> Dat
             keys = np.concatenate(held)
             held.clear()
             keys.sort()
-            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-            n = np.diff(np.append(starts, len(keys)))
-            keys = keys[starts]
-            for word, slots, counts in packed(keys // width, keys % width, n):
-                yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), slots, counts], names=["word", "slots", "counts"])
+            for piece in pieces(keys, width, PIECE):
+                starts = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
+                n = np.diff(np.append(starts, len(piece)))
+                piece = piece[starts]
+                for word, slots, counts in packed(piece // width, piece % width, n):
+                    yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), slots, counts], names=["word", "slots", "counts"])
 
         for codes in codes_of(batches):
             here = by_token(codes, shared.value, END)
@@ -353,9 +376,12 @@ def chosen(rows: DataFrame, counts: np.ndarray, head: np.ndarray) -> DataFrame:
             row, slot, n = unpacked(table)
             key = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)[row] * 2 * CLASSES + slot
             n = np.bincount(key, weights=n, minlength=len(words) * 2 * CLASSES)
-            unique = np.flatnonzero(n)
-            best = best_classes(counts, unique // (2 * CLASSES), unique % (2 * CLASSES), n[unique], head[words.to_numpy()].astype(np.int64))
-            return pa.RecordBatch.from_arrays([words, pa.array(best, pa.int32())], names=["word", "class"])
+            now, best = head[words.to_numpy()].astype(np.int64), []
+            # An entry takes a row of numbers, one for each class, and a batch may have a hundred entries a word.
+            for unique in pieces(np.flatnonzero(n), 2 * CLASSES, PIECE):
+                word = unique // (2 * CLASSES)
+                best.append(best_classes(counts, word - word[0], unique % (2 * CLASSES), n[unique], now[word[0] : word[-1] + 1]))
+            return pa.RecordBatch.from_arrays([words, pa.array(np.concatenate(best), pa.int32())], names=["word", "class"])
 
         rest: pa.Table | None = None
         for batch in batches:
@@ -371,6 +397,7 @@ def chosen(rows: DataFrame, counts: np.ndarray, head: np.ndarray) -> DataFrame:
             rest = table.slice(cut)
         if rest is not None and rest.num_rows:
             yield solve(rest)
+        release()
 
     return rows.repartition("word").sortWithinPartitions("word").mapInArrow(run, "word long, class int")
 
@@ -456,7 +483,8 @@ def scores(found: DataFrame, words: DataFrame, model: Model, classes: np.ndarray
                 word = separate(row["tail"].as_py()).take(pa.array(-2 - codes[at]))
                 seen, never = model.log_transition[before[at], TAIL], model.log_unknown[before[at]]
                 columns = [pa.array([row["chunk"].as_py()] * len(at), pa.int64()), pa.array(text, pa.int64()), word, pa.array(seen), pa.array(never)]
-                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "no", "word", "seen", "never"])
+                yield from pa.Table.from_arrays(columns, names=["chunk", "no", "word", "seen", "never"]).to_batches(PIECE)
+        release()
 
     id_type = found.schema["ids"].dataType.elementType.simpleString()
     texts = found.select("chunk", "ids", "held", "codes").mapInArrow(
@@ -482,7 +510,7 @@ def log_probabilities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     empty table gives an empty one; without texts to learn from every token is unknown and certain.
     """
     held = F.coalesce(crc_of_id(id_col) % modulus == remainder, F.lit(False))
-    with staging(docs.sparkSession, "classlm") as save:
+    with staging(docs.sparkSession, "classlm") as save, batches_of(docs.sparkSession, BATCH_BYTES):
         with staging(docs.sparkSession, "classlm-chunks") as save_raw:
             raw = save_raw(chunks(docs, id_col, text_col, held), "chunks")
             words = vocabulary(raw, save)

@@ -122,6 +122,27 @@ def staging(spark: SparkSession, label: str) -> Iterator[Save]:
         delete_folder(spark, folder)
 
 
+BATCH_BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Python tasks of jobs that run meanwhile are sent about ``size`` bytes at once, or one larger row.
+
+    By default it is 10 000 rows, of up to 64 MB together. The JVM holds a batch several times over outside its heap, as it
+    grows the buffers by doubling, and keeps much of that room later on.
+    """
+    before = spark.conf.get(BATCH_BYTES_SETTING, None)
+    spark.conf.set(BATCH_BYTES_SETTING, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_BYTES_SETTING)
+        else:
+            spark.conf.set(BATCH_BYTES_SETTING, before)
+
+
 def path_exists(spark: SparkSession, name: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

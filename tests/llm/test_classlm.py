@@ -191,3 +191,50 @@ def test_sizes_of_what_tasks_hold_do_not_change_the_result(spark, monkeypatch):
     found = classlm.log_probabilities(df, rounds=3).collect()
     check_base(rows, found)
     assert Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in found) == Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in once)
+
+
+def test_tasks_are_sent_a_few_chunks_at_once_and_the_setting_comes_back(spark, monkeypatch):
+    sent = []
+    real = classlm.vocabulary
+
+    def spy(found, save):
+        sizes = found.select("words", "codes").mapInArrow(lambda batches: (classlm.pa.record_batch({"n": [b.num_rows], "size": [b.nbytes]}) for b in batches), "n long, size long")
+        sent.extend(sizes.collect())
+        return real(found, save)
+
+    monkeypatch.setattr(classlm, "vocabulary", spy)
+    monkeypatch.setattr(classlm, "CHUNK_BYTES", 6_000)
+    monkeypatch.setattr(classlm, "BATCH_BYTES", 20_000, raising=False)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    rows = made(9, docs=600)
+    check_base(rows, classlm.log_probabilities(spark.createDataFrame(rows, SCHEMA).repartition(1), rounds=1).collect())
+    assert spark.conf.get(name) == before
+    # One batch of all chunks would be held several times over outside the heap.
+    assert len(sent) > 3 and max(r["size"] for r in sent) < 60_000
+
+
+def test_entries_of_a_batch_are_weighed_a_few_at_a_time(spark, monkeypatch):
+    rows = made(10, docs=200)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    once = classlm.log_probabilities(df, rounds=3).collect()
+    real = classlm.best_classes
+
+    def few(counts, word, slot, n, now):
+        assert len(word) <= 200 + 2 * classlm.CLASSES
+        return real(counts, word, slot, n, now)
+
+    monkeypatch.setattr(classlm, "best_classes", few)
+    monkeypatch.setattr(classlm, "PIECE", 200, raising=False)
+    found = classlm.log_probabilities(df, rounds=3).collect()
+    check_base(rows, found)
+    assert Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in found) == Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in once)
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_pieces_of_keys_end_with_a_word(size):
+    keys = np.sort(np.random.default_rng(3).integers(0, 40 * 128, 900).astype(np.uint32))
+    found = list(classlm.pieces(keys, 128, size))
+    assert np.array_equal(np.concatenate(found), keys) and all(len(p) for p in found)
+    assert all(a[-1] // 128 < b[0] // 128 for a, b in zip(found, found[1:]))
+    assert list(classlm.pieces(keys[:0], 128, size)) == []
